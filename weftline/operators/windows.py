@@ -62,16 +62,16 @@ def _cut(df: DataFrame, keys: Sequence[str], order: str, desc: bool, max_rows: i
     bounds = (
         tagged.where(in_groups(keys, hot))
         .groupBy("_h")
-        .agg(F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"), F.count("*").alias("_n"))
+        .agg(F.min("_pos").alias("_hot_lo"), F.max("_pos").alias("_hot_hi"), F.count("*").alias("_hot_n"))
     )
-    slices = F.ceil(F.col("_n") / F.lit(limit)) * FINER
-    span = F.col("_hi") - F.col("_lo")
-    at = F.when(span > 0, F.floor((F.col("_pos") - F.col("_lo")) / span * slices)).otherwise(0)
-    # Rows without an order value come first in both directions of Spark's default null order only
-    # when ascending; keep them at the matching end.
+    slices = F.ceil(F.col("_hot_n") / F.lit(limit)) * FINER
+    span = F.col("_hot_hi") - F.col("_hot_lo")
+    at = F.when(span > 0, F.floor((F.col("_pos") - F.col("_hot_lo")) / span * slices)).otherwise(0)
+    # Nulls sort first when ascending and last when descending.
     at = F.when(F.col("_pos").isNull(), F.lit(2**30) if desc else F.lit(0)).otherwise(at)
-    number = F.when(F.col("_n").isNull(), F.lit(-1)).otherwise(at).cast("long")
-    return tagged.join(F.broadcast(bounds), "_h", "left").withColumn(SLICE, number).drop("_h", "_pos", "_lo", "_hi", "_n")
+    number = F.when(F.col("_hot_n").isNull(), F.lit(-1)).otherwise(at).cast("long")
+    marked = tagged.join(F.broadcast(bounds), "_h", "left").withColumn(SLICE, number)
+    return marked.drop("_h", "_pos", "_hot_lo", "_hot_hi", "_hot_n")
 
 
 def _per_slice(cut: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
@@ -268,15 +268,28 @@ def moving_range(
     limit = hot_rows(df.sparkSession, max_rows)
     is_hot = in_groups(part, hot)
     bounds = timed.where(is_hot).groupBy(F.xxhash64(*part).alias("_h")).agg(
-        (F.max("_at") - F.min("_at")).alias("_len"), F.count("*").alias("_n")
+        (F.max("_at") - F.min("_at")).alias("_hot_len"), F.count("*").alias("_hot_n")
     )
     wide = timed.withColumn("_h", F.xxhash64(*part)).join(F.broadcast(bounds), "_h", "left")
-    length = F.greatest(F.lit(span), F.ceil(F.col("_len") / (F.ceil(F.col("_n") / limit) * FINER)), F.lit(1))
-    home = F.when(F.col("_n").isNotNull(), F.floor(F.col("_at") / length)).otherwise(F.lit(0))
-    spill = F.when(F.col("_n").isNotNull() & (F.floor((F.col("_at") + span) / length) > home), home + 1)
-    copied = wide.withColumn("_home", home).withColumn("_block", F.explode(F.array_compact(F.array(F.col("_home"), spill))))
+    slices = F.ceil(F.col("_hot_n") / limit) * FINER
+    length = F.greatest(F.lit(span), F.ceil(F.col("_hot_len") / slices), F.lit(1))
+    cut = F.col("_hot_n").isNotNull()
+    home = F.when(cut, F.floor(F.col("_at") / length)).otherwise(F.lit(0))
+    next_home = F.when(cut & (F.floor((F.col("_at") + span) / length) > home), home + 1)
+    copied = wide.withColumn("_home", home).withColumn(
+        "_block", F.explode(F.array_compact(F.array(F.col("_home"), next_home)))
+    )
     result = copied.withColumn(name, F.sum("_value").over(in_frame(*part, "_block")))
-    return result.where(F.col("_block") == F.col("_home")).drop("_value", "_at", "_h", "_len", "_n", "_home", "_block")
+    return result.where(F.col("_block") == F.col("_home")).drop(
+        "_value", "_at", "_h", "_hot_len", "_hot_n", "_home", "_block"
+    )
+
+
+def lead_in(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], column: str, name: str, max_rows: int | None = None
+) -> DataFrame:
+    """The value of ``column`` in the next row of the group."""
+    return _by_rows(df, part, order, 0, 1, lambda w: {name: F.lead(column).over(w)}, max_rows)
 
 
 def share_in(df: DataFrame, part: Sequence[str], value: Column, name: str) -> DataFrame:
