@@ -1,0 +1,256 @@
+"""Event log reports. The log lines are derived from the tables: a task per line item, a job per order."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from weftline.operators import telemetry as T
+from weftline.plans.registry import query
+from weftline.sources.tables import load
+
+
+def _line(**fields: Column) -> Column:
+    return F.to_json(F.struct(*[c.alias(n.replace("_", " ")) for n, c in fields.items()])).alias("value")
+
+
+def _nested(**fields: Column) -> Column:
+    return F.struct(*[c.alias(n.replace("_", " ")) for n, c in fields.items()])
+
+
+def _ms(c: str) -> Column:
+    return F.unix_millis(F.col(c).cast("timestamp"))
+
+
+def _task_lines(spark, sf_dir) -> DataFrame:
+    """One task per line item: the quantity is its run time in seconds."""
+    run = F.col("l_quantity").cast("long") * 1000
+    gc = F.round(F.col("l_quantity") * 1000 * (F.col("l_tax") + F.col("l_discount"))).cast("long")
+    big = F.col("l_quantity") >= 45
+    failed = F.col("l_discount") >= 0.1
+    metrics = _nested(
+        Executor_Run_Time=run,
+        JVM_GC_Time=gc,
+        Memory_Bytes_Spilled=F.when(big, F.col("l_partkey") * 1000).otherwise(0),
+        Disk_Bytes_Spilled=F.when(big, F.col("l_partkey") * 100).otherwise(0),
+        Input_Metrics=_nested(Bytes_Read=F.col("l_partkey") * 10),
+        Shuffle_Read_Metrics=_nested(
+            Remote_Bytes_Read=F.col("l_suppkey") * 1000, Local_Bytes_Read=F.col("l_suppkey") * 10, Fetch_Wait_Time=F.floor(run / 4)
+        ),
+        Shuffle_Write_Metrics=_nested(Shuffle_Bytes_Written=F.col("l_partkey") * 100, Shuffle_Write_Time=run * 300_000),
+    )
+    info = _nested(
+        Task_ID=F.col("l_orderkey"),
+        Launch_Time=_ms("l_shipdate"),
+        Finish_Time=_ms("l_shipdate") + run,
+        Executor_ID=F.col("l_suppkey").cast("string"),
+        Host=F.concat(F.lit("host-"), F.col("l_suppkey").cast("string")),
+        Locality=F.when(F.col("l_linestatus") == "F", "NODE_LOCAL").otherwise("ANY"),
+        Failed=failed,
+    )
+    line = _line(
+        Event=F.lit("SparkListenerTaskEnd"),
+        Stage_ID=F.col("l_linenumber"),
+        Stage_Attempt_ID=F.lit(0),
+        Task_End_Reason=_nested(Reason=F.when(failed, "ExceptionFailure").otherwise("Success")),
+        Task_Info=info,
+        Task_Metrics=metrics,
+    )
+    return load(spark, sf_dir, "lineitem").select(F.concat(F.lit("app-"), "l_returnflag").alias("app"), line)
+
+
+def _order_lines(spark, sf_dir) -> DataFrame:
+    """A job, a stage and a SQL execution per order: the price is the duration in milliseconds."""
+    orders = load(spark, sf_dir, "orders")
+    app = F.concat(F.lit("app-"), "o_orderstatus").alias("app")
+    job, start = F.col("o_orderkey").cast("int"), _ms("o_orderdate")
+    end = start + F.floor("o_totalprice")
+    result = F.when(F.col("o_orderpriority") == "5-LOW", "JobFailed").otherwise("JobSucceeded")
+    stage = _nested(
+        Stage_ID=job,
+        Stage_Attempt_ID=F.lit(0),
+        Stage_Name=F.col("o_orderpriority"),
+        Number_of_Tasks=F.lit(1),
+        Submission_Time=start,
+        Completion_Time=end,
+    )
+    plan = F.concat(F.lit("plan of "), "o_orderpriority")
+    lines = [
+        _line(Event=F.lit("SparkListenerJobStart"), Job_ID=job, Submission_Time=start),
+        _line(Event=F.lit("SparkListenerJobEnd"), Job_ID=job, Completion_Time=end, Job_Result=_nested(Result=result)),
+        _line(Event=F.lit("SparkListenerStageCompleted"), Stage_Info=stage),
+        _line(
+            Event=F.lit(T.SQL_START),
+            executionId=F.col("o_orderkey"),
+            description=F.col("o_orderpriority"),
+            physicalPlanDescription=plan,
+            time=start,
+        ),
+        _line(Event=F.lit(T.SQL_END), executionId=F.col("o_orderkey"), time=end),
+    ]
+    return reduce(DataFrame.unionByName, [orders.select(app, line) for line in lines])
+
+
+def _executor_lines(spark, sf_dir) -> DataFrame:
+    """An executor per customer, from the day of the first order to the day of the last."""
+    lives = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")
+    )
+    name = F.col("o_custkey").cast("string")
+    added = _line(Event=F.lit("SparkListenerExecutorAdded"), Timestamp=_ms("first"), Executor_ID=name)
+    removed = _line(Event=F.lit("SparkListenerExecutorRemoved"), Timestamp=_ms("last"), Executor_ID=name)
+    return lives.select(F.lit("app-pool").alias("app"), added).unionByName(lives.select(F.lit("app-pool").alias("app"), removed))
+
+
+def _tasks(spark, sf_dir) -> DataFrame:
+    return T.tasks(T.parse(_task_lines(spark, sf_dir)))
+
+
+RUN = "CAST(l_quantity AS BIGINT) * 1000"
+GC = "CAST(round(l_quantity * 1000 * (l_tax + l_discount)) AS BIGINT)"
+APP = "'app-' || l_returnflag AS app"
+
+
+def _total(expr: str, name: str) -> str:
+    return f"CAST(sum({expr}) AS BIGINT) AS {name}"
+
+
+@query(
+    "tel_tasks",
+    f"""SELECT {APP}, l_linenumber AS stage_id, 0 AS attempt,
+        CASE WHEN l_discount >= 0.1 THEN 'ExceptionFailure' ELSE 'Success' END AS reason, l_orderkey AS task_id,
+        CAST(l_suppkey AS VARCHAR) AS executor, 'host-' || l_suppkey AS host,
+        CASE WHEN l_linestatus = 'F' THEN 'NODE_LOCAL' ELSE 'ANY' END AS locality, l_discount >= 0.1 AS failed,
+        epoch_ms(l_shipdate) AS launch_ms, epoch_ms(l_shipdate) + {RUN} AS finish_ms, {RUN} AS run_ms, {GC} AS gc_ms,
+        CASE WHEN l_quantity >= 45 THEN l_partkey * 1000 ELSE 0 END AS memory_spilled,
+        CASE WHEN l_quantity >= 45 THEN l_partkey * 100 ELSE 0 END AS disk_spilled, l_partkey * 10 AS input_bytes,
+        l_suppkey * 1000 AS remote_bytes, l_suppkey * 10 AS local_bytes, {RUN} // 4 AS fetch_wait_ms,
+        l_partkey * 100 AS shuffle_written, {RUN} * 300000 AS shuffle_write_ns, {RUN} AS duration_ms FROM lineitem""",
+)
+def tel_tasks(spark, sf_dir):
+    return _tasks(spark, sf_dir)
+
+
+@query(
+    "tel_stragglers",
+    f"""SELECT app, stage_id, tasks, longest_ms, median_ms, slowest_task, longest_ms / median_ms AS ratio,
+        longest_ms / median_ms > 1.9 AS uneven FROM
+        (SELECT {APP}, l_linenumber AS stage_id, count(*) AS tasks, max({RUN}) AS longest_ms, quantile_cont({RUN}, 0.5) AS median_ms,
+         max(CASE WHEN l_quantity = m THEN l_orderkey END) AS slowest_task
+         FROM (SELECT *, max(l_quantity) OVER (PARTITION BY l_returnflag, l_linenumber) AS m FROM lineitem)
+         GROUP BY l_returnflag, l_linenumber)""",
+)
+def tel_stragglers(spark, sf_dir):
+    return T.stragglers(_tasks(spark, sf_dir), ratio=1.9)
+
+
+@query(
+    "tel_spill",
+    f"""SELECT {APP}, l_linenumber AS stage_id, {_total("CASE WHEN l_quantity >= 45 THEN l_partkey * 1000 ELSE 0 END", "memory_spilled")},
+        {_total("CASE WHEN l_quantity >= 45 THEN l_partkey * 100 ELSE 0 END", "disk_spilled")},
+        count(CASE WHEN l_quantity >= 45 AND l_partkey > 0 THEN 1 END) AS spilling_tasks FROM lineitem GROUP BY l_returnflag, l_linenumber""",
+)
+def tel_spill(spark, sf_dir):
+    return T.spill(_tasks(spark, sf_dir))
+
+
+@query(
+    "tel_gc_share",
+    f"""SELECT *, gc_ms / run_ms AS share, CASE WHEN gc_ms / run_ms > 0.2 THEN 'critical' WHEN gc_ms / run_ms > 0.1 THEN 'warning'
+        WHEN gc_ms / run_ms < 0.05 THEN 'healthy' ELSE 'watch' END AS band FROM
+        (SELECT {APP}, CAST(l_suppkey AS VARCHAR) AS executor, {_total(GC, "gc_ms")}, {_total(RUN, "run_ms")}
+         FROM lineitem GROUP BY l_returnflag, l_suppkey)""",
+)
+def tel_gc_share(spark, sf_dir):
+    return T.gc_share(_tasks(spark, sf_dir))
+
+
+@query(
+    "tel_shuffle_ratio",
+    f"""SELECT *, (shuffle_read + shuffle_written) / input_bytes AS ratio, (shuffle_read + shuffle_written) / input_bytes > 10 AS alert FROM
+        (SELECT {APP}, {_total("l_partkey * 10", "input_bytes")}, {_total("l_suppkey * 1010", "shuffle_read")},
+         {_total("l_partkey * 100", "shuffle_written")} FROM lineitem GROUP BY l_returnflag)""",
+)
+def tel_shuffle_ratio(spark, sf_dir):
+    return T.shuffle_ratio(_tasks(spark, sf_dir))
+
+
+@query(
+    "tel_shuffle_time",
+    f"""SELECT *, (fetch_wait_ms * 1000000 + shuffle_write_ns) / (run_ms * 1000000) AS share,
+        (fetch_wait_ms * 1000000 + shuffle_write_ns) / (run_ms * 1000000) > 0.5 AS alert FROM
+        (SELECT {APP}, l_linenumber AS stage_id, {_total(f"{RUN} // 4", "fetch_wait_ms")}, {_total(f"{RUN} * 300000", "shuffle_write_ns")},
+         {_total(RUN, "run_ms")} FROM lineitem GROUP BY l_returnflag, l_linenumber)""",
+)
+def tel_shuffle_time(spark, sf_dir):
+    return T.shuffle_time(_tasks(spark, sf_dir))
+
+
+@query(
+    "tel_locality",
+    f"""SELECT {APP}, CASE WHEN l_linestatus = 'F' THEN 'NODE_LOCAL' ELSE 'ANY' END AS locality, count(*) AS tasks,
+        {_total("l_suppkey * 1000", "remote_bytes")}, {_total("l_suppkey * 10", "local_bytes")}
+        FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+)
+def tel_locality(spark, sf_dir):
+    return T.locality(_tasks(spark, sf_dir))
+
+
+@query(
+    "tel_executors",
+    """WITH lives AS (SELECT epoch_ms(min(o_orderdate)) AS a, epoch_ms(max(o_orderdate)) AS b FROM orders GROUP BY o_custkey),
+       steps AS (SELECT a AS at_ms, 1 AS step FROM lives UNION ALL SELECT b, -1 FROM lives)
+       SELECT 'app-pool' AS app, at_ms, CAST(sum(sum(step)) OVER (ORDER BY at_ms) AS BIGINT) AS executors FROM steps GROUP BY at_ms""",
+)
+def tel_executors(spark, sf_dir):
+    return T.executor_timeline(T.parse(_executor_lines(spark, sf_dir)))
+
+
+@query(
+    "tel_jobs",
+    """SELECT 'app-' || o_orderstatus AS app, count(*) AS jobs, count(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END) AS failed_jobs,
+       CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS job_ms, CAST(max(floor(o_totalprice)) AS BIGINT) AS longest_job_ms,
+       count(*) AS stages, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS stage_ms FROM orders GROUP BY o_orderstatus""",
+)
+def tel_jobs(spark, sf_dir):
+    return T.jobs(T.parse(_order_lines(spark, sf_dir)))
+
+
+@query(
+    "tel_failures",
+    f"""SELECT {APP}, 'ExceptionFailure' AS reason, count(*) AS tasks, count(DISTINCT l_linenumber) AS stages,
+        count(DISTINCT l_suppkey) AS executors FROM lineitem WHERE l_discount >= 0.1 GROUP BY l_returnflag""",
+)
+def tel_failures(spark, sf_dir):
+    return T.failures(_tasks(spark, sf_dir))
+
+
+@query(
+    "tel_slow_sql",
+    """SELECT 'app-' || o_orderstatus AS app, o_orderkey AS execution, epoch_ms(o_orderdate) AS start_ms,
+       epoch_ms(o_orderdate) + CAST(floor(o_totalprice) AS BIGINT) AS end_ms, o_orderpriority AS description,
+       'plan of ' || o_orderpriority AS plan, CAST(floor(o_totalprice) AS BIGINT) AS duration_ms
+       FROM orders WHERE floor(o_totalprice) >= 400000""",
+)
+def tel_slow_sql(spark, sf_dir):
+    return T.slow_sql(T.parse(_order_lines(spark, sf_dir)), at_least_ms=400_000)
+
+
+def _compare_sql() -> str:
+    exprs = {
+        "run_ms": RUN,
+        "gc_ms": GC,
+        "disk_spilled": "CASE WHEN l_quantity >= 45 THEN l_partkey * 100 ELSE 0 END",
+        "shuffle_written": "l_partkey * 100",
+    }
+    columns = []
+    for name, e in exprs.items():
+        columns.append(_total(f"CASE WHEN l_returnflag = 'A' THEN {e} ELSE 0 END", f"{name}_before"))
+        columns.append(_total(f"CASE WHEN l_returnflag = 'R' THEN {e} ELSE -({e}) END", f"{name}_change"))
+    return f"SELECT l_linenumber AS stage_id, {', '.join(columns)} FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY l_linenumber"
+
+
+@query("tel_compare", _compare_sql())
+def tel_compare(spark, sf_dir):
+    return T.compare_runs(_tasks(spark, sf_dir), "app-A", "app-R")
