@@ -8,24 +8,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.operators.windows import lead_in
-from weftline.sources.layout import overwrite
+from weftline.sources.layout import files, overwrite
 
 
 def incremental(source: DataFrame, ts: str, since: Column) -> DataFrame:
     return source.where(F.col(ts) > since)
 
 
-def load_increment(source: DataFrame, path: str, ts: str, parts: Sequence[str]) -> None:
+def load_increment(source: DataFrame, path: str, parts: Sequence[str]) -> None:
     """Bring the partitioned table at ``path`` up to date with ``source``.
 
-    The high-water mark is the newest time in the table. Every partition from the one
-    that holds the mark onwards is replaced, so a repeated or broken-off run does no harm
-    and rows that arrived late within that partition are found. ``parts`` must rise with time.
+    The newest partition is the high-water mark. It and every later partition are
+    replaced, so a repeated or broken-off run does no harm and rows that arrived late
+    within it are found. ``parts`` must rise with time.
     """
-    spark = source.sparkSession
-    table = spark.read.parquet(path)
-    # The newest partition is known from the directories; only its files are read for the mark.
-    newest = table.select(*parts).distinct().orderBy(*[F.desc(p) for p in parts]).limit(1).first()
+    # The newest partition is known from the file listing alone.
+    listed = files(source.sparkSession, path).select(*parts).distinct()
+    newest = listed.orderBy(*[F.desc(p) for p in parts]).first()
     if newest is None:
         overwrite(source, path, parts, "dynamic")
         return

@@ -35,9 +35,14 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` is proven small. Reads at most ``max_rows + 1`` rows of it."""
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
+    """Whether ``df`` is proven small.
+
+    The rows are counted first, which for a file needs its footers only; the values
+    are measured only when the count is within bounds.
+    """
+    if df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -154,19 +159,27 @@ def chain(first: DataFrame, *steps: tuple[DataFrame, Callable[[], Column] | Sequ
 
 
 def range_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str, width: float) -> DataFrame:
-    """Pairs with ``lo <= value < hi`` by an equi join on bins of ``width``, no nested loop.
+    """Pairs with ``lo <= value < hi`` by an equi join on bins, no nested loop.
 
-    A band is listed in each bin it touches and a point has one bin, so a pair is
-    found once. Choose ``width`` near the usual band length. Small bands are
+    ``width`` is the usual band length. A band longer than that goes to a level with bins
+    twice, four times, ... as wide, so it is listed in three bins at most, however long it
+    is. A point looks in one bin of each level that is in use. Small bands are
     broadcast and the points stay where they are; otherwise hot bins are split at run time.
     """
-    bin_of = lambda c: F.floor(c / F.lit(width))
-    wide = bands.where(F.col(lo) < F.col(hi)).withColumn(
-        "_bin", F.explode(F.sequence(bin_of(F.col(lo)), bin_of(F.col(hi))))
+    length = F.col(hi) - F.col(lo)
+    level = F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(width)))).cast("int")
+    bin_of = lambda c: F.floor(c / (F.lit(width) * F.pow(F.lit(2.0), F.col("_level"))))
+    placed = (
+        bands.where(length > 0)
+        .withColumn("_level", level)
+        .withColumn("_bin", F.explode(F.sequence(bin_of(F.col(lo)), bin_of(F.col(hi)))))
     )
-    tagged = points.withColumn("_bin", bin_of(F.col(value)))
+    # A level stands for a power of two of a double, so there are few.
+    levels = [r[0] for r in placed.select("_level").distinct().collect()] or [0]
+    tagged = points.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in sorted(levels)])))
+    tagged = tagged.withColumn("_bin", bin_of(F.col(value)))
     inside = (F.col(value) >= F.col(lo)) & (F.col(value) < F.col(hi))
-    return tagged.join(broadcast_if_small(wide), "_bin").where(inside).drop("_bin")
+    return tagged.join(broadcast_if_small(placed), ["_level", "_bin"]).where(inside).drop("_level", "_bin")
 
 
 def asof_last(

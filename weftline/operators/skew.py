@@ -182,8 +182,8 @@ def salted_repartition(df: DataFrame, keys: Sequence[str], hot: Column, n: int,
 def key_skew(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
     """The ``k`` most frequent keys with share of all rows, ratio to the mean, and a flag above half."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    totals = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("keys"))
-    total, groups = totals.select("rows").scalar(), totals.select("keys").scalar()
+    # Counting rows reads no column; the number of keys reuses the shuffle of the counts.
+    total, groups = df.agg(F.count("*")).scalar(), counts.agg(F.count("*")).scalar()
     share = F.col("n") / total
     return (
         counts.select(
@@ -201,8 +201,7 @@ def key_skew(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """Keys that hold more than ``share`` of all rows: at most ``1/share`` of them."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.where(F.col("n") > total * F.lit(share))
+    return counts.where(F.col("n") > df.agg(F.count("*")).scalar() * F.lit(share))
 
 
 def hot_predicate(df: DataFrame, key: str, share: float) -> Column:
@@ -212,16 +211,28 @@ def hot_predicate(df: DataFrame, key: str, share: float) -> Column:
     return hot | F.col(key).isNull() if None in found else hot
 
 
+def _with_empty(counted: DataFrame, partitions: int) -> DataFrame:
+    every = counted.sparkSession.range(partitions).select(F.col("id").cast("int").alias("part"))
+    return every.join(counted, "part", "left").select("part", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def partition_sizes(df: DataFrame, partitions: int) -> DataFrame:
     """Rows in each physical partition, the empty ones included."""
-    counted = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
-    every = df.sparkSession.range(partitions).select(F.col("id").cast("int").alias("part"))
-    return every.join(counted, "part", "left").select("part", F.coalesce("n", F.lit(0)).alias("n"))
+    return _with_empty(df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")), partitions)
+
+
+def shuffled_sizes(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Rows each partition would get from a shuffle by ``keys``, found without moving any row.
+
+    The shuffle uses the same hash; here only one count per partition is exchanged.
+    """
+    target = F.pmod(F.hash(*keys), F.lit(partitions)).alias("part")
+    return _with_empty(df.groupBy(target).agg(F.count("*").alias("n")), partitions)
 
 
-def partition_skew(df: DataFrame, partitions: int, threshold: float = 3.0) -> DataFrame:
+def partition_skew(sizes: DataFrame, threshold: float = 3.0) -> DataFrame:
     """Smallest, largest and mean partition; skewed when the largest is over ``threshold`` times the mean."""
-    sizes = partition_sizes(df, partitions).agg(
+    sizes = sizes.agg(
         F.count("*").alias("partitions"),
         F.count(F.when(F.col("n") == 0, 1)).alias("empty"),
         F.min("n").alias("min_rows"),

@@ -116,16 +116,17 @@ def hot_keys(spark, sf_dir):
 
 @query("partition_skew_report")
 def partition_skew_report(spark, sf_dir):
-    partitions = 16
-    by_key = _flagged(spark, sf_dir).select("key").repartition(partitions, "key")
-    return S.partition_skew(by_key, partitions)
+    """How a shuffle by the flag key would fill its partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return S.partition_skew(S.shuffled_sizes(_flagged(spark, sf_dir), ["key"], partitions))
 
 
 @query("repartition_salted", "SELECT concat(l_returnflag, '_', l_linestatus) AS key, l_quantity FROM lineitem")
 def repartition_salted(spark, sf_dir):
     lines = _flagged(spark, sf_dir)
     hot = S.hot_predicate(lines, "key", share=0.05)
-    spread = S.salted_repartition(lines, ["key"], hot, 16, salts=16, by=["row"])
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = S.salted_repartition(lines, ["key"], hot, partitions, salts=partitions, by=["row"])
     return spread.select("key", "l_quantity")
 
 

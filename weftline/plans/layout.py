@@ -213,7 +213,8 @@ def partition_health(spark, sf_dir):
 
 @query("repartition_rows", "SELECT * FROM orders")
 def repartition_rows(spark, sf_dir):
-    return load(spark, sf_dir, "orders").repartition(16, "o_orderkey")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return load(spark, sf_dir, "orders").repartition(partitions, "o_orderkey")
 
 
 @query("coalesce_rows", "SELECT * FROM orders")

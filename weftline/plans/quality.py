@@ -174,7 +174,7 @@ def incremental_load(spark, sf_dir):
     path = scratch(spark, "incremental")
     orders = with_month(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"))
     write_partitioned(_early(orders), path, ["year", "month"])
-    H.load_increment(orders, path, "o_orderdate", ["year", "month"])
+    H.load_increment(orders, path, ["year", "month"])
     return spark.read.parquet(path)
 
 

@@ -141,7 +141,7 @@ def st_dedup(spark, sf_dir):
         _files[path] = S.land_in_order(events.unionByName(events), "ts", path, SLICES)
 
     path = once(spark, sf_dir, "events-twice", write)
-    unique = W.dedup(_events(spark, sf_dir, path), ["event_id"], "ts", DELAY)
+    unique = W.dedup(_events(spark, sf_dir, path), ["event_id"], "ts", DELAY, many_copies=True)
     return _to_files(spark, unique.select("event_id", "user_id", "event_type", "value"), "dedup")
 
 

@@ -79,12 +79,14 @@ def repair(spark: SparkSession, table: str) -> None:
 def write_bucketed(
     df: DataFrame, table: str, n: int, key: Sequence[str], partition_by: Sequence[str] = ()
 ) -> None:
-    """Hash-clustered, sorted table. The shuffle by key first keeps it to one file per bucket."""
-    rows = rebalance(df, *partition_by, *key) if partition_by else df.repartition(n, *key)
-    writer = rows.write.bucketBy(n, *key).sortBy(*key)
+    """Hash-clustered, sorted table. Rows are first shuffled by bucket, so a bucket is one file per partition."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+        # The hash is the one that assigns buckets; the rebalance splits an oversized bucket.
+        by_bucket = df.withColumn("_bucket", F.pmod(F.hash(*key), F.lit(n)))
+        writer = rebalance(by_bucket, *partition_by, "_bucket").drop("_bucket").write.partitionBy(*partition_by)
+    else:
+        writer = df.repartition(n, *key).write
+    writer.bucketBy(n, *key).sortBy(*key).saveAsTable(table)
 
 
 def write_join_pair(
