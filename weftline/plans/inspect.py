@@ -11,8 +11,6 @@ def physical(df: DataFrame) -> str:
 
 
 def executed(df: DataFrame) -> str:
-    """Run the query and return the plan that was really used."""
-    df.write.format("noop").mode("overwrite").save()
-    collected = df._jdf.queryExecution()
-    df.count()
-    return collected.executedPlan().toString()
+    """Run a query of small result and return the final adaptive plan."""
+    df.collect()
+    return physical(df)

@@ -48,6 +48,11 @@ class RunningTotal(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, amount, expires = self.total.get() if self.total.exists() else (0, 0, 0)
+        # Rows are handed over before the timers that are due, so a timeout may still be pending here.
+        if expires and timerValues.getCurrentWatermarkInMs() >= expires:
+            self.handle.deleteTimer(expires)
+            yield self._row(key, n, amount, True)
+            n, amount, expires = 0, 0, 0
         for pdf in rows:
             n += int(pdf["n"].sum())
             amount += int(pdf["amount"].sum())
