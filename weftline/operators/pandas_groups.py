@@ -67,14 +67,22 @@ def per_group(
     """
     hot = hot_groups(df, keys, max_rows)
     if not hot:
-        return df.groupBy(*keys).applyInPandas(fn, schema)
+        return _by_key(df, keys).groupBy(*keys).applyInPandas(fn, schema)
     if merge is None:
         raise ValueError("some groups are too large for one task; give a merge function")
     cut = spread_hot(df, in_groups(keys, hot), spread_by or df.columns, pieces)
-    partial = cut.groupBy(*keys, SALT).applyInPandas(lambda pdf: fn(pdf.drop(columns=SALT)), schema)
+    partial = _by_key(cut, [*keys, SALT]).groupBy(*keys, SALT).applyInPandas(lambda pdf: fn(pdf.drop(columns=SALT)), schema)
     return partial.groupBy(*keys).applyInPandas(merge, schema)
 
 
+def _by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Shuffle by key into the configured number of partitions.
+
+    Adaptive execution merges partitions by their bytes, which says little about Python work.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def combine_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -105,8 +113,28 @@ def combine_by_key(
         if held:
             yield merge(pd.concat(held, ignore_index=True))
 
+    def finish(batches: Frames) -> Frames:
+        # Sorted by key, so only the last key of a batch can go on in the next one.
+        open_states = None
+        for batch in batches:
+            states = batch if open_states is None else pd.concat([open_states, batch], ignore_index=True)
+            merged = merge(states)
+            going_on = _same_key(merged, states[by].iloc[-1])
+            open_states = merged[going_on]
+            yield merged[~going_on]
+        if open_states is not None:
+            yield open_states
+
+    by = list(keys)
     states = df.mapInPandas(fold, schema)
-    return states.groupBy(*keys).applyInPandas(merge, schema)
+    return _by_key(states, by).sortWithinPartitions(*by).mapInPandas(finish, schema)
+
+
+def _same_key(pdf: pd.DataFrame, key: pd.Series) -> pd.Series:
+    same = pd.Series(True, index=pdf.index)
+    for name, value in key.items():
+        same &= pdf[name].isna() if pd.isna(value) else pdf[name] == value
+    return same
 
 
 def second_largest(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.operators import telemetry as T
 from weftline.plans.registry import query
-from weftline.sources.tables import load
+from weftline.plans.shared import once
+from weftline.sources.tables import load, widen
 
 
 def _line(**fields: Column) -> Column:
@@ -57,12 +58,13 @@ def _task_lines(spark, sf_dir) -> DataFrame:
         Task_Info=info,
         Task_Metrics=metrics,
     )
-    return load(spark, sf_dir, "lineitem").select(F.concat(F.lit("app-"), "l_returnflag").alias("app"), line)
+    lines = widen(load(spark, sf_dir, "lineitem").drop("l_extendedprice"))
+    return lines.select(F.concat(F.lit("app-"), "l_returnflag").alias("app"), line)
 
 
 def _order_lines(spark, sf_dir) -> DataFrame:
     """A job, a stage and a SQL execution per order: the price is the duration in milliseconds."""
-    orders = load(spark, sf_dir, "orders")
+    orders = widen(load(spark, sf_dir, "orders").drop("o_custkey"))
     app = F.concat(F.lit("app-"), "o_orderstatus").alias("app")
     job, start = F.col("o_orderkey").cast("int"), _ms("o_orderdate")
     end = start + F.floor("o_totalprice")
@@ -104,7 +106,12 @@ def _executor_lines(spark, sf_dir) -> DataFrame:
 
 
 def _tasks(spark, sf_dir) -> DataFrame:
-    return T.tasks(T.parse(_task_lines(spark, sf_dir)))
+    """The task table that all reports share: the log is parsed once."""
+
+    def write(path: str) -> None:
+        T.tasks(T.parse(_task_lines(spark, sf_dir))).write.parquet(path)
+
+    return spark.read.parquet(once(spark, sf_dir, "task-table", write))
 
 
 RUN = "CAST(l_quantity AS BIGINT) * 1000"
@@ -129,7 +136,7 @@ def _total(expr: str, name: str) -> str:
         l_partkey * 100 AS shuffle_written, {RUN} * 300000 AS shuffle_write_ns, {RUN} AS duration_ms FROM lineitem""",
 )
 def tel_tasks(spark, sf_dir):
-    return _tasks(spark, sf_dir)
+    return T.tasks(T.parse(_task_lines(spark, sf_dir)))
 
 
 @query(

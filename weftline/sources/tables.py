@@ -18,6 +18,15 @@ def load(spark: SparkSession, sf_dir: str, name: str, row_id: str | None = None)
     return df
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread the rows of a few files over all cores, before work that is heavy per row.
+
+    A file of one row group is read by one task. A table of many files is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def gen_range(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(0, n)
 

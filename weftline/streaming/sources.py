@@ -24,6 +24,10 @@ def stream_session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        # One store per partition holds both sides of a join.
+        "spark.sql.streaming.join.stateFormatVersion": "3",
+        # Changes are uploaded per batch instead of whole snapshots.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     for key, value in settings.items():

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 
@@ -36,55 +36,41 @@ def _combine(df: DataFrame, key: str, amount: str, ts: str) -> DataFrame:
     return df.select(key, amount, ts).mapInPandas(fold, schema)
 
 
-class RunningTotal(StatefulProcessor):
-    """Count and sum per key; a key that is silent for ``idle_ms`` of event time is forgotten."""
+def _running(key: str, idle_ms: int):
+    def update(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def row(n: int, amount: int, closed: bool) -> pd.DataFrame:
+            return pd.DataFrame({key: [group[0]], "n": [n], "amount": [amount], "closed": [closed]})
 
-    def __init__(self, key: str, idle_ms: int):
-        self.key, self.idle_ms = key, idle_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.total = handle.getValueState("total", "n long, amount long, expires long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, amount, expires = self.total.get() if self.total.exists() else (0, 0, 0)
-        # Rows are handed over before the timers that are due, so a timeout may still be pending here.
-        if expires and timerValues.getCurrentWatermarkInMs() >= expires:
-            self.handle.deleteTimer(expires)
-            yield self._row(key, n, amount, True)
+        n, amount, expires = state.get if state.exists else (0, 0, 0)
+        if state.hasTimedOut:
+            state.remove()
+            yield row(n, amount, True)
+            return
+        # A key with new rows is not timed out by the engine even if its time is up.
+        if expires and state.getCurrentWatermarkMs() >= expires:
+            yield row(n, amount, True)
             n, amount, expires = 0, 0, 0
-        for pdf in rows:
+        for pdf in batches:
             n += int(pdf["n"].sum())
             amount += int(pdf["amount"].sum())
-            last = pdf["last_ts"].max()
-            renewed = int(last.timestamp() * 1000) + self.idle_ms
-            if renewed > expires:
-                if expires:
-                    self.handle.deleteTimer(expires)
-                self.handle.registerTimer(renewed)
-                expires = renewed
-        self.total.update((n, amount, expires))
-        yield self._row(key, n, amount, False)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n, amount, _ = self.total.get()
-        self.total.clear()
-        yield self._row(key, n, amount, True)
-
-    def _row(self, key, n: int, amount: int, closed: bool) -> pd.DataFrame:
-        return pd.DataFrame({self.key: [key[0]], "n": [n], "amount": [amount], "closed": [closed]})
+            expires = max(expires, int(pdf["last_ts"].max().timestamp() * 1000) + idle_ms)
+        state.update((n, amount, expires))
+        # A timeout must lie after the watermark; a late key is closed with the next batch.
+        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
+        yield row(n, amount, False)
 
-    def close(self) -> None:
-        pass
+    return update
 
 
 def keyed_state(df: DataFrame, key: str, amount: str, ts: str, delay: str, idle_seconds: int) -> DataFrame:
-    """Running count and sum per key, one row per key and micro-batch, and a closing row on timeout."""
+    """Running count and sum per key: one row per key and micro-batch, and a closing row when
+    the key was silent for ``idle_seconds`` of event time, after which it is forgotten."""
     combined = _combine(df, key, amount, ts).withWatermark("last_ts", delay)
     kind = df.schema[key].dataType.simpleString()
-    return combined.groupBy(key).transformWithStateInPandas(
-        RunningTotal(key, idle_seconds * 1000),
+    return combined.groupBy(key).applyInPandasWithState(
+        _running(key, idle_seconds * 1000),
         outputStructType=f"{key} {kind}, n long, amount long, closed boolean",
-        outputMode="Update",
-        timeMode="EventTime",
+        stateStructType="n long, amount long, expires long",
+        outputMode="update",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
