@@ -8,15 +8,18 @@ and a small table with one row per slice supplies what came before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.window import WindowSpec
 
 from weftline.operators.skew import hot_groups, hot_rows, in_groups
 
 SLICE = "_slice"
 RN = "_rn"
+MAX_BROADCAST_SLICES = 500_000
 FINER = 8  # slices per row limit, so that uneven order values still give small slices
 
 
@@ -47,36 +50,53 @@ def _directed(order: Sequence[str], desc: bool) -> list[Column]:
     return [F.col(c).desc() if desc else F.col(c).asc() for c in order]
 
 
-def _cut(df: DataFrame, keys: Sequence[str], order: str, desc: bool, max_rows: int | None) -> DataFrame | None:
-    """Add the slice number of each row: -1 in normal groups, rising along the order in hot ones.
+@dataclass(frozen=True)
+class _Cut:
+    """Rows with their slice number: -1 in normal groups, rising along the order in hot ones."""
 
-    Rows with equal order values share a slice. None when there is no hot group.
-    """
+    rows: DataFrame
+    slices: int
+
+    def per_slice(self, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+        named = [agg.alias(name) for name, agg in aggs.items()]
+        return self.rows.where(F.col(SLICE) >= 0).groupBy(*keys, SLICE).agg(*named)
+
+    def sums_before(self, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+        """Per slice the sum of each aggregate over the earlier slices of its group."""
+        earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        sums = [F.sum(name).over(earlier).alias(name) for name in aggs]
+        return self.per_slice(keys, aggs).select(*keys, SLICE, *sums)
+
+    def attach(self, df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+        """Join back a summary with at most one row per slice; its size is known, so it can be broadcast."""
+        return _attach(df, F.broadcast(summary) if self.slices <= MAX_BROADCAST_SLICES else summary, on)
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: str, desc: bool, max_rows: int | None) -> _Cut | None:
+    """Cut the hot groups along ``order``; rows with equal order values share a slice. None without hot groups."""
     hot = hot_groups(df, keys, max_rows)
     if not hot:
         return None
     limit = hot_rows(df.sparkSession, max_rows)
     position = -_position(df, order) if desc else _position(df, order)
     tagged = df.withColumns({"_h": F.xxhash64(*keys), "_pos": position})
-    # At most one row per hot group, and the list of hot groups is bounded.
+    # One row per hot group, of which there are few.
     bounds = (
         tagged.where(in_groups(keys, hot))
         .groupBy("_h")
-        .agg(F.min("_pos").alias("_hot_lo"), F.max("_pos").alias("_hot_hi"), F.count("*").alias("_hot_n"))
+        .agg(F.min("_pos"), F.max("_pos"), F.ceil(F.count("*") / F.lit(limit)) * FINER)
+        .collect()
     )
-    slices = F.ceil(F.col("_hot_n") / F.lit(limit)) * FINER
+    shape = "_h long, _hot_lo double, _hot_hi double, _hot_slices long"
     span = F.col("_hot_hi") - F.col("_hot_lo")
-    at = F.when(span > 0, F.floor((F.col("_pos") - F.col("_hot_lo")) / span * slices)).otherwise(0)
+    at = F.when(span > 0, F.floor((F.col("_pos") - F.col("_hot_lo")) / span * F.col("_hot_slices"))).otherwise(0)
     # Nulls sort first when ascending and last when descending.
     at = F.when(F.col("_pos").isNull(), F.lit(2**30) if desc else F.lit(0)).otherwise(at)
-    number = F.when(F.col("_hot_n").isNull(), F.lit(-1)).otherwise(at).cast("long")
-    marked = tagged.join(F.broadcast(bounds), "_h", "left").withColumn(SLICE, number)
-    return marked.drop("_h", "_pos", "_hot_lo", "_hot_hi", "_hot_n")
-
-
-def _per_slice(cut: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    named = [agg.alias(name) for name, agg in aggs.items()]
-    return cut.where(F.col(SLICE) >= 0).groupBy(*keys, SLICE).agg(*named)
+    number = F.when(F.col("_hot_slices").isNull(), F.lit(-1)).otherwise(at).cast("long")
+    small = df.sparkSession.createDataFrame([tuple(r) for r in bounds], shape)
+    marked = tagged.join(F.broadcast(small), "_h", "left").withColumn(SLICE, number)
+    rows = marked.drop("_h", "_pos", "_hot_lo", "_hot_hi", "_hot_slices")
+    return _Cut(rows, sum(r[3] + 2 for r in bounds))
 
 
 def _attach(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -86,24 +106,6 @@ def _attach(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(renamed, same, "left").drop(*[f"_s_{c}" for c in on])
 
 
-def _sums_before(cut: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """Per slice the sum of each aggregate over the earlier slices of its group."""
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    sums = [F.sum(name).over(earlier).alias(name) for name in aggs]
-    return _per_slice(cut, keys, aggs).select(*keys, SLICE, *sums)
-
-
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None) -> tuple[DataFrame, bool]:
-    """Row number within the group; the second value tells whether hot groups were cut."""
-    cut = _cut(df, keys, order[0], False, max_rows)
-    if cut is None:
-        return df.withColumn(RN, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")), False
-    local = cut.withColumn(RN, F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)).cast("long"))
-    before = _sums_before(cut, keys, {"_before": F.count("*")})
-    joined = _attach(local, before, [*keys, SLICE])
-    return joined.withColumn(RN, F.col(RN) + F.coalesce("_before", F.lit(0))).drop("_before"), True
-
-
 def rank_in(
     df: DataFrame,
     part: Sequence[str],
@@ -129,23 +131,31 @@ def rank_in(
         )
     group = [*part, SLICE]
     by_peers, by_rows = Window.partitionBy(*group).orderBy(*peers), Window.partitionBy(*group).orderBy(*total_order)
-    local = cut.withColumns(
+    local = cut.rows.withColumns(
         {
             "row_number": F.row_number().over(by_rows).cast("long"),
             "rank": F.rank().over(by_peers).cast("long"),
             "dense_rank": F.dense_rank().over(by_peers).cast("long"),
+            "_total": F.count("*").over(Window.partitionBy(*group)),
         }
     )
-    counts = {"_rows": F.count("*"), "_values": F.count_distinct(F.struct(*order))}
-    joined = _attach(local, _sums_before(cut, part, counts), group)
-    totals = cut.groupBy(*part).agg(F.count("*").alias("_total"))
-    joined = _attach(joined, totals, part)
+    counts = cut.per_slice(part, {"_rows": F.count("*"), "_values": F.count_distinct(F.struct(*order))})
+    whole_group = Window.partitionBy(*part)
+    earlier = whole_group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        *group,
+        F.sum("_rows").over(earlier).alias("_rows"),
+        F.sum("_values").over(earlier).alias("_values"),
+        F.sum("_rows").over(whole_group).alias("_all"),
+    )
+    joined = cut.attach(local, before, group)
     rows_before, values_before = F.coalesce("_rows", F.lit(0)), F.coalesce("_values", F.lit(0))
     joined = joined.withColumns(
         {
             "row_number": F.col("row_number") + rows_before,
             "rank": F.col("rank") + rows_before,
             "dense_rank": F.col("dense_rank") + values_before,
+            "_total": F.coalesce("_all", "_total"),
         }
     )
     # The first `long` tiles have one row more than the others.
@@ -157,23 +167,27 @@ def rank_in(
     spread = F.when(F.col("_total") > 1, (F.col("rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
     ranked = joined.withColumns({"percent_rank": spread, "ntile": tile})
     whole = {c: F.col(c).cast("int") for c in ("row_number", "rank", "dense_rank", "ntile")}
-    return ranked.withColumns(whole).drop(SLICE, "_rows", "_values", "_total")
+    return ranked.withColumns(whole).drop(SLICE, "_rows", "_values", "_all", "_total")
 
 
-def _blocks(numbered: DataFrame, back: int, ahead: int, size: int) -> DataFrame:
-    """Equal blocks of rows, each with a copy of the ``back`` rows before and ``ahead`` rows after it.
+def _blocks(cut: _Cut, part: Sequence[str], order: Sequence[str], back: int, ahead: int, size: int) -> DataFrame:
+    """Hot groups in equal blocks of rows, each with a copy of the ``back`` rows before and ``ahead`` rows after it.
 
-    ``_own`` marks the original of each row. No row is copied more than twice because
-    a block is at least as long as the frame.
+    ``_own`` marks the original of each row, ``_rn`` is its number in the group. No row is
+    copied more than twice because a block is at least as long as the frame. A normal group
+    is one block.
     """
+    numbered = cut.rows.withColumn(RN, F.row_number().over(Window.partitionBy(*part, SLICE).orderBy(*order)).cast("long"))
+    numbered = cut.attach(numbered, cut.sums_before(part, {"_before": F.count("*")}), [*part, SLICE])
+    numbered = numbered.withColumn(RN, F.col(RN) + F.coalesce("_before", F.lit(0))).drop("_before")
     size = max(size, back, ahead, 1)
-    at = F.col(RN) - 1
-    home = F.floor(at / size)
+    hot, at = F.col(SLICE) >= 0, F.col(RN) - 1
+    home = F.when(hot, F.floor(at / size)).otherwise(F.lit(0))
     offset = at % size
     places = F.array(
         home,
-        F.when(offset >= size - back, home + 1) if back else F.lit(None).cast("long"),
-        F.when((offset < ahead) & (home > 0), home - 1) if ahead else F.lit(None).cast("long"),
+        F.when(hot & (offset >= size - back), home + 1) if back else F.lit(None).cast("long"),
+        F.when(hot & (offset < ahead) & (home > 0), home - 1) if ahead else F.lit(None).cast("long"),
     )
     copied = numbered.withColumn("_home", home).withColumn("_block", F.explode(F.array_compact(places)))
     return copied.withColumn("_own", F.col("_block") == F.col("_home"))
@@ -185,14 +199,14 @@ def _by_rows(
     order: Sequence[str],
     back: int,
     ahead: int,
-    exprs,
+    exprs: Callable[[WindowSpec], dict[str, Column]],
     max_rows: int | None,
 ) -> DataFrame:
     """Evaluate frames of a fixed number of rows. ``exprs`` maps an ordered window to named columns."""
-    numbered, hot = _numbered(df, part, order, max_rows)
-    if not hot:
+    cut = _cut(df, part, order[0], False, max_rows)
+    if cut is None:
         return df.withColumns(exprs(Window.partitionBy(*part).orderBy(*order)))
-    blocks = _blocks(numbered, back, ahead, hot_rows(df.sparkSession, max_rows))
+    blocks = _blocks(cut, part, order, back, ahead, hot_rows(df.sparkSession, max_rows))
     result = blocks.withColumns(exprs(Window.partitionBy(*part, "_block").orderBy(RN)))
     return result.where("_own").drop(RN, SLICE, "_home", "_block", "_own")
 
@@ -201,25 +215,33 @@ def shift_in(
     df: DataFrame, part: Sequence[str], order: Sequence[str], column: str, n: int = 1, max_rows: int | None = None
 ) -> DataFrame:
     """lag and lead by ``n`` rows, and the first and last value of the group."""
-    shifted = _by_rows(
-        df,
-        part,
-        order,
-        n,
-        n,
-        lambda w: {f"lag_{column}": F.lag(column, n).over(w), f"lead_{column}": F.lead(column, n).over(w)},
-        max_rows,
-    )
-    # First and last are aggregates: combined before the shuffle, then joined back.
+    first, last = f"first_{column}", f"last_{column}"
+
+    def exprs(w: WindowSpec) -> dict[str, Column]:
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return {
+            f"lag_{column}": F.lag(column, n).over(w),
+            f"lead_{column}": F.lead(column, n).over(w),
+            first: F.first(column).over(whole),
+            last: F.last(column).over(whole),
+        }
+
+    cut = _cut(df, part, order[0], False, max_rows)
+    if cut is None:
+        return df.withColumns(exprs(Window.partitionBy(*part).orderBy(*order)))
+    blocks = _blocks(cut, part, order, n, n, hot_rows(df.sparkSession, max_rows))
+    shifted = blocks.withColumns(exprs(Window.partitionBy(*part, "_block").orderBy(RN))).where("_own")
+    # The ends of a hot group lie in other blocks; they are found with a partial aggregate.
     at = F.struct(*order)
-    ends = df.groupBy(*part).agg(
+    ends = cut.rows.where(F.col(SLICE) >= 0).groupBy(*part).agg(
         F.min_by(F.struct(column), at).alias("_first"), F.max_by(F.struct(column), at).alias("_last")
     )
-    return _attach(shifted, ends, part).select(
-        *shifted.columns,
-        F.col(f"_first.{column}").alias(f"first_{column}"),
-        F.col(f"_last.{column}").alias(f"last_{column}"),
-    )
+    joined = cut.attach(shifted, ends, part)
+    fixed = {
+        first: F.when(F.col("_first").isNull(), F.col(first)).otherwise(F.col(f"_first.{column}")),
+        last: F.when(F.col("_last").isNull(), F.col(last)).otherwise(F.col(f"_last.{column}")),
+    }
+    return joined.withColumns(fixed).drop(RN, SLICE, "_home", "_block", "_own", "_first", "_last")
 
 
 def running(
@@ -231,9 +253,8 @@ def running(
     to_here = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     if cut is None:
         return df.withColumn(name, F.sum("_value").over(to_here(*part))).drop("_value")
-    local = cut.withColumn(name, F.sum("_value").over(to_here(*part, SLICE)))
-    before = _sums_before(cut, part, {"_before": F.sum("_value")})
-    joined = _attach(local, before, [*part, SLICE])
+    local = cut.rows.withColumn(name, F.sum("_value").over(to_here(*part, SLICE)))
+    joined = cut.attach(local, cut.sums_before(part, {"_before": F.sum("_value")}), [*part, SLICE])
     # A sum over no values is null, so the total is null only where both parts are.
     both = F.col(name) + F.col("_before")
     return joined.withColumn(name, F.coalesce(both, F.col(name), F.col("_before"))).drop("_before", "_value", SLICE)
@@ -266,11 +287,14 @@ def moving_range(
     # A hot group is cut into stretches at least as long as the frame; a stretch also gets
     # the rows of one frame length before it, so each row is copied once at most.
     limit = hot_rows(df.sparkSession, max_rows)
-    is_hot = in_groups(part, hot)
-    bounds = timed.where(is_hot).groupBy(F.xxhash64(*part).alias("_h")).agg(
-        (F.max("_at") - F.min("_at")).alias("_hot_len"), F.count("*").alias("_hot_n")
+    bounds = (
+        timed.where(in_groups(part, hot))
+        .groupBy(F.xxhash64(*part).alias("_h"))
+        .agg((F.max("_at") - F.min("_at")).alias("_hot_len"), F.count("*").alias("_hot_n"))
+        .collect()
     )
-    wide = timed.withColumn("_h", F.xxhash64(*part)).join(F.broadcast(bounds), "_h", "left")
+    small = df.sparkSession.createDataFrame([tuple(r) for r in bounds], "_h long, _hot_len long, _hot_n long")
+    wide = timed.withColumn("_h", F.xxhash64(*part)).join(F.broadcast(small), "_h", "left")
     slices = F.ceil(F.col("_hot_n") / limit) * FINER
     length = F.greatest(F.lit(span), F.ceil(F.col("_hot_len") / slices), F.lit(1))
     cut = F.col("_hot_n").isNotNull()
@@ -312,10 +336,10 @@ def carry_last(
     cut = _cut(df, part, order[0], False, max_rows)
     if cut is None:
         return df.withColumn(name, F.last(column, ignorenulls=True).over(to_here(*part)))
-    local = cut.withColumn(name, F.last(column, ignorenulls=True).over(to_here(*part, SLICE)))
+    local = cut.rows.withColumn(name, F.last(column, ignorenulls=True).over(to_here(*part, SLICE)))
     seen_at = F.when(F.col(column).isNotNull(), F.struct(*order))
-    newest = _per_slice(cut, part, {"_newest": F.max_by(column, seen_at)})
+    newest = cut.per_slice(part, {"_newest": F.max_by(column, seen_at)})
     earlier = Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     before = newest.select(*part, SLICE, F.last("_newest", ignorenulls=True).over(earlier).alias("_before"))
-    joined = _attach(local, before, [*part, SLICE])
+    joined = cut.attach(local, before, [*part, SLICE])
     return joined.withColumn(name, F.coalesce(name, "_before")).drop("_before", SLICE)
