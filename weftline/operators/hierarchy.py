@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from weftline.session import scratch
 
@@ -23,9 +23,9 @@ def walk(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
         level = frontier.select(F.col("_from").alias("node"))
         if depth:
             level = links.join(frontier, "_from").select("node")
-        target = f"{path}/depth={depth}"
-        level.write.parquet(target)
-        frontier = spark.read.schema(schema).parquet(target).select(F.col("node").alias("_from"))
-        if frontier.isEmpty():
+        target, written = f"{path}/depth={depth}", Observation()
+        level.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(target)
+        if not written.get["n"]:
             break
+        frontier = spark.read.schema(schema).parquet(target).select(F.col("node").alias("_from"))
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])).option("basePath", path).parquet(path)
