@@ -116,7 +116,7 @@ def test_bucketed_pair_with_hot_key(spark):
     C.write_join_pair(big, small, "k", tables, 8, "id", max_rows=100)
     assert rows(C.bucketed_join(spark, tables, "k")) == rows(big.join(small, "k"))
     salts = spark.table(tables[0]).where("k = 1").select("_salt").distinct().count()
-    assert salts == 4
+    assert salts >= 15
 
 
 def test_evolved_files(spark):

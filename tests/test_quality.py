@@ -166,7 +166,7 @@ def test_per_group_cuts_or_refuses(spark):
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"k": [1], "n": [pdf["n"].sum()]})
 
-    assert rows(P.per_group(df, ["k"], count, "k int, n long", merge=add, pieces=8, max_rows=50)) == [(1, 200)]
+    assert rows(P.per_group(df, ["k"], count, "k int, n long", merge=add, max_rows=50)) == [(1, 200)]
     with pytest.raises(ValueError, match="merge"):
         P.per_group(df, ["k"], count, "k int, n long", max_rows=50)
 

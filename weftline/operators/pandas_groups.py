@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weftline.operators.joins import fits
-from weftline.operators.skew import SALT, hot_groups, in_groups, spread_hot
+from weftline.operators.skew import SALT, hot_counts, hot_rows, in_groups, salts_for, spread_hot
 
 Frames = Iterator[pd.DataFrame]
+GROUP_ROWS = 1_000_000
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, name: str) -> DataFrame:
@@ -57,20 +58,21 @@ def per_group(
     schema: str,
     merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
     spread_by: Sequence[str] | None = None,
-    pieces: int = 256,
     max_rows: int | None = None,
 ) -> DataFrame:
     """Apply ``fn`` to the rows of each group as one pandas frame.
 
-    A group has to fit in a task. Groups above the row limit are cut into pieces; ``fn``
-    then sees a piece, and ``merge`` turns the results of a group's pieces into one.
+    A group has to fit in the memory of a Python worker. Groups above the row limit are cut
+    into pieces; ``fn`` then sees a piece, and ``merge`` turns the results of a group's pieces into one.
     """
-    hot = hot_groups(df, keys, max_rows)
+    limit = max_rows or min(GROUP_ROWS, hot_rows(df.sparkSession))
+    hot = hot_counts(df, keys, limit)
     if not hot:
         return _by_key(df, keys).groupBy(*keys).applyInPandas(fn, schema)
     if merge is None:
         raise ValueError("some groups are too large for one task; give a merge function")
-    cut = spread_hot(df, in_groups(keys, hot), spread_by or df.columns, pieces)
+    # Twice the pieces, because a hash fills them unevenly.
+    cut = spread_hot(df, in_groups(keys, list(hot)), spread_by or df.columns, 2 * salts_for(hot, limit))
     partial = _by_key(cut, [*keys, SALT]).groupBy(*keys, SALT).applyInPandas(lambda pdf: fn(pdf.drop(columns=SALT)), schema)
     return partial.groupBy(*keys).applyInPandas(merge, schema)
 

@@ -7,14 +7,15 @@ separate integer, so any text may occur in a key. Rows with a null key are kept.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 HOT_ROWS = 10_000_000
 HOT_ROWS_CONF = "spark.weftline.hotRows"
-MAX_HOT_GROUPS = 256
-TRACKED_ITEMS = 50_000
+MAX_HOT_GROUPS = 10_000
+TRACKED_ITEMS = 100_000
 SALT = "_salt"
 
 
@@ -23,20 +24,29 @@ def hot_rows(spark: SparkSession, given: int | None = None) -> int:
     return given or int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> list[int]:
-    """Hashes of the key groups that hold more than ``max_rows`` rows.
+def hot_counts(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> dict[int, int]:
+    """Hash and estimated rows of the key groups above ``max_rows``, largest first.
 
     One pass over the key columns with a frequent-items sketch, combined before
-    the shuffle. At most ``MAX_HOT_GROUPS`` values come back to the driver. The list
-    decides only how the work is split, so results do not depend on its precision.
+    the shuffle. At most ``MAX_HOT_GROUPS`` entries come back to the driver; a key that is
+    not among them holds less than a ten-thousandth of the rows. The list decides only how
+    the work is split, so results do not depend on its precision.
     """
     limit = hot_rows(df.sparkSession, max_rows)
-    top = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {MAX_HOT_GROUPS}, {TRACKED_ITEMS})").alias("top"))
-        .first()["top"]
+    top = df.select(F.xxhash64(*keys).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {MAX_HOT_GROUPS}, {TRACKED_ITEMS})").alias("top")
     )
-    return [entry["item"] for entry in top or [] if entry["count"] > limit]
+    hot = top.select(F.filter("top", lambda entry: entry["count"] > limit).alias("hot")).first()["hot"]
+    return {entry["item"]: entry["count"] for entry in hot or []}
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> list[int]:
+    return list(hot_counts(df, keys, max_rows))
+
+
+def salts_for(hot: Mapping[int, int], limit: int) -> int:
+    """Salts that bring the largest hot key down to the row limit per task."""
+    return max(2, math.ceil(max(hot.values(), default=0) / limit))
 
 
 def in_groups(keys: Sequence[str], hashes: Sequence[int]) -> Column:
@@ -103,27 +113,25 @@ def outer_join(
     keys: Sequence[str],
     how: str,
     salt_by: Sequence[str] | None = None,
-    n: int = 64,
     max_rows: int | None = None,
 ) -> DataFrame:
     """Left, right or full outer join that survives a hot key on either side.
 
     Adaptive execution can split only the preserved side of an outer join (and neither
     side of a full one). The other side is measured, and its hot keys are joined apart.
+    ``salt_by`` names columns of the side that is not preserved (of ``right`` for a full join).
     """
+    rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
     if how == "right":
-        joined = outer_join(right, left, keys, "left", salt_by, n, max_rows)
-        rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
-        return joined.select(*keys, *rest)
-    found = hot_groups(right, keys, max_rows)
+        return outer_join(right, left, keys, "left", salt_by, max_rows).select(*keys, *rest)
+    found = hot_counts(right, keys, max_rows)
     if how == "full":
-        found = sorted(set(found) | set(hot_groups(left, keys, max_rows)))
+        found |= {h: n for h, n in hot_counts(left, keys, max_rows).items() if n > found.get(h, 0)}
     if not found:
         return left.join(right, list(keys), how)
+    salts = salts_for(found, hot_rows(left.sparkSession, max_rows))
     flipped = {"left": "right", "full": "full"}[how]
-    joined = split_skew_join(right, left, keys, in_groups(keys, found), n, flipped, salt_by)
-    rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
-    return joined.select(*keys, *rest)
+    return split_skew_join(right, left, keys, in_groups(keys, list(found)), salts, flipped, salt_by).select(*keys, *rest)
 
 
 # Each entry: what to compute per salted part, and how to put the parts together.

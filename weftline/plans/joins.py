@@ -9,7 +9,7 @@ from weftline.operators import joins as J, skew as S
 from weftline.plans.registry import query
 from weftline.plans.shared import orders_by_month
 from weftline.session import scratch_table
-from weftline.sources.catalog import bucketed_join, write_join_pair
+from weftline.sources.catalog import bucketed_join, buckets_for, write_join_pair
 from weftline.sources.tables import load
 
 STATUS_SQL = """SELECT o_orderstatus, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty, count(*) AS n
@@ -70,15 +70,16 @@ def join_salted(spark, sf_dir):
 @query("join_split_skew", STATUS_SQL)
 def join_split_skew(spark, sf_dir):
     lines = _lines(spark, sf_dir, row_id="row")
-    hot = S.in_groups(["orderkey"], S.hot_groups(lines, ["orderkey"]))
-    return _by_status(S.split_skew_join(lines, _orders(spark, sf_dir), ["orderkey"], hot, 64, salt_by=["row"]))
+    hot = S.hot_counts(lines, ["orderkey"])
+    is_hot, salts = S.in_groups(["orderkey"], list(hot)), S.salts_for(hot, S.hot_rows(spark))
+    return _by_status(S.split_skew_join(lines, _orders(spark, sf_dir), ["orderkey"], is_hot, salts, salt_by=["row"]))
 
 
 @query("bucket_join", STATUS_SQL)
 def bucket_join(spark, sf_dir):
     tables = (scratch_table(spark, "lines"), scratch_table(spark, "orders"))
-    buckets = max(8, spark.sparkContext.defaultParallelism)
-    write_join_pair(_lines(spark, sf_dir, row_id="row"), _orders(spark, sf_dir), "orderkey", tables, buckets, "row")
+    lines = _lines(spark, sf_dir, row_id="row")
+    write_join_pair(lines, _orders(spark, sf_dir), "orderkey", tables, buckets_for(lines), "row")
     return _by_status(bucketed_join(spark, tables, "orderkey"))
 
 

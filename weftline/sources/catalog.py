@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from weftline.operators.skew import SALT, hot_groups, in_groups, replicate_hot, spread_hot
+from weftline.operators.skew import HOT_ROWS, SALT, hot_counts, hot_rows, in_groups, replicate_hot, salts_for, spread_hot
 from weftline.sources.layout import rebalance
 
 
@@ -105,10 +105,14 @@ def write_join_pair(
     key get different salts on the big side and one copy per salt on the small side;
     all other rows have salt 0.
     """
-    hot = hot_groups(big, [key], max_rows)
-    salts = max(1, math.ceil(buckets / 2)) if hot else 1
-    write_bucketed(spread_hot(big, in_groups([key], hot), [row_id], salts), tables[0], buckets, [key, SALT])
-    write_bucketed(replicate_hot(small, in_groups([key], hot), salts), tables[1], buckets, [key, SALT])
+    hot = hot_counts(big, [key], max_rows)
+    is_hot, salts = in_groups([key], list(hot)), salts_for(hot, hot_rows(big.sparkSession, max_rows))
+    write_bucketed(spread_hot(big, is_hot, [row_id], salts), tables[0], buckets, [key, SALT])
+    write_bucketed(replicate_hot(small, is_hot, salts), tables[1], buckets, [key, SALT])
+
+
+def buckets_for(df: DataFrame, rows_per_bucket: int = HOT_ROWS, at_least: int = 8) -> int:
+    return max(at_least, math.ceil(df.count() / rows_per_bucket))
 
 
 def bucketed_join(spark: SparkSession, tables: tuple[str, str], key: str) -> DataFrame:
