@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
-from check import compare
+from check import TABLES, compare
 
 import __spark_entry__ as entry
 from tests.conftest import SF_DIR
@@ -37,3 +38,31 @@ def test_every_sql_has_a_query():
 def test_entry(spark):
     first = entry.entry(spark).first()
     assert (first["o_orderpriority"], round(first["revenue"], 4), first["n"]) == ("5-LOW", 7739051.5609, 151)
+
+
+# A third of the rows of each table gets one key.
+SKEWED = {
+    "lineitem": "l_orderkey = CASE WHEN row_number() OVER () % 3 = 0 THEN 7 ELSE l_orderkey END",
+    "orders": "o_custkey = CASE WHEN o_orderkey % 3 = 0 THEN 11 ELSE o_custkey END",
+    "events": "user_id = CASE WHEN event_id % 3 = 0 THEN 3 ELSE user_id END",
+}
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    folder, con = tmp_path_factory.mktemp("skewed"), duckdb.connect()
+    for t in TABLES:
+        source, target = f"read_parquet('{SF_DIR}/{t}.parquet')", folder / f"{t}.parquet"
+        column, _, value = SKEWED.get(t, "").partition(" = ")
+        replaced = f"REPLACE ({value} AS {column})" if column else ""
+        con.sql(f"COPY (SELECT * {replaced} FROM {source}) TO '{target}' (FORMAT parquet)")
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{target}')")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("key", [*SKEW_AWARE, "win_share", "win_topn", "join_semi", "join_anti", "st_interval_join"])
+def test_same_on_skewed_tables(spark, skewed, conf, key):
+    conf(spark__weftline__hotRows="100")
+    folder, con = skewed
+    verdict = compare(spark, con, key, folder, QUERIES, SQL)
+    assert verdict == "ok", verdict
