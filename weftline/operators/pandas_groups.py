@@ -34,19 +34,16 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, na
 def vectorised(fn: Callable[..., pd.Series], returns: T.DataType | str, *columns: str) -> Column:
     """A function of whole column batches."""
 
-    def batch(*series: pd.Series) -> pd.Series:
-        return fn(*series)
-
     # The number of arguments is part of the type hints that select the kind of function.
     if len(columns) == 1:
 
         def one(a: pd.Series) -> pd.Series:
-            return batch(a)
+            return fn(a)
 
         return F.pandas_udf(one, returns)(*columns)
 
     def many(*series: pd.Series) -> pd.Series:
-        return batch(*series)
+        return fn(*series)
 
     return F.pandas_udf(many, returns)(*columns)
 
