@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,16 +20,44 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+PARTITION_BYTES = 128 << 20
+
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def partitions_for(input_bytes: int, at_least: int = 200) -> int:
+    """Shuffle partitions that hold about 128 MB each if a whole input is shuffled; adaptive execution merges small ones."""
+    return max(at_least, -(-input_bytes // PARTITION_BYTES))
 
 
-def build_session(app: str = "weftline", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "weftline", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with this package on its workers. ``input_bytes`` sizes the shuffles; explicit settings win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    sized = {"spark.sql.shuffle.partitions": str(partitions_for(input_bytes))} if input_bytes else {}
+    for key, value in {**DEFAULTS, **sized, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once per application, so that functions of its modules can run there.
+
+    The archive is a file of the driver, which Spark serves to the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="weftline-package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/{here.name}", "zip", here.parent, here.name))
+    _shipped.add(context.applicationId)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -47,12 +79,43 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing else ever writes to it."""
-    return f"{scratch_root(spark)}/weftline/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/weftline/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what the block wrote to the shared folder once the block is over.
+
+    Results that read those files have to be written or collected inside it. Tables in the scratch database go with
+    ``drop_scratch_database``.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in _scopes.pop():
+            place = hadoop(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_scratch_database(spark: SparkSession) -> None:
+    spark.sql(f"DROP DATABASE IF EXISTS {_database_name(spark)} CASCADE")
+
+
+def _database_name(spark: SparkSession) -> str:
+    return "weftline_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
 
 
 def scratch_database(spark: SparkSession) -> str:
     """One database per application, its tables stored under the shared folder."""
-    name = "weftline_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
+    name = _database_name(spark)
     if not spark.catalog.databaseExists(name):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch(spark, 'db')}'")
     return name
