@@ -56,3 +56,111 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
         OR 100 * len(regexp_extract_all(text, '(?m)^[\x20\t]*[-•*]\x20')) > 90 * len(lines)) AS kept
 FROM f
 """
+
+#: Exact search, components added in order and in double precision.
+NEAREST = """
+WITH e AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0),
+r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM d)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+#: All pairs that share a shingle, then the components by a recursive walk.
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANK}'),
+        lambda x: x <> '') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (
+    SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * both >= 85 * (x.n_shingles + y.n_shingles - both)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
+
+ARCHIVE = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+        CASE WHEN octet_length(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN original IS NOT NULL AND page_id IS DISTINCT FROM original THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN original IS NOT NULL AND page_id IS DISTINCT FROM original THEN original END AS refers_to FROM d
+"""
+
+_PII_KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    (
+        "ip",
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST('0' || right(p, 3) AS INT) > 255)) = 0",
+    ),
+    (
+        "card",
+        r"[0-9]([\x20-]?[0-9])+",
+        """length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda j: CASE
+            WHEN j % 2 = 1 THEN CAST(reverse(digits)[j] AS INT) WHEN reverse(digits)[j] > '4' THEN 2 * CAST(reverse(digits)[j] AS INT) - 9
+            ELSE 2 * CAST(reverse(digits)[j] AS INT) END)) % 10 = 0""",
+    ),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15"),
+    (
+        "iban",
+        r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[A-Z0-9]{1,3})?",
+        """NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]')
+            AND CAST(CAST(CAST(CAST(CAST(left(number, 30) AS HUGEINT) % 97 AS VARCHAR) || number[31:60] AS HUGEINT) % 97 AS VARCHAR)
+                || number[61:] AS HUGEINT) % 97 = 1""",
+    ),
+    (
+        "ssn",
+        r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+        r"""NOT regexp_matches(before, '[0-9-]$') AND NOT regexp_matches(after, '^[0-9-]')
+            AND NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$') AND (regexp_matches(before, '(?i)\b(ssn|social\s+security)\b')
+                OR regexp_matches(after, '(?i)\b(ssn|social\s+security)\b'))""",
+    ),
+]
+
+
+def _pii_kind(at: int, kind: str, pattern: str, good: str) -> str:
+    number = (
+        "array_to_string(list_transform(string_split(substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), ''), "
+        "lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END), '')"
+    )
+    return rf"""
+    SELECT k, {at} AS at, '{kind}' AS kind, start, start + length(m) AS stop FROM (
+        SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits, {number} AS number FROM (
+            SELECT k, m, right(gap, 48) AS before, left(gaps[i + 1], 48) AS after,
+                sum(length(gap)) OVER (o ROWS UNBOUNDED PRECEDING)
+                    + coalesce(sum(length(m)) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+            FROM (
+                SELECT k, gaps, unnest(found) AS m, unnest(gaps[1:len(found)]) AS gap, generate_subscripts(found, 1) AS i
+                FROM (SELECT k, regexp_extract_all(text, '{pattern}', 0) AS found, string_split_regex(text, '{pattern}') AS gaps FROM d))
+            WINDOW o AS (PARTITION BY k ORDER BY i)))
+    WHERE {good}"""
+
+
+PRIVATE = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(_pii_kind(i, *kind) for i, kind in enumerate(_PII_KINDS))}),
+p AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS place FROM s),
+g AS (
+    SELECT k, string_agg(place, ',' ORDER BY at, start) AS spans, string_agg(place, ',' ORDER BY at, start) FILTER (at < 4) AS base,
+        {", ".join(f"count(*) FILTER (at = {i}) AS n_{kind[0]}" for i, kind in enumerate(_PII_KINDS[:4]))}
+    FROM p GROUP BY k)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind[0]}, 0) AS n_{kind[0]}" for kind in _PII_KINDS[:4])},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (k)
+"""

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.llm import chat_format, oracles, pii, quality_cascade, url_rules
-from weftline.sources.tables import load
+import public_tokenizers
+
+from weftline.llm import (
+    ann_bits, byte_bpe, chat_format, minhash_tensor, oracles, packing, pii, quality_cascade, token_counts, url_rules, web_archive,
+)
+from weftline.session import scratch, ship_package
+from weftline.sources import tables
 
 #: The texts of conversation -7, which shows that control strings survive.
 TRICKY = r"\### Assistant: </turn> ok"
@@ -18,6 +23,11 @@ URL_RULES = [
 ]
 
 
+def load(spark, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return tables.load(spark, sf_dir, name)
+
+
 def _hex(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -94,10 +104,62 @@ def op7_url_rules(spark, sf_dir) -> DataFrame:
     return url_rules.filter_urls(pages, labelled, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_ann_bits(spark, sf_dir) -> DataFrame:
+    return ann_bits.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op3_minhash(spark, sf_dir) -> DataFrame:
+    scheme = minhash_tensor.Scheme(words=3, percent=85)
+    found = minhash_tensor.near_duplicates(load(spark, sf_dir, "documents"), scheme)
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op5_warc(spark, sf_dir) -> DataFrame:
+    path = scratch(spark, "warc")
+    web_archive.write_archive(load(spark, sf_dir, "pages"), path)
+    return web_archive.pages_of(web_archive.read_archive(spark, path))
+
+
+def op8_token_counts(spark, sf_dir) -> DataFrame:
+    starting, continuing = token_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_pieces(docs, starting, continuing).select("doc_id", "pieces.*")
+
+
+def op9_byte_bpe(spark, sf_dir) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.withColumn("ids", byte_bpe.encoded(spark, F.col("text"), path, public_tokenizers.PATTERN))
+    read = coded.withColumn("bytes", byte_bpe.decoded(spark, F.col("ids"), path))
+    return read.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        _hex(F.col("ids")).alias("ids_sha256"),
+        _hex(F.col("bytes")).alias("decoded_sha256"),
+    )
+
+
+def op10_packing(spark, sf_dir) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_ann_bits": op2_ann_bits,
+    "op3_minhash": op3_minhash,
     "op4_quality_cascade": op4_quality_cascade,
+    "op5_warc": op5_warc,
     "op6_pii": op6_pii,
     "op7_url_rules": op7_url_rules,
+    "op8_token_counts": op8_token_counts,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_packing": op10_packing,
+}
+SQL = {
+    "op1_chat_format": oracles.CHAT,
+    "op2_ann_bits": oracles.NEAREST,
+    "op3_minhash": oracles.NEAR_DUPLICATES,
+    "op4_quality_cascade": oracles.QUALITY,
+    "op5_warc": oracles.ARCHIVE,
+    "op6_pii": oracles.PRIVATE,
 }
-SQL = {"op1_chat_format": oracles.CHAT, "op4_quality_cascade": oracles.QUALITY}

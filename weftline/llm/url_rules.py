@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weftline.session import materialise
+
 
 BAD = "label:bad"
 
@@ -89,6 +91,8 @@ def mine_rules(
         .groupBy("rule")
         .agg(F.min_by("token", F.struct("n", "token")).alias("anchor"))
     )
+    # Written, so that Spark knows the size of the rule index and broadcasts it if it is small.
+    rarest = materialise(rarest, "url-candidates")
     distinct = rows.groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
     size = rows.agg(F.count("*").alias("all"))
     counted = (
@@ -99,7 +103,7 @@ def mine_rules(
         .where((F.col("n_bad") >= min_support * F.col("all")) & (F.col("n_bad") >= min_confidence * F.col("n")))
         .select("rule", "anchor", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / F.col("all")).alias("support"))
     )
-    return _shortest(counted)
+    return materialise(_shortest(materialise(counted, "url-counted")), "url-rules")
 
 
 def _fitting(urls: DataFrame, rules: DataFrame) -> DataFrame:
