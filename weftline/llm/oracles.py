@@ -64,7 +64,7 @@ WITH e AS (
     WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
         AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 d AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 100 = 0),
 r AS (
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
@@ -82,10 +82,10 @@ s AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle FROM d),
 n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
 l AS (
     SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-    WHERE 100 * both >= 85 * (x.n_shingles + y.n_shingles - both)),
+    WHERE 100 * shared >= 85 * (x.n_shingles + y.n_shingles - shared)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, component_id, doc_id = component_id AS kept
@@ -140,7 +140,7 @@ def _pii_kind(at: int, kind: str, pattern: str, good: str) -> str:
         "lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END), '')"
     )
     return rf"""
-    SELECT k, {at} AS at, '{kind}' AS kind, start, start + length(m) AS stop FROM (
+    SELECT k, {at} AS kind_no, '{kind}' AS kind, start, start + length(m) AS stop FROM (
         SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits, {number} AS number FROM (
             SELECT k, m, right(gap, 48) AS before, left(gaps[i + 1], 48) AS after,
                 sum(length(gap)) OVER (o ROWS UNBOUNDED PRECEDING)
@@ -157,8 +157,8 @@ WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text
 s AS ({" UNION ALL ".join(_pii_kind(i, *kind) for i, kind in enumerate(_PII_KINDS))}),
 p AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS place FROM s),
 g AS (
-    SELECT k, string_agg(place, ',' ORDER BY at, start) AS spans, string_agg(place, ',' ORDER BY at, start) FILTER (at < 4) AS base,
-        {", ".join(f"count(*) FILTER (at = {i}) AS n_{kind[0]}" for i, kind in enumerate(_PII_KINDS[:4]))}
+    SELECT k, string_agg(place, ',' ORDER BY kind_no, start) AS spans, string_agg(place, ',' ORDER BY kind_no, start) FILTER (kind_no < 4) AS base,
+        {", ".join(f"count(*) FILTER (kind_no = {i}) AS n_{kind[0]}" for i, kind in enumerate(_PII_KINDS[:4]))}
     FROM p GROUP BY k)
 SELECT doc_id, {", ".join(f"coalesce(n_{kind[0]}, 0) AS n_{kind[0]}" for kind in _PII_KINDS[:4])},
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
