@@ -81,10 +81,9 @@ def test_documents_equal_all_pairs(spark, sf_dir):
     assert got(spark, rows, scheme) == brute(rows, scheme)
 
 
-def test_large_buckets_take_the_rounds_of_leaders(spark, monkeypatch):
-    monkeypatch.setattr(M, "SMALL", 2)
-    monkeypatch.setattr(M, "LEADERS", 2)
-    rows, scheme = corpus(3)[:150], M.Scheme(words=3, percent=85)
+def test_large_neighbourhoods_are_cut_into_tiles(spark, monkeypatch):
+    monkeypatch.setattr(M, "TILE_SHINGLES", 3_000)
+    rows, scheme = corpus(3), M.Scheme(words=3, percent=85)
     assert got(spark, rows, scheme) == brute(rows, scheme)
 
 

@@ -4,16 +4,16 @@ Two small collections of ``m`` short MinHash tuples are computed per document. T
 tuple of the one and the j-th of the other, so ``m * m`` tables cost ``2 m`` tuples. Documents that share a key are
 candidates; links are confirmed on the full shingle sets, and groups are the connected components of the links.
 
-How a bucket of any size is worked through without all its pairs:
+How groups of any size are worked through:
 
 * Equal sets are one node; the copies follow by their digest.
 * Keys are sorted by range, on (key, document), so a key that a third of the rows share is cut over many tasks; only rows whose
   key occurs again go on.
 * Each bucket compares its members with one leader, the member that meets most others in all its buckets: in a group of
-  edited copies this is the common source.
-* Buckets whose members have not come together go on: up to ``SMALL`` members, all pairs of different components;
-  above, ``LEADERS`` more leaders are compared with all members. This repeats until every pair of every bucket has been
-  compared or is in one component, so no candidate is capped.
+  edited copies this is the common source. Confirmed links give first components.
+* The unconfirmed pairs join buckets to neighbourhoods: a candidate pair is always inside one. In each neighbourhood that still has
+  several components, all members outside the largest one are compared with all members by an inverted index of
+  their full sets. Large neighbourhoods are cut into tiles of bounded size. So no candidate is capped or left out.
 
 Candidates whose tuples agree less than ``least_agreement`` of 2 m are passed over unread; for a pair at the threshold that
 happens less than once in a million.
@@ -29,13 +29,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.llm.workers import Memo, once_per_worker
 from weftline.session import materialise
 
-SMALL = 64
-LEADERS = 16
+#: Shingles that one side of a tile holds.
+TILE_SHINGLES = 2_000_000
 #: Words whose hash a worker keeps.
 REMEMBERED = 500_000
 ROWS_PER_SORT_TASK = 4_000_000
@@ -202,10 +202,8 @@ def _pairs(a: Column, b: Column) -> list[Column]:
 
 
 def star_pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Each member with the leaders of its bucket; members of a leader's component are left out if components are known."""
+    """Each member with the leader of its bucket."""
     joined = members.alias("m").join(leaders.alias("l"), "key").where(F.col("m.doc") != F.col("l.doc"))
-    if "component" in members.columns:
-        joined = joined.where(F.col("m.component") != F.col("l.component"))
     return joined.select(*_pairs(F.col("m.doc"), F.col("l.doc"))).distinct()
 
 
@@ -240,17 +238,17 @@ def components(links: DataFrame) -> DataFrame:
     changes. Minima are combined before the shuffle, so a node with very many links is no burden.
     """
     arcs = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "cc")
+    known = _print(arcs)
     while True:
         both = arcs.union(arcs.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(low.select("u", F.col("m").alias("v"))).distinct()
-        following = materialise(small, "cc")
-        if _print(following) == _print(arcs):
-            return following.select(F.col("u").alias("doc"), F.col("v").alias("component"))
-        arcs = following
+        arcs = materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        before, known = known, _print(arcs)
+        if known == before:
+            return arcs.select(F.col("u").alias("doc"), F.col("v").alias("component"))
 
 
 def _print(arcs: DataFrame) -> tuple:
@@ -262,6 +260,62 @@ def _named(frame: DataFrame, found: DataFrame) -> DataFrame:
     return frame.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
 
 
+def _tiles(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of open neighbourhoods dealt to tiles (bin, ob, tile): those outside the largest component, and all.
+
+    Small neighbourhoods share a bin up to the size of a tile; a large one is a bin of its own, cut into several tiles.
+    """
+    weight = F.sum("n").alias("weight")
+    parts = members.groupBy("around", "component").agg(weight, F.count("*").alias("docs"))
+    around = parts.groupBy("around").agg(
+        F.sum("weight").alias("weight"), F.count("*").alias("parts"), F.max_by("component", F.struct("docs", "component")).alias("main"),
+    ).where("parts > 1")
+    around = materialise(around, "minhash-around")
+    light = F.col("weight") <= TILE_SHINGLES
+    bins = -(-(around.where(light).agg(F.sum("weight")).first()[0] or 0) // TILE_SHINGLES) or 1
+    around = around.select(
+        "around", "main",
+        F.when(light, -1 - F.pmod(F.xxhash64("around"), F.lit(bins))).otherwise(F.col("around")).alias("bin"),
+        F.when(light, F.lit(1)).otherwise(F.ceil(F.col("weight") / TILE_SHINGLES)).cast("int").alias("tiles"),
+    )
+    dealt = members.join(around, "around")
+    place, every = F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    outside = dealt.where("component != main").select("doc", "component", "bin", place.alias("ob"), every.alias("tile"))
+    return outside, dealt.select("doc", "component", "bin", place.alias("tile"), every.alias("ob"))
+
+
+def _linked(percent: int):
+    def run(outside, members):
+        import numpy as np
+        import pyarrow as pa
+
+        found_a, found_b = [], []
+        if outside.num_rows and members.num_rows:
+            docs, component = members["doc"].to_numpy(), members["component"].to_numpy()
+            column = members["shingles"].combine_chunks()
+            sizes = np.diff(column.offsets.to_numpy())
+            values = column.flatten().to_numpy()
+            order = np.argsort(values, kind="stable")
+            postings, owners = values[order], np.repeat(np.arange(len(docs)), sizes)[order]
+            own = outside["shingles"].combine_chunks()
+            starts, flat = own.offsets.to_numpy(), own.flatten().to_numpy()
+            starts = starts - starts[0]
+            for k, (doc, part) in enumerate(zip(outside["doc"].to_pylist(), outside["component"].to_pylist())):
+                mine = flat[starts[k] : starts[k + 1]]
+                low, high = np.searchsorted(postings, mine, "left"), np.searchsorted(postings, mine, "right")
+                counts = high - low
+                at = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+                both = np.bincount(owners[at], minlength=len(docs))
+                near = (100 * both >= percent * (len(mine) + sizes - both)) & (component != part)
+                hits = np.flatnonzero(near)
+                _, first = np.unique(component[hits], return_index=True)  # one link to a component is enough
+                found_a += [doc] * len(first)
+                found_b += docs[hits[first]].tolist()
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return run
+
+
 def links(nodes: DataFrame, docs: DataFrame, scheme: Scheme, rows: int) -> DataFrame:
     """Confirmed links that connect every component; links inside a component that others already connect are not looked for."""
     met = buckets(nodes, scheme, rows)
@@ -269,32 +323,18 @@ def links(nodes: DataFrame, docs: DataFrame, scheme: Scheme, rows: int) -> DataF
     ranked = materialise(met.join(meeting, "doc"), "minhash-ranked")
     leaders = ranked.groupBy("key").agg(F.max_by("doc", F.struct("met", -F.col("doc"))).alias("doc"))
     tried = materialise(star_pairs(ranked, leaders), "minhash-pairs")
-    used = materialise(leaders, "minhash-leaders")
     confirmed = materialise(confirm(tried, nodes, docs, scheme), "minhash-links")
-    while True:
-        named = _named(ranked, components(confirmed))
-        apart = named.groupBy("key").agg(F.count("*").alias("left"), F.min("component").alias("low"), F.max("component").alias("high"))
-        open_keys = materialise(apart.where("low != high").select("key", "left"), "minhash-open")
-        members = materialise(named.join(open_keys, "key").select("key", "doc", "component", "met", "left"), "minhash-open-rows")
-        a, b = (members.where(F.col("left") <= SMALL).alias(x) for x in ("m", "l"))
-        small = a.join(b, "key").where((F.col("m.doc") < F.col("l.doc")) & (F.col("m.component") != F.col("l.component")))
-        small = small.select(*_pairs(F.col("m.doc"), F.col("l.doc")))
-        large = members.where(F.col("left") > SMALL)
-        by_met = Window.partitionBy("key").orderBy(F.desc("met"), "doc")
-        more = (
-            large.join(used, ["key", "doc"], "left_anti")
-            .withColumn("nth", F.row_number().over(by_met))
-            .where(F.col("nth") <= LEADERS)
-            .select("key", "doc", "component")
-        )
-        more = materialise(more, "minhash-leaders")
-        pairs = small.union(star_pairs(large, more)).distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "minhash-pairs")
-        if pairs.isEmpty() and more.isEmpty():
-            return confirmed
-        tried, used = tried.union(pairs), used.union(more.select("key", "doc"))
-        found = materialise(confirm(pairs, nodes, docs, scheme), "minhash-links")
-        confirmed = confirmed.union(found)
+    around = components(tried).withColumnRenamed("component", "around")
+    around = around.unionByName(around.select(F.col("around").alias("doc"), "around").distinct())
+    members = _named(around, components(confirmed)).join(nodes.select("doc", "n").distinct(), "doc")
+    outside, every = _tiles(materialise(members, "minhash-members"))
+    wanted = materialise(every.select("doc").distinct(), "minhash-wanted")
+    full = materialise(sets(docs.join(wanted, "doc", "left_semi"), scheme), "minhash-sets")
+    keys, fields = ["bin", "ob", "tile"], ["doc", "component", "shingles", "bin", "ob", "tile"]
+    # Aliases: both sides come from the same tables, and their columns must not be taken for each other.
+    left, right = (side.join(full, "doc").select(*[F.col(c).alias(c) for c in fields]) for side in (outside, every))
+    more = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_linked(scheme.percent), "a bigint, b bigint")
+    return confirmed.union(materialise(more.distinct(), "minhash-links"))
 
 
 def near_duplicates(table: DataFrame, scheme: Scheme = Scheme(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
