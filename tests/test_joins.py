@@ -57,13 +57,17 @@ def test_join_without_key_is_refused(spark):
         J.safe_join(big, small, [])
 
 
-def test_product_and_theta_need_a_small_side(spark):
-    big, small = sides(spark)
-    assert J.product(small, spark.range(3)).count() == 3_000
-    assert "CartesianProduct" not in executed(J.product(small, spark.range(3)))
-    with pytest.raises(ValueError, match="at most"):
-        J.product(small, big, max_rows=100)
-    assert J.product(small, spark.range(0)).count() == 0
+def test_product_and_theta_of_any_size(spark):
+    _, small = sides(spark)
+    few = spark.range(130).withColumnRenamed("id", "n")
+    assert J.product(small, few).count() == 130_000
+    assert "CartesianProduct" not in executed(J.product(small, few))
+    assert J.product(small, few.limit(0)).count() == 0
+    assert rows(J.product(small, few, max_rows=100)) == rows(J.product(small, few))
+    below = F.col("key") < F.col("n")
+    tiled = J.theta_join(small, few, below, max_rows=100)
+    assert rows(tiled) == rows(J.theta_join(small, few, below)) and tiled.columns == ["key", "v", "n"]
+    assert "NestedLoop" not in executed(tiled)
 
 
 def test_safe_join_aligns_keys(spark):
@@ -71,6 +75,9 @@ def test_safe_join_aligns_keys(spark):
     b = spark.createDataFrame([(1, "p"), (3, "q"), (None, "r")], "k int, b string")
     assert rows(J.safe_join(a, b, ["k"], cast="bigint"), "a", "b") == [("x", "p")]
     assert rows(J.safe_join(a, b, ["k"], cast="bigint", nulls_match=True), "a", "b") == [("x", "p"), ("z", "r")]
+    full = J.safe_join(a, b, ["k"], how="full", cast="bigint")
+    assert rows(full, "k", "a", "b") == sorted([("1", "x", "p"), ("2", "y", None), (None, "z", None), ("3", None, "q"), (None, None, "r")], key=repr)
+    assert rows(J.safe_join(a, b, ["k"], how="right", cast="bigint"), "k", "b") == sorted([("1", "p"), ("3", "q"), (None, "r")], key=repr)
     c = spark.createDataFrame([("Peru",), ("peru",)], "name string")
     d = spark.createDataFrame([("PERU", 1)], "name string, n int")
     assert J.safe_join(c, d, ["name"], fold_case=True).count() == 2
@@ -95,6 +102,23 @@ def test_range_join_plan_has_no_nested_loop(spark, conf):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_open_bands(spark):
+    inf = float("inf")
+    points = spark.createDataFrame([(-1e30,), (0.5,), (7.0,)], "v double")
+    bands = spark.createDataFrame([("up", 1.0, inf), ("down", -inf, 1.0), ("all", -inf, inf), ("one", 0.0, 1.0)], "band string, lo double, hi double")
+    got = rows(J.range_join(points, bands, "v", "lo", "hi", 1.0), "v", "band")
+    want = [(-1e30, "all"), (-1e30, "down"), (0.5, "all"), (0.5, "down"), (0.5, "one"), (7.0, "all"), (7.0, "up")]
+    assert got == sorted(want, key=repr)
+
+
+def test_asof_nulls_and_ties(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, None, 5), (3, "a", None), (4, "b", 1)], "id long, k string, t long")
+    right = spark.createDataFrame([("a", 3, 1, 9), ("a", 3, 2, 8), (None, 1, 3, 7), ("b", None, 4, 6)], "k string, t long, v long, w long")
+    got = J.asof_last(left, right, "k", "t", {"v": "found"}, tie=["w"])
+    assert rows(got, "id", "found") == [(1, 1), (2, None), (3, None), (4, None)]
+    assert rows(J.asof_last(left, right, "k", "t", {"v": "found"}), "id", "found")[0] == (1, 2)
+
+
 def test_wide_band_touches_few_bins(spark):
     points = spark.createDataFrame([(0.5,), (123456.0,)], "v double")
     bands = spark.createDataFrame([(0.0, 1e12)], "lo double, hi double")

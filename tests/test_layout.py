@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.test_plans import part_v2
 from weftline.operators import changes as H
 from weftline.session import scratch, scratch_root, scratch_table
 from weftline.sources import catalog as C, layout as L
@@ -19,24 +18,50 @@ def small_files(spark, appends=5):
     return path
 
 
+def by_place(spark):
+    """Twenty numbers in each of the places ``10:30``, ``a/b c`` and null."""
+    path = scratch(spark, "places")
+    place = F.when(F.col("id") % 3 == 0, "10:30").when(F.col("id") % 3 == 1, "a/b c")
+    L.write_partitioned(spark.range(60).select("id", place.alias("place")), path, ["place"])
+    return path
+
+
+def counts(spark, path):
+    return {r["place"]: r["count"] for r in spark.read.schema("id long, place string").parquet(path).groupBy("place").count().collect()}
+
+
+def fresh(spark, place, n):
+    return spark.range(n).select("id", F.lit(place).cast("string").alias("place"))
+
+
 def test_overwrite_modes(spark):
-    fresh = spark.range(10).select("id", F.lit(2023).alias("year"), F.lit(1).alias("month"))
-    path = part_v2(spark)
-    L.overwrite(fresh, path, ["year", "month"], "dynamic")
-    assert spark.read.parquet(path).count() == 12_000 - 200 + 10
-    L.overwrite(fresh, path, ["year", "month"], "static")
-    assert spark.read.parquet(path).count() == 10
+    path = by_place(spark)
+    L.overwrite(fresh(spark, "10:30", 7), path, ["place"], "dynamic")
+    assert counts(spark, path) == {"10:30": 7, "a/b c": 20, None: 20}
+    L.overwrite(fresh(spark, "x", 5), path, ["place"], "static")
+    assert counts(spark, path) == {"x": 5}
     with pytest.raises(ValueError):
-        L.overwrite(fresh, path, ["year"], "other")
+        L.overwrite(fresh(spark, "x", 5), path, ["place"], "other")
+
+
+@pytest.mark.parametrize("place", ["10:30", "a/b c", None, "new"])
+def test_overwrite_one_partition(spark, place):
+    path = by_place(spark)
+    both = fresh(spark, place, 3).unionByName(fresh(spark, "elsewhere", 9))
+    L.overwrite_partition(both, path, {"place": place})
+    assert counts(spark, path) == {"10:30": 20, "a/b c": 20, None: 20} | {place: 3}
+    L.overwrite_partition(both.limit(0), path, {"place": place})
+    assert counts(spark, path).get(place, 0) == 0 and sum(counts(spark, path).values()) in (40, 60)
 
 
-def test_overwrite_one_partition(spark):
-    path = part_v2(spark)
-    rows_ = spark.range(3).select("id", F.lit(2021).alias("year"), F.lit(2).alias("month"))
-    L.overwrite_partition(rows_.unionByName(rows_.withColumn("month", F.lit(3))), path, {"year": 2021, "month": 2})
-    table = spark.read.parquet(path)
-    assert table.where("year = 2021 AND month = 2").count() == 3
-    assert table.where("year = 2021 AND month = 3").count() == 200
+def test_compaction_of_unpartitioned_and_empty_tables(spark):
+    src, dst = scratch(spark, "flat"), scratch(spark, "flat")
+    spark.range(100).repartition(7).write.parquet(src)
+    L.compact(spark, src, dst, [])
+    assert rows(spark.read.parquet(dst)) == rows(spark.range(100).toDF("id"))
+    empty, target = scratch(spark, "empty"), scratch(spark, "empty")
+    spark.range(0).select("id", F.lit(1).alias("p")).write.partitionBy("p").parquet(empty)
+    L.compact(spark, empty, target, ["p"])
 
 
 def test_compaction_keeps_rows_and_lowers_files(spark):
@@ -87,11 +112,14 @@ def test_insert_needs_the_same_columns_in_any_order(spark):
 def test_partition_admin(spark):
     name = scratch_table(spark, "t")
     C.create_partitioned_table(spark, name, "id BIGINT, year INT, month INT", ["year", "month"])
-    C.insert_into(spark.read.parquet(part_v2(spark)), name)
-    assert C.drop_partition(spark, name, {"year": 2020}) == 12
+    numbers = spark.range(90).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3 + 2000).cast("int").alias("year"), (F.col("id") % 5).cast("int").alias("month"))
+    C.insert_into(numbers, name)
+    assert C.drop_partition(spark, name, {"year": 2001}) == 5
     C.add_partition(spark, name, {"year": 2030, "month": 1})
-    assert C.list_partitions(spark, name).count() == 49
+    assert C.list_partitions(spark, name).count() == 11
     assert C.list_partitions(spark, name, F.col("year") > 2024).collect() == [(2030, 1)]
+    assert C.drop_partition(spark, name, {"year": None}) == 5
+    assert spark.table(name).where("year IS NULL").count() == 0 and C.list_partitions(spark, name).count() == 6
 
 
 def test_partition_values_are_unescaped(spark):
@@ -126,13 +154,13 @@ def test_evolved_files(spark):
     assert rows(read_evolved(spark, [old, new]), "id", "extra") == [(0, "x"), (0, None), (1, "x"), (1, None)]
 
 
-def test_increment_is_repeatable(spark):
-    path = scratch(spark, "inc")
-    source = spark.range(24).select("id", (F.floor(F.col("id") / 12) + 2020).cast("int").alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"))
-    L.write_partitioned(source.where("id < 10"), path, ["year", "month"])
+def test_increment_is_repeatable_and_takes_late_rows(spark):
+    path, parts = scratch(spark, "inc"), ["day"]
+    source = spark.range(60).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("day"))
+    L.write_partitioned(source.where("id < 30"), path, parts)
     for _ in range(2):
-        H.load_increment(source, path, ["year", "month"])
-        assert rows(spark.read.parquet(path), "id", "year", "month") == rows(source, "id", "year", "month")
+        H.load_increment(source, path, parts, "id")
+        assert rows(spark.read.parquet(path), "id", "day") == rows(source, "id", "day")
 
 
 def test_scratch_is_the_shared_folder(spark):

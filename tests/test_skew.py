@@ -15,15 +15,15 @@ SLOW = settings(
 )
 
 
-def skew1(spark, n):
-    """One tenth of the rows share a key, the others have one of a hundred keys."""
-    key = F.when(F.col("id") < n // 10, "skewed").otherwise(F.concat(F.lit("normal_"), (F.col("id") % 100).cast("string")))
-    return spark.range(n).select("id", key.alias("key"), (F.col("id") % 1000 + 1).alias("amount"))
+def readings(spark, n):
+    """Every third row belongs to the busy sensor, the others to forty more."""
+    sensor = F.when(F.col("id") % 3 == 0, "busy").otherwise(F.format_string("s%02d", F.col("id") % 40))
+    return spark.range(n).select("id", sensor.alias("key"), (F.col("id") % 11).alias("amount"))
 
 
-def skew2(spark, n):
-    key = F.when(F.col("id") < n // 100, "skewed").otherwise(F.concat(F.lit("normal_"), (F.col("id") % 100).cast("string")))
-    return spark.range(n // 10).select(key.alias("key"), (F.col("id") * 2).alias("value"))
+def sensors(spark):
+    names = [("busy", 0)] + [(f"s{i:02d}", i) for i in range(50)]
+    return spark.createDataFrame(names, "key string, room long")
 
 
 def frame(spark, keys, value):
@@ -31,30 +31,26 @@ def frame(spark, keys, value):
     return spark.createDataFrame(data, f"id long, key string, {value} long")
 
 
-def test_salted_join_golden(spark):
-    joined = S.salted_join(skew1(spark, 10_000), skew2(spark, 10_000), ["key"], 10, salt_by=["id"])
-    assert joined.count() == 181_000
+def test_salted_join_is_plain_join(spark):
+    a, b = readings(spark, 3_000), sensors(spark)
+    assert rows(S.salted_join(a, b, ["key"], 10, salt_by=["id"])) == rows(a.join(b, "key"))
 
 
 def test_null_keys_stay_in_one_half(spark):
-    holed = skew1(spark, 10_000).withColumn(
-        "key", F.when((F.col("key") != "skewed") & (F.col("id") % 97 == 0), None).otherwise(F.col("key"))
-    )
+    holed = readings(spark, 6_000).withColumn("key", F.when(F.col("id") % 97 > 0, F.col("key")))
     hot = S.hot_predicate(holed, "key", 0.05)
     summed = S.split_skew_agg(holed, ["key"], hot, 8, {"n": ("count", "*")}, ["id"])
-    assert summed.count() == 102
-    assert summed.agg(F.sum("n")).first()[0] == 10_000
-    joined = S.split_skew_join(holed, skew2(spark, 10_000), ["key"], hot, 8, salt_by=["id"])
-    assert joined.count() == 180_163
+    assert rows(summed) == rows(holed.groupBy("key").agg(F.count("*").alias("n")))
+    joined = S.split_skew_join(holed, sensors(spark), ["key"], hot, 8, salt_by=["id"])
+    assert joined.count() == holed.where("key IS NOT NULL").count()
 
 
-def test_two_phase_golden(spark):
+def test_two_phase_sums(spark):
     aggs = {"total": ("sum", "amount"), "n": ("count", "*"), "lo": ("min", "amount"), "mean": ("avg", "amount")}
-    found = {r["key"]: r for r in S.salted_agg(skew1(spark, 10_000), ["key"], 10, aggs, ["id"]).collect()}
-    assert len(found) == 101
-    assert (found["skewed"]["total"], found["skewed"]["n"]) == (500_500, 1_000)
-    assert (found["normal_7"]["total"], found["normal_7"]["n"]) == (90 * 7 + 40_590, 90)
-    assert found["skewed"]["mean"] == 500.5
+    found = {r["key"]: r for r in S.salted_agg(readings(spark, 3_300), ["key"], 10, aggs, ["id"]).collect()}
+    busy = [i % 11 for i in range(0, 3_300, 3)]
+    assert len(found) == 41
+    assert tuple(found["busy"])[1:] == (sum(busy), len(busy), 0, sum(busy) / len(busy))
 
 
 @SLOW
@@ -134,19 +130,57 @@ def test_asof_is_brute_force(spark, left, right):
         assert rows(got, "id", "found") == sorted(expected, key=repr)
 
 
-def test_hot_groups_are_found_and_bounded(spark):
-    hot = S.hot_groups(skew1(spark, 10_000), ["key"], max_rows=500)
-    assert hot == [spark.range(1).select(F.xxhash64(F.lit("skewed"))).first()[0]]
+def test_hot_groups_are_found_without_a_cap_or_single_task(spark):
+    df = readings(spark, 3_000)
+    assert S.hot_groups(df, ["key"], max_rows=500) == [spark.range(1).select(F.xxhash64(F.lit("busy"))).first()[0]]
+    assert len(S.hot_groups(df, ["key"], max_rows=10)) == 41
+    counted = df.groupBy(F.xxhash64("key").alias("h")).agg(F.count("*").alias("n"))
+    assert "SinglePartition" not in executed(counted.where("n > 5"))
 
 
 def test_hot_plan_has_no_window_over_the_whole_group(spark):
-    df = skew1(spark, 10_000)
-    plan = executed(W.running(df, ["key"], ["id"], F.col("amount"), "total", max_rows=200))
+    plan = executed(W.running(readings(spark, 3_000), ["key"], ["id"], F.col("amount"), "total", max_rows=200))
     assert "Window" in plan and "_slice" in plan
 
 
+@pytest.mark.parametrize("order", ["t", "text", "flag"])
+def test_slices_are_even_whatever_the_order_values_are(spark, order):
+    """One outlier in time, text and boolean orders, and equal first values."""
+    df = spark.range(4_000).select(
+        "id", F.lit("g").alias("key"), F.when(F.col("id") == 7, 10**15).otherwise(F.col("id") % 5).alias("t"),
+        F.format_string("%05d", F.col("id")).alias("text"), (F.col("id") % 2 == 0).alias("flag"),
+    )
+    cut = W._cut(df, ["key"], [F.col(order), F.col("id")], 400)
+    sizes = [r["n"] for r in cut.rows.groupBy("_slice").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 4_000 and max(sizes) <= 800
+    got = W.running(df, ["key"], [order, "id"], F.col("id"), "total", max_rows=400)
+    assert rows(got) == rows(W.running(df, ["key"], [order, "id"], F.col("id"), "total", max_rows=10**9))
+
+
+def test_schema_does_not_depend_on_size(spark):
+    df = readings(spark, 300).withColumns({"price": F.col("amount").cast("decimal(12,2)"), "ts": F.timestamp_seconds("id")})
+    for call in (
+        lambda n: W.rank_in(df, ["key"], ["id"], ["amount"], max_rows=n),
+        lambda n: W.shift_in(df, ["key"], ["id"], "price", max_rows=n),
+        lambda n: W.running(df, ["key"], ["id"], F.col("price"), "x", max_rows=n),
+        lambda n: W.moving_rows(df, ["key"], ["id"], F.col("price"), "x", 3, max_rows=n),
+        lambda n: W.moving_range(df, ["key"], "ts", F.col("price"), "x", 9, max_rows=n),
+        lambda n: W.carry_last(df, ["key"], ["id"], "price", "x", max_rows=n),
+    ):
+        assert call(10).dtypes == call(10**9).dtypes
+
+
+def test_full_join_spreads_the_side_that_is_hot(spark):
+    left = spark.range(3_000).select(F.lit("a").alias("key"), F.col("id").alias("x"))
+    right = spark.createDataFrame([("a", 1), ("b", 2)], "key string, y long")
+    joined = S.outer_join(left, right, ["key"], "full", max_rows=100)
+    assert rows(joined) == rows(left.join(right, "key", "full"))
+    exploded = [line for line in executed(joined).split("Initial Plan")[0].splitlines() if "Generate explode" in line]
+    assert exploded and all("x#" not in line for line in exploded)
+
+
 def test_salted_repartition_evens_partitions(spark):
-    df = skew1(spark, 20_000).withColumn("key", F.when(F.col("id") < 12_000, "skewed").otherwise(F.col("key")))
+    df = readings(spark, 20_000).withColumn("key", F.when(F.col("id") < 12_000, "busy").otherwise(F.col("key")))
     hot = S.hot_predicate(df, "key", 0.2)
     plain = S.partition_skew(S.partition_sizes(df.repartition(8, "key"), 8)).first()
     even = S.partition_skew(S.partition_sizes(S.salted_repartition(df, ["key"], hot, 8, 64, ["id"]), 8)).first()
@@ -154,13 +188,9 @@ def test_salted_repartition_evens_partitions(spark):
     assert plain["rows"] == even["rows"] == 20_000
 
 
-def test_shuffled_sizes_predict_the_shuffle(spark):
-    df = skew1(spark, 5_000)
-    assert rows(S.shuffled_sizes(df, ["key"], 8)) == rows(S.partition_sizes(df.repartition(8, "key"), 8))
-
-
 def test_empty_partitions_count(spark):
-    report = S.partition_skew(S.shuffled_sizes(spark.range(100).select(F.lit("x").alias("k")), ["k"], 8)).first()
+    one = spark.range(100).select(F.lit("x").alias("k")).repartition(8, "k")
+    report = S.partition_skew(S.partition_sizes(one, 8)).first()
     assert (report["partitions"], report["empty"], report["max_rows"], report["ratio"]) == (8, 7, 100, 8.0)
 
 
@@ -174,24 +204,22 @@ def test_adaptive_execution_splits_a_skewed_join(spark, conf):
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
         }
     )
-    small = spark.range(200).select(F.concat(F.lit("normal_"), F.col("id").cast("string")).alias("key")).union(
-        spark.createDataFrame([("skewed",)], "key string")
-    )
-    plan = executed(J.sort_merge_join(skew1(spark, 400_000).withColumn("key", F.when(F.col("id") < 200_000, "skewed").otherwise(F.col("key"))), small, ["key"]))
+    busy = readings(spark, 400_000).withColumn("key", F.when(F.col("id") < 200_000, "busy").otherwise(F.col("key")))
+    plan = executed(J.sort_merge_join(busy, sensors(spark), ["key"]))
     assert "skew=true" in plan
 
 
-@pytest.mark.parametrize("share, expected", [(0.05, ["skewed"]), (0.5, [])])
+@pytest.mark.parametrize("share, expected", [(0.05, ["busy"]), (0.5, [])])
 def test_hot_keys_by_share(spark, share, expected):
-    assert [r["key"] for r in S.hot_keys(skew1(spark, 10_000), ["key"], share).collect()] == expected
+    assert [r["key"] for r in S.hot_keys(readings(spark, 3_000), ["key"], share).collect()] == expected
 
 
 def test_top_n_keeps_few_rows_per_task(spark):
-    plan = executed(W.top_n_per(skew1(spark, 10_000), ["key"], [F.desc("amount"), F.asc("id")], 2))
+    plan = executed(W.top_n_per(readings(spark, 3_000), ["key"], [F.desc("amount"), F.asc("id")], 2))
     assert "WindowGroupLimit" in plan
 
 
 def test_window_helper_matches_builtin(spark):
-    df = skew1(spark, 2_000)
+    df = readings(spark, 2_000)
     w = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     assert rows(W.running(df, ["key"], ["id"], F.col("amount"), "t")) == rows(df.withColumn("t", F.sum("amount").over(w)))

@@ -23,9 +23,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], column: str, at: dict[
     each distinct value then comes from a running total that cuts hot groups, so no
     task ever holds the values of a whole group.
     """
-    counts = materialise(
-        df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("_n")), "value-counts"
-    )
+    every = materialise(df.groupBy(*keys, column).agg(F.count("*").alias("_n")), "value-counts")
+    counts = every.where(F.col(column).isNotNull())
     placed = running(counts, keys, [column], F.col("_n"), "_upto")
     placed = _attach(placed, counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
     ends, results = [], []
@@ -35,7 +34,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], column: str, at: dict[
             ends.append(F.min(F.when(F.col("_upto") > index, F.col(column))).alias(f"_{name}_{side}"))
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         results.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
-    return placed.groupBy(*keys, "_total").agg(*ends).select(*keys, *results)
+    found = placed.groupBy(*keys, "_total").agg(*ends).select(*keys, *results)
+    # A group that holds nulls only has null percentiles.
+    return _attach(every.select(*keys).distinct(), found, keys)
 
 
 def pivot_sum(df: DataFrame, rows: Sequence[Column | str], column: str, values: Sequence[str], agg: Column) -> DataFrame:

@@ -7,33 +7,28 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from weftline.operators.joins import null_safe
 from weftline.operators.windows import lead_in
-from weftline.sources.layout import files, overwrite
+from weftline.sources.layout import overwrite
 
 
 def incremental(source: DataFrame, ts: str, since: Column) -> DataFrame:
     return source.where(F.col(ts) > since)
 
 
-def load_increment(source: DataFrame, path: str, parts: Sequence[str]) -> None:
+def load_increment(source: DataFrame, path: str, parts: Sequence[str], arrival: str) -> None:
     """Bring the partitioned table at ``path`` up to date with ``source``.
 
-    The newest partition is the high-water mark. It and every later partition are
-    replaced, so a repeated or broken-off run does no harm and rows that arrived late
-    within it are found. ``parts`` must rise with time.
+    The high-water mark is the largest ``arrival`` (a number or time that rises as rows come in) already
+    loaded. Every partition that rows above the mark, or without an arrival, belong to is replaced as a whole. So rows
+    that come late for an old partition are loaded too, and a repeated or broken-off run does no harm.
     """
-    # The newest partition is known from the file listing alone.
-    listed = files(source.sparkSession, path).select(*parts).distinct()
-    newest = listed.orderBy(*[F.desc(p) for p in parts]).first()
-    if newest is None:
-        overwrite(source, path, parts, "dynamic")
-        return
-    from_mark = F.lit(False)
-    for i, part in enumerate(parts):
-        same = reduce(lambda x, y: x & y, [F.col(p) == newest[p] for p in parts[:i]], F.lit(True))
-        last = F.col(part) >= newest[part] if i == len(parts) - 1 else F.col(part) > newest[part]
-        from_mark = from_mark | (same & last)
-    overwrite(source.where(from_mark), path, parts, "dynamic")
+    loaded = source.sparkSession.read.parquet(path)
+    mark = loaded.agg(F.max(arrival)).first()[0] if arrival in loaded.columns else None
+    fresh = source if mark is None else source.where((F.col(arrival) > F.lit(mark)) | F.col(arrival).isNull())
+    touched = fresh.select(*[F.col(p).alias(f"_{p}") for p in parts]).distinct()
+    rows = source.join(touched, null_safe([(F.col(p), F.col(f"_{p}")) for p in parts]), "left_semi")
+    overwrite(rows, path, parts, "dynamic")
 
 
 def latest(changes: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -45,9 +40,8 @@ def latest(changes: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFr
 
 def apply_cdc(base: DataFrame, changes: DataFrame, key: Sequence[str], seq: Sequence[str], op: str = "op") -> DataFrame:
     """State after all changes: the newest change per key replaces the base row, ``delete`` removes it."""
-    newest = latest(changes, key, seq)
-    untouched = base.join(newest.select(*key), list(key), "left_anti")
-    return untouched.unionByName(newest.where(F.col(op) != "delete").select(*base.columns))
+    rest = [c for c in base.columns if c not in key]
+    return merge(base, latest(changes, key, seq), key, rest, delete_when=F.col(op) == "delete")
 
 
 def merge(
@@ -61,18 +55,21 @@ def merge(
 
     Matched rows take the ``update`` columns of the source; matched rows for which
     ``delete_when`` (over source columns) holds are removed; unmatched source rows are
-    inserted unless it holds for them too.
+    inserted unless it holds for them too. One full join; null keys match nothing.
     """
-    incoming = source.withColumn("_gone", F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False))
-    matched = incoming.select(*on, "_gone", F.struct(*update).alias("_new"))
-    joined = target.join(matched, list(on), "left")
-    hit = F.col("_gone").isNotNull()
-    columns = [
-        F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in target.columns
-    ]
-    kept = joined.where(~F.coalesce(F.col("_gone"), F.lit(False))).select(*columns)
-    fresh = incoming.where(~F.col("_gone")).join(target.select(*on), list(on), "left_anti")
-    return kept.unionByName(fresh.select(*target.columns))
+    gone = F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False)
+    fields = [F.col(c).alias(c) for c in target.columns]
+    incoming = source.select(*[F.col(c).alias(f"_{c}") for c in on], gone.alias("_gone"), F.struct(*fields).alias("_new"))
+    held = target.select(*on, F.struct(*fields).alias("_old"))
+    same = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_{c}") for c in on])
+    joined = held.join(incoming, same, "full").where(~F.coalesce("_gone", F.lit(False)))
+    fresh, matched = F.col("_old").isNull(), F.col("_new").isNotNull()
+
+    def value(c: str) -> Column:
+        take = fresh | matched if c in update else fresh
+        return F.when(take, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
+
+    return joined.select(*[value(c) for c in target.columns])
 
 
 def scd2(changes: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:

@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
-from weftline.session import scratch
+from weftline.session import scratch, scratch_table
+from weftline.sources.catalog import write_bucketed
 
 
-def walk(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
-    """Nodes reachable from ``roots`` with their depth; ``edges`` has ``node`` and ``parent``.
+def walk(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes reachable from ``roots`` with the length of the shortest path; ``edges`` has ``node`` and ``parent``.
 
-    One join per level, over the whole level at once. Each level is written to the
-    shared folder, so the plan stays short and a lost executor costs one level only.
-    A recursive query would keep all levels in one plan and has a row limit.
+    One join per level, until a level is empty. A node counts once, at its first level, so cycles end and many
+    paths do not multiply. The edges are written once, bucketed by parent, and are not shuffled again; each level is
+    written to the shared folder, so the plan stays short and a lost executor costs one level only.
     """
     spark = edges.sparkSession
     path = scratch(spark, "levels")
     frontier = roots.select(F.col("node").alias("_from")).distinct()
     schema = frontier.select(F.col("_from").alias("node")).schema
-    links = edges.select(F.col("node"), F.col("parent").alias("_from"))
-    for depth in range(max_depth + 1):
+    table = scratch_table(spark, "edges")
+    links = edges.select("node", F.col("parent").alias("_from")).where("_from IS NOT NULL")
+    write_bucketed(links, table, int(spark.conf.get("spark.sql.shuffle.partitions")), ["_from"])
+    for depth in count():
         level = frontier.select(F.col("_from").alias("node"))
         if depth:
-            level = links.join(frontier, "_from").select("node")
+            seen = spark.read.schema(schema).parquet(*[f"{path}/depth={d}" for d in range(depth)])
+            level = spark.table(table).join(frontier, "_from").select("node").distinct().join(seen, "node", "left_anti")
         target, written = f"{path}/depth={depth}", Observation()
         level.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(target)
         if not written.get["n"]:

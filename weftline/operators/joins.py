@@ -6,6 +6,7 @@ operator here falls back to a shuffle, where adaptive execution splits skew.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -15,6 +16,7 @@ from weftline.operators.windows import carry_last
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+OPEN_LEVEL = 1 << 20  # above every level of a band with two finite ends
 
 _FIXED_WIDTH = {
     T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
@@ -88,24 +90,35 @@ def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return anti_join(left, keys, [key]).where(allowed)
 
 
-def theta_join(big: DataFrame, small: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
-    """Join on any condition. ``small`` must be small: each of its rows meets each row of ``big``.
+def theta_join(big: DataFrame, small: DataFrame, condition: Column, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join on any condition; every row of one side meets every row of the other.
 
-    ``big`` is not shuffled, so its skew does not matter. For two large sides use ``range_join``.
+    A small side is broadcast and ``big`` is not shuffled. Otherwise both sides are dealt to a square of
+    tiles, each of which meets in one task. Where the condition bounds a value, ``range_join`` does far less.
     """
-    if not fits(small):
-        raise ValueError("theta_join needs a small side; use range_join for two large ones")
-    return big.join(F.broadcast(small), condition, how)
+    if fits(small, max_rows):
+        return big.join(F.broadcast(small), condition)
+    return _tiled(big, small).where(condition).drop("_i", "_j")
+
+
+def _tiled(a: DataFrame, b: DataFrame) -> DataFrame:
+    """All pairs, as an equi join on tiles: each side is cut into ``n`` parts and copied to the ``n`` parts of the other."""
+    n = max(2, math.isqrt(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    part = lambda df: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = a.withColumn("_i", part(a)).withColumn("_j", every)
+    others = b.withColumn("_j", part(b)).withColumn("_i", every)
+    return rows.join(others, ["_i", "_j"])
 
 
 def product(big: DataFrame, small: DataFrame, max_rows: int = 1_000) -> DataFrame:
-    """Every row of ``big`` with every row of ``small``, which must not exceed ``max_rows``.
+    """Every row of ``big`` with every row of ``small``.
 
-    The small side becomes one array and is unpacked row by row: linear in ``big``,
-    without a shuffle or a nested loop.
+    A side of up to ``max_rows`` rows becomes one array and is unpacked row by row, without a shuffle or a
+    nested loop; a larger one is joined in tiles.
     """
     if not fits(small, max_rows):
-        raise ValueError(f"the small side of a product may have at most {max_rows} rows")
+        return _tiled(big, small).drop("_i", "_j").select(*big.columns, *small.columns)
     packed = small.agg(F.collect_list(F.struct("*"))).scalar()
     return big.select("*", F.explode(packed).alias("_row")).select(*big.columns, "_row.*")
 
@@ -122,7 +135,8 @@ def safe_join(
     """Equi join with aligned keys; refuses to become a product.
 
     ``cast`` brings both sides to one type, ``fold_case`` ignores letter case and
-    ``nulls_match`` lets null keys meet. The key columns of the result are those of ``left``.
+    ``nulls_match`` lets null keys meet. The key columns of the result are those of ``left``, and in a right or
+    full join those of ``right`` where there is no left row.
     """
     if not on:
         raise ValueError("a join needs at least one key; use product() for every combination")
@@ -137,17 +151,32 @@ def safe_join(
         condition = null_safe(pairs)
     else:
         condition = reduce(lambda x, y: x & y, [a == b for a, b in pairs])
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in on])
+    if how not in ("right", "full", "outer"):
+        return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in on])
+    # A left row may hold null keys of its own, so its presence is marked rather than guessed.
+    joined = left.withColumn("_left", F.lit(True)).join(renamed, condition, how)
+    for k in on:
+        kind = joined.schema[k].dataType
+        joined = joined.withColumn(k, F.when(F.col("_left"), F.col(k)).otherwise(F.col(f"_right_{k}").cast(kind)))
+    return joined.drop("_left", *[f"_right_{k}" for k in on])
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], keep: Column | None = None) -> DataFrame:
-    """Filter the fact table, then join each ``(dimension, fact key, dimension key)`` in turn.
+    """Filter the fact table, then join each ``(dimension, fact key, dimension key)``.
 
-    A dimension that is measured as small is broadcast; a large one is joined by shuffle.
+    A dimension whose key is not a column of the fact belongs to another dimension. Such outer dimensions are joined to
+    the inner ones first, so that the fact, the largest table, is joined once per dimension of its own. Spark broadcasts
+    the sides that are small by their statistics.
     """
     joined = fact if keep is None else fact.where(keep)
-    for dim, fact_key, dim_key in dims:
-        joined = joined.join(broadcast_if_small(dim), F.col(fact_key) == F.col(dim_key)).drop(dim_key)
+    inner: list[tuple[DataFrame, str, str]] = []
+    for dim, fact_key, dim_key in reversed(dims):
+        for outer in [d for d in inner if d[1] in dim.columns]:
+            inner.remove(outer)
+            dim = dim.join(outer[0], F.col(outer[1]) == F.col(outer[2])).drop(outer[1], outer[2])
+        inner.append((dim, fact_key, dim_key))
+    for dim, fact_key, dim_key in reversed(inner):
+        joined = joined.join(dim, F.col(fact_key) == F.col(dim_key)).drop(dim_key)
     return joined
 
 
@@ -163,12 +192,15 @@ def range_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str
 
     ``width`` is the usual band length. A band longer than that goes to a level with bins
     twice, four times, ... as wide, so it is listed in three bins at most, however long it
-    is. A point looks in one bin of each level that is in use. Small bands are
-    broadcast and the points stay where they are; otherwise hot bins are split at run time.
+    is. Bands open to infinity share one level with a single bin. A point looks in one bin of each level that is in
+    use. Small bands are broadcast and the points stay where they are; otherwise hot bins are split at run time.
     """
-    length = F.col(hi) - F.col(lo)
-    level = F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(width)))).cast("int")
-    bin_of = lambda c: F.floor(c / (F.lit(width) * F.pow(F.lit(2.0), F.col("_level"))))
+    length = F.col(hi).cast("double") - F.col(lo).cast("double")
+    open_end = length >= F.lit(float("inf"))
+    closed = F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(width)))).cast("int")
+    level = F.when(open_end, F.lit(OPEN_LEVEL)).otherwise(closed)
+    wide = lambda c: F.floor(c / (F.lit(width) * F.pow(F.lit(2.0), F.col("_level"))))
+    bin_of = lambda c: F.when(F.col("_level") == OPEN_LEVEL, F.lit(0).cast("long")).otherwise(wide(c))
     placed = (
         bands.where(length > 0)
         .withColumn("_level", level)
@@ -183,19 +215,25 @@ def range_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str
 
 
 def asof_last(
-    left: DataFrame, right: DataFrame, key: str, t: str, values: dict[str, str], max_rows: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    t: str,
+    values: dict[str, str],
+    tie: Sequence[str] = (),
+    max_rows: int | None = None,
 ) -> DataFrame:
     """For each row of ``left`` the last row of ``right`` with the same key at or before its time.
 
-    ``values`` maps columns of ``right`` to result names. Both sides go through one
+    ``values`` maps columns of ``right`` to result names. Among rows of the same key and time the last by
+    ``tie``, then by the values, counts. A null key or time on either side has no partner. Both sides go through one
     shuffle as a union; a key with too many rows is cut along time.
     """
-    facts = F.struct(*[F.col(c).alias(n) for c, n in values.items()]).alias("_fact")
-    marked = right.select(key, t, F.lit(0).alias("_side"), facts)
-    fields = marked.schema["_fact"].dataType
-    rows = left.select(
-        key, t, F.lit(1).alias("_side"), F.lit(None).cast(fields).alias("_fact"), F.struct(*left.columns).alias("_left")
-    )
+    facts = F.struct(*[F.col(c).alias(n) for c, n in values.items()])
+    known = right.where(F.col(key).isNotNull() & F.col(t).isNotNull())
+    marked = known.select(key, t, F.lit(0).alias("_side"), F.struct(*tie, facts.alias("_values")).alias("_tie"), facts.alias("_fact"))
+    none = {c: F.lit(None).cast(marked.schema[c].dataType).alias(c) for c in ("_tie", "_fact")}
+    rows = left.select(key, t, F.lit(1).alias("_side"), none["_tie"], none["_fact"], F.struct(*left.columns).alias("_left"))
     both = rows.unionByName(marked, allowMissingColumns=True)
-    carried = carry_last(both, [key], [t, "_side"], "_fact", "_last", max_rows)
+    carried = carry_last(both, [key], [t, "_side", "_tie"], "_fact", "_last", max_rows)
     return carried.where(F.col("_side") == 1).select("_left.*", "_last.*")

@@ -15,12 +15,13 @@ GROUP_ROWS = 1_000_000
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, name: str) -> DataFrame:
-    """Value of a small dimension per row, from a dictionary sent once to each executor.
+    """Value of a dimension per row, from a dictionary sent once to each executor, or by a join if it is large.
 
     A broadcast join does the same without Python; use this inside other Python work.
     """
     if not fits(dim):
-        raise ValueError("the dimension is too large for a dictionary; join it instead")
+        values = dim.select(F.col(dim_key).alias("_key"), F.col(value).alias(name))
+        return df.join(values, F.col(key) == F.col("_key"), "left").drop("_key")
     table = {row[0]: row[1] for row in dim.select(dim_key, value).collect()}
     shared = df.sparkSession.sparkContext.broadcast(table)
 
@@ -59,15 +60,14 @@ def per_group(
 ) -> DataFrame:
     """Apply ``fn`` to the rows of each group as one pandas frame.
 
-    A group has to fit in the memory of a Python worker. Groups above the row limit are cut
-    into pieces; ``fn`` then sees a piece, and ``merge`` turns the results of a group's pieces into one.
+    With ``merge``, groups above the row limit are cut into pieces; ``fn`` then sees a piece, and ``merge`` turns
+    the results of a group's pieces into one. Without it ``fn`` sees every group whole, whatever its size, and the
+    group has to fit in the memory of a Python worker.
     """
     limit = max_rows or min(GROUP_ROWS, hot_rows(df.sparkSession))
-    hot = hot_counts(df, keys, limit)
+    hot = hot_counts(df, keys, limit) if merge is not None else {}
     if not hot:
         return _by_key(df, keys).groupBy(*keys).applyInPandas(fn, schema)
-    if merge is None:
-        raise ValueError("some groups are too large for one task; give a merge function")
     # Twice the pieces, because a hash fills them unevenly.
     cut = spread_hot(df, in_groups(keys, list(hot)), spread_by or df.columns, 2 * salts_for(hot, limit))
     partial = _by_key(cut, [*keys, SALT]).groupBy(*keys, SALT).applyInPandas(lambda pdf: fn(pdf.drop(columns=SALT)), schema)
@@ -75,11 +75,8 @@ def per_group(
 
 
 def _by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Shuffle by key into the configured number of partitions.
-
-    Adaptive execution merges partitions by their bytes, which says little about Python work.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    """Shuffle by key; the number of partitions is left to the session and to adaptive execution."""
+    return df.repartition(*keys)
 
 
 def combine_by_key(

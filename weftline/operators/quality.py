@@ -47,10 +47,10 @@ def check_schema(df: DataFrame, contract: T.StructType) -> DataFrame:
     return rows.where((F.col("problem") != "unparsable") | (F.col("rows") > 0))
 
 
-def profile(df: DataFrame, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Rows, nulls, distinct values, min, max and mean of every column, in one pass.
 
-    ``exact=False`` estimates the distinct values, which needs no shuffle of them.
+    Distinct values are estimated. ``exact=True`` counts them, for which every row is copied once per column.
     """
     distinct = F.count_distinct if exact else F.approx_count_distinct
     aggs, cells = [F.count("*").alias("_rows")], []
@@ -63,10 +63,13 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
             F.max(c).cast("string").alias(f"_hi{i}"),
         ]
         mean = F.lit(None).cast("double")
-        if isinstance(field.dataType, T.NumericType):
+        if isinstance(field.dataType, T.IntegralType):
             # An exact sum does not depend on the order of the rows.
-            aggs.append(F.sum(c.cast("decimal(28,6)")).cast("double").alias(f"_s{i}"))
+            aggs.append(F.sum(c.cast("decimal(38,0)")).cast("double").alias(f"_s{i}"))
             mean = F.col(f"_s{i}") / F.nullif(F.col(f"_c{i}"), F.lit(0))
+        elif isinstance(field.dataType, T.NumericType):
+            aggs.append(F.avg(c).cast("double").alias(f"_s{i}"))
+            mean = F.col(f"_s{i}")
         values = [F.col("_rows"), F.col("_rows") - F.col(f"_c{i}"), F.col(f"_d{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")]
         cells.append((F.lit(field.name), *values, mean))
     return _stacked(df.agg(*aggs), cells, "column_name rows nulls ndv min_value max_value mean")
@@ -154,16 +157,13 @@ def check_rules(df: DataFrame, rules: dict[str, object]) -> DataFrame:
 def anomalies(daily: DataFrame, part: Sequence[str], day: str, value: str, z: float = 3.0) -> DataFrame:
     """z-score of each day against its group, and the change from the day before.
 
-    ``daily`` has one row per group and day. Mean and deviation come from exact sums.
+    ``daily`` has one row per group and day. The score is null where the group does not vary.
     """
-    x = F.col(value).cast("decimal(18,2)")
-    stats = daily.groupBy(*part).agg(
-        F.count(value).alias("_n"), F.sum(x).cast("double").alias("_s"), F.sum(x * x).cast("double").alias("_q")
-    )
+    x = F.col(value).cast("double")
+    stats = daily.groupBy(*part).agg(F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_spread"))
     # One row per day: a group is as long as the calendar, not as the data.
     change = F.col(value) - F.lag(value).over(Window.partitionBy(*part).orderBy(day))
-    variance = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / F.nullif(F.col("_n") - 1, F.lit(0))
-    score = (F.col(value) - F.col("_s") / F.col("_n")) / F.nullif(F.sqrt(variance), F.lit(0.0))
+    score = (F.col(value) - F.col("_mean")) / F.nullif("_spread", F.lit(0.0))
     scored = _attach(daily.withColumn("change", change), stats, part).withColumn("z", score)
     flagged = F.coalesce(F.abs("z") > z, F.lit(False)).alias("anomaly")
     return scored.select(*daily.columns, "change", "z", flagged)

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 HOT_ROWS = 10_000_000
 HOT_ROWS_CONF = "spark.weftline.hotRows"
-MAX_HOT_GROUPS = 10_000
-TRACKED_ITEMS = 100_000
 SALT = "_salt"
 
 
@@ -25,19 +24,16 @@ def hot_rows(spark: SparkSession, given: int | None = None) -> int:
 
 
 def hot_counts(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> dict[int, int]:
-    """Hash and estimated rows of the key groups above ``max_rows``, largest first.
+    """Hash and rows of every key group above ``max_rows``, largest first.
 
-    One pass over the key columns with a frequent-items sketch, combined before
-    the shuffle. At most ``MAX_HOT_GROUPS`` entries come back to the driver; a key that is
-    not among them holds less than a ten-thousandth of the rows. The list decides only how
-    the work is split, so results do not depend on its precision.
+    One count per key, combined before the shuffle, so neither a task nor the result depends on how
+    many keys there are. A listed group has more than ``max_rows`` rows, so what comes back to the
+    driver is at most one entry per ``max_rows`` rows of the table.
     """
     limit = hot_rows(df.sparkSession, max_rows)
-    top = df.select(F.xxhash64(*keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {MAX_HOT_GROUPS}, {TRACKED_ITEMS})").alias("top")
-    )
-    hot = top.select(F.filter("top", lambda entry: entry["count"] > limit).alias("hot")).first()["hot"]
-    return {entry["item"]: entry["count"] for entry in hot or []}
+    counted = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n"))
+    hot = counted.where(F.col("n") > limit).collect()
+    return {row["h"]: row["n"] for row in sorted(hot, key=lambda row: -row["n"])}
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> list[int]:
@@ -95,16 +91,21 @@ def split_skew_join(
     ``big`` with ``small``.
     """
     normal = big.where(~hot).join(small.where(~hot), list(keys), how)
-    salty, copies = big.where(hot), small.where(hot)
-    halves = normal.unionByName(salted_join(salty, copies, keys, n, salt_by).select(normal.columns))
-    # The hot half is an inner join; rows without a partner are added once, unsalted.
+    return normal.unionByName(_hot_half(big.where(hot), small.where(hot), keys, n, how, salt_by).select(normal.columns))
+
+
+def _hot_half(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], n: int, how: str, salt_by: Sequence[str] | None
+) -> DataFrame:
+    """The salted inner join, and the rows without a partner once, unsalted."""
+    joined = salted_join(big, small, keys, n, salt_by)
     if how in ("left", "full"):
-        alone = salty.join(copies.select(*keys).distinct(), list(keys), "left_anti")
-        halves = halves.unionByName(alone, allowMissingColumns=True)
+        alone = big.join(small.select(*keys).distinct(), list(keys), "left_anti")
+        joined = joined.unionByName(alone, allowMissingColumns=True)
     if how in ("right", "full"):
-        alone = copies.join(salty.select(*keys).distinct(), list(keys), "left_anti")
-        halves = halves.unionByName(alone, allowMissingColumns=True)
-    return halves.select(normal.columns)
+        alone = small.join(big.select(*keys).distinct(), list(keys), "left_anti")
+        joined = joined.unionByName(alone, allowMissingColumns=True)
+    return joined
 
 
 def outer_join(
@@ -118,20 +119,28 @@ def outer_join(
     """Left, right or full outer join that survives a hot key on either side.
 
     Adaptive execution can split only the preserved side of an outer join (and neither
-    side of a full one). The other side is measured, and its hot keys are joined apart.
-    ``salt_by`` names columns of the side that is not preserved (of ``right`` for a full join).
+    side of a full one). The other side is measured, and its hot keys are joined apart: the rows
+    of the side that is hot are spread, those of the other side are copied. ``salt_by`` names columns of
+    the side that is not preserved (of ``right`` for a full join).
     """
     rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
     if how == "right":
         return outer_join(right, left, keys, "left", salt_by, max_rows).select(*keys, *rest)
-    found = hot_counts(right, keys, max_rows)
-    if how == "full":
-        found |= {h: n for h, n in hot_counts(left, keys, max_rows).items() if n > found.get(h, 0)}
-    if not found:
+    limit = hot_rows(left.sparkSession, max_rows)
+    in_right = hot_counts(right, keys, max_rows)
+    in_left = {h: n for h, n in hot_counts(left, keys, max_rows).items() if n > in_right.get(h, 0)} if how == "full" else {}
+    in_right = {h: n for h, n in in_right.items() if h not in in_left}
+    if not in_right and not in_left:
         return left.join(right, list(keys), how)
-    salts = salts_for(found, hot_rows(left.sparkSession, max_rows))
     flipped = {"left": "right", "full": "full"}[how]
-    return split_skew_join(right, left, keys, in_groups(keys, list(found)), salts, flipped, salt_by).select(*keys, *rest)
+    hot_right, hot_left = in_groups(keys, list(in_right)), in_groups(keys, list(in_left))
+    normal = ~(hot_right | hot_left)
+    parts = [left.where(normal).join(right.where(normal), list(keys), how)]
+    if in_right:
+        parts.append(_hot_half(right.where(hot_right), left.where(hot_right), keys, salts_for(in_right, limit), flipped, salt_by))
+    if in_left:
+        parts.append(_hot_half(left.where(hot_left), right.where(hot_left), keys, salts_for(in_left, limit), "full", None))
+    return reduce(DataFrame.unionByName, [p.select(*keys, *rest) for p in parts])
 
 
 # Each entry: what to compute per salted part, and how to put the parts together.
@@ -229,15 +238,6 @@ def partition_sizes(df: DataFrame, partitions: int) -> DataFrame:
     return _with_empty(df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")), partitions)
 
 
-def shuffled_sizes(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Rows each partition would get from a shuffle by ``keys``, found without moving any row.
-
-    The shuffle uses the same hash; here only one count per partition is exchanged.
-    """
-    target = F.pmod(F.hash(*keys), F.lit(partitions)).alias("part")
-    return _with_empty(df.groupBy(target).agg(F.count("*").alias("n")), partitions)
-
-
 def partition_skew(sizes: DataFrame, threshold: float = 3.0) -> DataFrame:
     """Smallest, largest and mean partition; skewed when the largest is over ``threshold`` times the mean."""
     sizes = sizes.agg(

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weftline.operators.aggregates import exact_percentiles
 from weftline.operators.windows import running
 
 # Names and types of the event log fields that are used.
@@ -98,12 +99,15 @@ def _ratio(a: Column, b: Column) -> Column:
 
 def stragglers(tasks: DataFrame, ratio: float = 3.0) -> DataFrame:
     """Longest against median task per stage; uneven above ``ratio``."""
-    per_stage = tasks.groupBy("app", "stage_id").agg(
+    stage = ["app", "stage_id"]
+    per_stage = tasks.groupBy(*stage).agg(
         F.count("*").alias("tasks"),
         F.max("duration_ms").alias("longest_ms"),
-        F.percentile("duration_ms", F.lit(0.5)).alias("median_ms"),
         F.max_by("task_id", F.struct("duration_ms", "task_id")).alias("slowest_task"),
     )
+    # A stage may have any number of distinct durations; they are never held in one buffer.
+    medians = exact_percentiles(tasks, stage, "duration_ms", {"median_ms": 0.5})
+    per_stage = per_stage.join(medians, stage).select(*stage, "tasks", "longest_ms", "median_ms", "slowest_task")
     worst = F.col("longest_ms") / F.nullif("median_ms", F.lit(0.0))
     return per_stage.select("*", worst.alias("ratio"), F.coalesce(worst > ratio, F.lit(False)).alias("uneven"))
 

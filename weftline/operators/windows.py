@@ -1,13 +1,15 @@
 """Window functions that do not put one huge group into one task.
 
-Each function first looks for groups above the row limit (one sketch over the key
-columns). Without any, the plan is the plain window and a single shuffle. A hot
-group is cut along its order column into slices; the window runs inside each slice
-and a small table with one row per slice supplies what came before it.
+Each function first looks for groups above the row limit (one count per key).
+Without any, the plan is the plain window and a single shuffle. Hot groups are
+range-partitioned on all their order columns, which gives slices of similar size whatever the
+values are, and written with their slice number, so that every later use sees the same slices. The
+window runs inside each slice and a table with one row per slice supplies what came before it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,12 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.window import WindowSpec
 
-from weftline.operators.skew import hot_groups, hot_rows, in_groups
+from weftline.operators.skew import hot_counts, hot_rows, in_groups
+from weftline.session import materialise
 
 SLICE = "_slice"
 RN = "_rn"
-MAX_BROADCAST_SLICES = 500_000
-FINER = 8  # slices per row limit, so that uneven order values still give small slices
+FINER = 2  # slices per row limit: range bounds come from a sample, so slices differ in size
 
 
 def micros(df: DataFrame, column: str) -> Column:
@@ -37,15 +39,6 @@ def micros(df: DataFrame, column: str) -> Column:
     return whole * 1_000_000 + (seconds * 1_000_000).cast("long")
 
 
-def _position(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return micros(df, column).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    raise TypeError(f"a hot group can be cut along numbers and times only, {column} is {kind.simpleString()}")
-
-
 def _directed(order: Sequence[str], desc: bool) -> list[Column]:
     return [F.col(c).desc() if desc else F.col(c).asc() for c in order]
 
@@ -55,7 +48,6 @@ class _Cut:
     """Rows with their slice number: -1 in normal groups, rising along the order in hot ones."""
 
     rows: DataFrame
-    slices: int
 
     def per_slice(self, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
         named = [agg.alias(name) for name, agg in aggs.items()]
@@ -68,35 +60,21 @@ class _Cut:
         return self.per_slice(keys, aggs).select(*keys, SLICE, *sums)
 
     def attach(self, df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-        """Join back a summary with at most one row per slice; its size is known, so it can be broadcast."""
-        return _attach(df, F.broadcast(summary) if self.slices <= MAX_BROADCAST_SLICES else summary, on)
+        """Join back a summary with at most one row per slice, written first: Spark broadcasts it if its files are small."""
+        return _attach(df, materialise(summary, "slices"), on)
 
 
-def _cut(df: DataFrame, keys: Sequence[str], order: str, desc: bool, max_rows: int | None) -> _Cut | None:
-    """Cut the hot groups along ``order``; rows with equal order values share a slice. None without hot groups."""
-    hot = hot_groups(df, keys, max_rows)
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column], max_rows: int | None) -> _Cut | None:
+    """Cut the hot groups along ``order``; rows that are equal in all of it share a slice. None without hot groups."""
+    hot = hot_counts(df, keys, max_rows)
     if not hot:
         return None
     limit = hot_rows(df.sparkSession, max_rows)
-    position = -_position(df, order) if desc else _position(df, order)
-    tagged = df.withColumns({"_h": F.xxhash64(*keys), "_pos": position})
-    # One row per hot group, of which there are few.
-    bounds = (
-        tagged.where(in_groups(keys, hot))
-        .groupBy("_h")
-        .agg(F.min("_pos"), F.max("_pos"), F.ceil(F.count("*") / F.lit(limit)) * FINER)
-        .collect()
-    )
-    shape = "_h long, _hot_lo double, _hot_hi double, _hot_slices long"
-    span = F.col("_hot_hi") - F.col("_hot_lo")
-    at = F.when(span > 0, F.floor((F.col("_pos") - F.col("_hot_lo")) / span * F.col("_hot_slices"))).otherwise(0)
-    # Nulls sort first when ascending and last when descending.
-    at = F.when(F.col("_pos").isNull(), F.lit(2**30) if desc else F.lit(0)).otherwise(at)
-    number = F.when(F.col("_hot_slices").isNull(), F.lit(-1)).otherwise(at).cast("long")
-    small = df.sparkSession.createDataFrame([tuple(r) for r in bounds], shape)
-    marked = tagged.join(F.broadcast(small), "_h", "left").withColumn(SLICE, number)
-    rows = marked.drop("_h", "_pos", "_hot_lo", "_hot_hi", "_hot_slices")
-    return _Cut(rows, sum(r[3] + 2 for r in bounds))
+    is_hot, slices = in_groups(keys, list(hot)), math.ceil(sum(hot.values()) / limit) * FINER + 1
+    # Range bounds are sampled anew by every execution, so the slice numbers are written down once.
+    dealt = df.where(is_hot).repartitionByRange(slices, *keys, *order)
+    sliced = materialise(dealt.withColumn(SLICE, F.spark_partition_id().cast("long")), "hot-groups")
+    return _Cut(df.where(~is_hot).withColumn(SLICE, F.lit(-1).cast("long")).unionByName(sliced))
 
 
 def _attach(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -117,7 +95,7 @@ def rank_in(
 ) -> DataFrame:
     """row_number, rank, dense_rank, percent_rank and ntile. ``tie`` makes the order total."""
     peers, total_order = _directed(order, desc), [*_directed(order, desc), *tie]
-    cut = _cut(df, part, order[0], desc, max_rows)
+    cut = _cut(df, part, peers, max_rows)
     if cut is None:
         by_peers, by_rows = Window.partitionBy(*part).orderBy(*peers), Window.partitionBy(*part).orderBy(*total_order)
         return df.withColumns(
@@ -203,7 +181,7 @@ def _by_rows(
     max_rows: int | None,
 ) -> DataFrame:
     """Evaluate frames of a fixed number of rows. ``exprs`` maps an ordered window to named columns."""
-    cut = _cut(df, part, order[0], False, max_rows)
+    cut = _cut(df, part, _directed(order, False), max_rows)
     if cut is None:
         return df.withColumns(exprs(Window.partitionBy(*part).orderBy(*order)))
     blocks = _blocks(cut, part, order, back, ahead, hot_rows(df.sparkSession, max_rows))
@@ -226,7 +204,7 @@ def shift_in(
             last: F.last(column).over(whole),
         }
 
-    cut = _cut(df, part, order[0], False, max_rows)
+    cut = _cut(df, part, _directed(order, False), max_rows)
     if cut is None:
         return df.withColumns(exprs(Window.partitionBy(*part).orderBy(*order)))
     blocks = _blocks(cut, part, order, n, n, hot_rows(df.sparkSession, max_rows))
@@ -249,15 +227,17 @@ def running(
 ) -> DataFrame:
     """Running total in a total order."""
     df = df.withColumn("_value", value)
-    cut = _cut(df, part, order[0], False, max_rows)
+    cut = _cut(df, part, _directed(order, False), max_rows)
     to_here = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.withColumn(name, F.sum("_value").over(to_here(*part)))
     if cut is None:
-        return df.withColumn(name, F.sum("_value").over(to_here(*part))).drop("_value")
+        return plain.drop("_value")
     local = cut.rows.withColumn(name, F.sum("_value").over(to_here(*part, SLICE)))
     joined = cut.attach(local, cut.sums_before(part, {"_before": F.sum("_value")}), [*part, SLICE])
     # A sum over no values is null, so the total is null only where both parts are.
     both = F.col(name) + F.col("_before")
-    return joined.withColumn(name, F.coalesce(both, F.col(name), F.col("_before"))).drop("_before", "_value", SLICE)
+    whole = F.coalesce(both, F.col(name), F.col("_before")).cast(plain.schema[name].dataType)
+    return joined.withColumn(name, whole).drop("_before", "_value", SLICE)
 
 
 def moving_rows(
@@ -281,32 +261,26 @@ def moving_range(
     span = seconds * 1_000_000
     timed = df.withColumns({"_value": value, "_at": micros(df, ts)})
     in_frame = lambda *by: Window.partitionBy(*by).orderBy("_at").rangeBetween(-span, 0)
-    hot = hot_groups(timed, part, max_rows)
-    if not hot:
-        return timed.withColumn(name, F.sum("_value").over(in_frame(*part))).drop("_value", "_at")
-    # A hot group is cut into stretches at least as long as the frame; a stretch also gets
-    # the rows of one frame length before it, so each row is copied once at most.
-    limit = hot_rows(df.sparkSession, max_rows)
-    bounds = (
-        timed.where(in_groups(part, hot))
-        .groupBy(F.xxhash64(*part).alias("_h"))
-        .agg((F.max("_at") - F.min("_at")).alias("_hot_len"), F.count("*").alias("_hot_n"))
-        .collect()
-    )
-    small = df.sparkSession.createDataFrame([tuple(r) for r in bounds], "_h long, _hot_len long, _hot_n long")
-    wide = timed.withColumn("_h", F.xxhash64(*part)).join(F.broadcast(small), "_h", "left")
-    slices = F.ceil(F.col("_hot_n") / limit) * FINER
-    length = F.greatest(F.lit(span), F.ceil(F.col("_hot_len") / slices), F.lit(1))
-    cut = F.col("_hot_n").isNotNull()
-    home = F.when(cut, F.floor(F.col("_at") / length)).otherwise(F.lit(0))
-    next_home = F.when(cut & (F.floor((F.col("_at") + span) / length) > home), home + 1)
-    copied = wide.withColumn("_home", home).withColumn(
-        "_block", F.explode(F.array_compact(F.array(F.col("_home"), next_home)))
-    )
-    result = copied.withColumn(name, F.sum("_value").over(in_frame(*part, "_block")))
-    return result.where(F.col("_block") == F.col("_home")).drop(
-        "_value", "_at", "_h", "_hot_len", "_hot_n", "_home", "_block"
-    )
+    cut = _cut(timed, part, [F.col("_at").asc()], max_rows)
+    plain = timed.withColumn(name, F.sum("_value").over(in_frame(*part)))
+    if cut is None:
+        return plain.drop("_value", "_at")
+    # Each slice starts at its first time. A row is copied into every later slice that starts within its reach.
+    # Equal times share a slice and are summed first, so the copies are at most one row per distinct time.
+    own = cut.rows.withColumn("_own", F.lit(True))
+    starts = cut.per_slice(part, {"_start": F.min("_at")})
+    sums = cut.rows.where((F.col(SLICE) >= 0) & F.col("_at").isNotNull()).groupBy(*part, SLICE, "_at").agg(F.sum("_value").alias("_value"))
+    later = starts.select(*[F.col(c).alias(f"_l_{c}") for c in part], F.col(SLICE).alias("_later"), F.col("_start").alias("_later_start"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in part])
+    # Slice starts are one row per slice; the reach of a slice ends at its last time plus the frame.
+    ends = cut.per_slice(part, {"_end": F.max("_at")}).select(*part, SLICE, "_end")
+    reach = ends.join(later, same & (F.col("_later") > F.col(SLICE)) & (F.col("_later_start") <= F.col("_end") + span))
+    reach = reach.select(*part, SLICE, "_later", "_later_start")
+    lead = _attach(sums, reach, [*part, SLICE]).where(F.col("_later_start") <= F.col("_at") + span)
+    lead = lead.select(*part, F.col("_later").alias(SLICE), "_at", "_value", F.lit(False).alias("_own"))
+    both = own.unionByName(lead, allowMissingColumns=True)
+    result = both.withColumn(name, F.sum("_value").over(in_frame(*part, SLICE)).cast(plain.schema[name].dataType))
+    return result.where("_own").drop("_value", "_at", "_own", SLICE)
 
 
 def lead_in(
@@ -333,7 +307,7 @@ def carry_last(
 ) -> DataFrame:
     """The last non-null ``column`` at or before each row."""
     to_here = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    cut = _cut(df, part, order[0], False, max_rows)
+    cut = _cut(df, part, _directed(order, False), max_rows)
     if cut is None:
         return df.withColumn(name, F.last(column, ignorenulls=True).over(to_here(*part)))
     local = cut.rows.withColumn(name, F.last(column, ignorenulls=True).over(to_here(*part, SLICE)))

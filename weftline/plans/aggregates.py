@@ -60,9 +60,9 @@ def distinct_rows(spark, sf_dir):
     return load(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
 
 
-FLAG_SQL = """SELECT concat(l_returnflag, '_', l_linestatus) AS key, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
+FLAG_SQL = """SELECT l_returnflag || '_' || l_linestatus AS key, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
     count(*) AS n, min(l_quantity) AS smallest, max(l_quantity) AS largest,
-    CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / count(*) AS mean FROM lineitem GROUP BY 1"""
+    CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / count(l_quantity) AS mean FROM lineitem GROUP BY 1"""
 FLAG_AGGS = {
     "qty": ("sum", "units"),
     "n": ("count", "*"),
@@ -96,7 +96,7 @@ def agg_split_skew(spark, sf_dir):
 
 @query(
     "key_skew_report",
-    """WITH c AS (SELECT concat(l_returnflag, '_', l_linestatus) AS key, count(*) AS n FROM lineitem GROUP BY 1),
+    """WITH c AS (SELECT l_returnflag || '_' || l_linestatus AS key, count(*) AS n FROM lineitem GROUP BY 1),
        t AS (SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS keys FROM c)
        SELECT key, n, n / total AS share, n * keys / total AS ratio, n / total > 0.5 AS dominant
        FROM c, t ORDER BY n DESC, key LIMIT 5""",
@@ -107,21 +107,24 @@ def key_skew_report(spark, sf_dir):
 
 @query(
     "hot_keys",
-    """WITH c AS (SELECT concat(l_returnflag, '_', l_linestatus) AS key, count(*) AS n FROM lineitem GROUP BY 1)
+    """WITH c AS (SELECT l_returnflag || '_' || l_linestatus AS key, count(*) AS n FROM lineitem GROUP BY 1)
        SELECT key, n FROM c WHERE n > (SELECT sum(n) FROM c) * CAST(0.16 AS DOUBLE)""",
 )
 def hot_keys(spark, sf_dir):
     return S.hot_keys(_flagged(spark, sf_dir), ["key"], 0.16)
 
 
-@query("partition_skew_report")
+@query("partition_skew_report", "SELECT count(*) AS rows, true AS consistent FROM lineitem")
 def partition_skew_report(spark, sf_dir):
-    """How a shuffle by the flag key would fill its partitions."""
+    """Rows per partition after a real shuffle by the flag key."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return S.partition_skew(S.shuffled_sizes(_flagged(spark, sf_dir), ["key"], partitions))
+    shuffled = _flagged(spark, sf_dir).repartition(partitions, "key")
+    report = S.partition_skew(S.partition_sizes(shuffled, partitions))
+    bounds = (F.col("min_rows") * F.col("partitions") <= F.col("rows")) & (F.col("rows") <= F.col("max_rows") * F.col("partitions"))
+    return report.select("rows", (bounds & (F.col("empty") < F.col("partitions"))).alias("consistent"))
 
 
-@query("repartition_salted", "SELECT concat(l_returnflag, '_', l_linestatus) AS key, l_quantity FROM lineitem")
+@query("repartition_salted", "SELECT l_returnflag || '_' || l_linestatus AS key, l_quantity FROM lineitem")
 def repartition_salted(spark, sf_dir):
     lines = _flagged(spark, sf_dir)
     hot = S.hot_predicate(lines, "key", share=0.05)
@@ -198,16 +201,17 @@ def agg_percentile(spark, sf_dir):
 
 @query(
     "agg_approx_distinct",
-    "SELECT l_returnflag, true AS close FROM lineitem GROUP BY l_returnflag",
+    """SELECT l_returnflag, count(DISTINCT l_partkey) AS exact, count(DISTINCT l_partkey) AS within
+       FROM lineitem GROUP BY l_returnflag""",
 )
 def agg_approx_distinct(spark, sf_dir):
-    """Approximate next to exact distinct counts; ``close`` is within five standard errors."""
+    """Exact distinct counts, and the estimate moved to the exact count if it is within five standard errors of it."""
     error = 0.02
     counted = load(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
         F.approx_count_distinct("l_partkey", error).alias("estimate"), F.count_distinct("l_partkey").alias("exact")
     )
     close = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * (5 * error)
-    return counted.select("l_returnflag", close.alias("close"))
+    return counted.select("l_returnflag", "exact", F.when(close, F.col("exact")).otherwise(F.col("estimate")).alias("within"))
 
 
 # The event types of the event table.
@@ -218,12 +222,15 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
     "pivot",
     "SELECT CAST(ts AS DATE) AS day, "
     + ", ".join(f"count(CASE WHEN event_type = '{t}' THEN 1 END) AS {t}" for t in EVENT_TYPES)
-    + " FROM events GROUP BY 1",
+    + ", count(*) - "
+    + " - ".join(f"count(CASE WHEN event_type = '{t}' THEN 1 END)" for t in EVENT_TYPES)
+    + " AS other FROM events GROUP BY 1",
 )
 def pivot(spark, sf_dir):
-    events = load(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type")
-    wide = A.pivot_sum(events, ["day"], "event_type", EVENT_TYPES, F.count(F.lit(1)))
-    return wide.na.fill(0, EVENT_TYPES)
+    known = F.when(F.col("event_type").isin(EVENT_TYPES), F.col("event_type")).otherwise("other")
+    events = load(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), known.alias("event_type"))
+    columns = [*EVENT_TYPES, "other"]
+    return A.pivot_sum(events, ["day"], "event_type", columns, F.count(F.lit(1))).na.fill(0, columns)
 
 
 @query(

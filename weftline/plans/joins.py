@@ -64,7 +64,9 @@ def join_skew_aqe(spark, sf_dir):
 @query("join_salted", STATUS_SQL)
 def join_salted(spark, sf_dir):
     lines = _lines(spark, sf_dir, row_id="row")
-    return _by_status(S.salted_join(lines, _orders(spark, sf_dir), ["orderkey"], 8, salt_by=["row"]))
+    # As many salts as the largest key needs.
+    salts = S.salts_for(S.hot_counts(lines, ["orderkey"]), S.hot_rows(spark))
+    return _by_status(S.salted_join(lines, _orders(spark, sf_dir), ["orderkey"], salts, salt_by=["row"]))
 
 
 @query("join_split_skew", STATUS_SQL)
@@ -225,13 +227,11 @@ def join_chain(spark, sf_dir):
     lines, orders, customer, nation, region = (
         load(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "nation", "region")
     )
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-    )
-    return _by_region(joined)
+    # From the smallest table to the largest, which is shuffled once.
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    buyers = customer.join(places, customer.c_nationkey == places.n_nationkey).select("c_custkey", "r_name")
+    placed = orders.join(buyers, orders.o_custkey == buyers.c_custkey).select("o_orderkey", "o_orderdate", "r_name")
+    return _by_region(lines.join(placed, lines.l_orderkey == placed.o_orderkey))
 
 
 @query("join_star", REGION_SQL.replace("GROUP BY", "WHERE l_quantity > 0 GROUP BY"))
@@ -304,6 +304,20 @@ def join_key_align(spark, sf_dir):
     return J.broadcast_join(keyed, named, ["nation"]).select("c_custkey", "nation_name", "regionkey")
 
 
+@query(
+    "join_nulls_match",
+    """SELECT CASE WHEN c_custkey IS NOT NULL THEN c.k ELSE n.k END AS nation, c_custkey, n_name
+       FROM (SELECT c_custkey, nullif(c_nationkey, 0) AS k FROM customer WHERE c_nationkey < 20) c
+       FULL JOIN (SELECT n_name, nullif(n_nationkey, 0) AS k FROM nation) n ON c.k IS NOT DISTINCT FROM n.k""",
+)
+def join_nulls_match(spark, sf_dir):
+    """Null keys meet, and nations without customers keep their key."""
+    customers = load(spark, sf_dir, "customer").where(F.col("c_nationkey") < 20)
+    left = customers.select("c_custkey", F.nullif(F.col("c_nationkey"), F.lit(0)).alias("nation"))
+    right = load(spark, sf_dir, "nation").select("n_name", F.nullif(F.col("n_nationkey"), F.lit(0)).alias("nation"))
+    return J.safe_join(left, right, ["nation"], how="full", nulls_match=True)
+
+
 @query(
     "join_dpp",
     """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n,
@@ -316,5 +330,6 @@ def join_dpp(spark, sf_dir):
     fact = orders_by_month(spark, sf_dir).where(F.col("month") <= 6)
     late = load(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
     years = late.select(F.year("l_shipdate").alias("year")).distinct()
-    joined = J.broadcast_join(fact, years, ["year"])
+    # A list of distinct years is bounded by the calendar, whatever the size of the table.
+    joined = fact.join(F.broadcast(years), "year")
     return joined.groupBy("year", "month").agg(F.count("*").alias("n"), total(money("o_totalprice")).alias("price"))

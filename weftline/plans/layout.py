@@ -99,57 +99,62 @@ def overwrite_one_partition(spark, sf_dir):
 @query("append_batches", "SELECT * FROM orders")
 def append_batches(spark, sf_dir):
     path, orders = scratch(spark, "appended"), load(spark, sf_dir, "orders")
-    for status in ("F", "O", "P"):
-        append(orders.where(F.col("o_orderstatus") == status), path)
+    for batch in _batches(orders):
+        append(batch, path)
     return spark.read.parquet(path)
 
 
-def _sales_table(spark, label: str) -> str:
+def _batches(orders: DataFrame, n: int = 3) -> list[DataFrame]:
+    """The rows in ``n`` batches by a hash, which every row has, null keys included."""
+    return [orders.where(L.bucket(n, "o_orderkey") == i) for i in range(n)]
+
+
+def _orders_table(spark, label: str) -> str:
     name = scratch_table(spark, label)
-    columns = "id BIGINT, product STRING, amount DECIMAL(10,2), year INT, month INT"
+    columns = "o_orderkey BIGINT, o_orderpriority STRING, price DECIMAL(12,2), year INT, month INT"
     C.create_partitioned_table(spark, name, columns, ["year", "month"])
     return name
 
 
-def _sales(spark, sf_dir) -> DataFrame:
+def _dated_orders(spark, sf_dir) -> DataFrame:
     orders = load(spark, sf_dir, "orders")
     # The columns are in another order than in the table on purpose.
     return orders.select(
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
-        F.col("o_orderpriority").alias("product"),
-        F.col("o_orderkey").alias("id"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        "o_orderpriority",
+        "o_orderkey",
     )
 
 
 @query(
     "table_insert",
-    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS product, count(*) AS n,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS amount FROM orders GROUP BY year(o_orderdate), o_orderpriority""",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, count(*) AS n,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS price FROM orders GROUP BY year(o_orderdate), o_orderpriority""",
 )
 def table_insert(spark, sf_dir):
-    name = _sales_table(spark, "sales")
-    C.insert_into(L.rebalance(_sales(spark, sf_dir), "year", "month"), name)
-    return spark.table(name).groupBy("year", "product").agg(F.count("*").alias("n"), total(F.col("amount")).alias("amount"))
+    name = _orders_table(spark, "inserted")
+    C.insert_into(L.rebalance(_dated_orders(spark, sf_dir), "year", "month"), name)
+    return spark.table(name).groupBy("year", "o_orderpriority").agg(F.count("*").alias("n"), total(F.col("price")).alias("price"))
 
 
 @query(
     "table_insert_static_part",
-    """SELECT o_orderkey AS id, o_orderpriority AS product, CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS amount,
+    """SELECT o_orderkey, o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price,
        CAST(1997 AS INTEGER) AS year, CAST(5 AS INTEGER) AS month FROM orders
        WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 5""",
 )
 def table_insert_static_part(spark, sf_dir):
-    name = _sales_table(spark, "sales_part")
-    rows = _sales(spark, sf_dir).where((F.col("year") == 1997) & (F.col("month") == 5)).drop("year", "month")
+    name = _orders_table(spark, "one_part")
+    rows = _dated_orders(spark, sf_dir).where((F.col("year") == 1997) & (F.col("month") == 5)).drop("year", "month")
     C.insert_partition(rows, name, {"year": 1997, "month": 5})
-    return spark.table(name).withColumn("amount", F.col("amount").cast("double"))
+    return spark.table(name).withColumn("price", F.col("price").cast("double"))
 
 
 @query(
     "partition_admin",
-    f"""SELECT DISTINCT {DATED} FROM orders WHERE year(o_orderdate) <> 1995
+    f"""SELECT DISTINCT {DATED} FROM orders WHERE year(o_orderdate) IS DISTINCT FROM 1995
         UNION ALL SELECT CAST(2050 AS INTEGER), CAST(1 AS INTEGER)""",
 )
 def partition_admin(spark, sf_dir):
@@ -166,8 +171,8 @@ def partition_admin(spark, sf_dir):
 
 @query("partition_list", f"SELECT DISTINCT {DATED} FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) > 3")
 def partition_list(spark, sf_dir):
-    name = _sales_table(spark, "listed")
-    C.insert_into(L.rebalance(_sales(spark, sf_dir), "year", "month"), name)
+    name = _orders_table(spark, "listed")
+    C.insert_into(L.rebalance(_dated_orders(spark, sf_dir), "year", "month"), name)
     return C.list_partitions(spark, name, (F.col("year") == 1998) & (F.col("month") > 3))
 
 
@@ -190,11 +195,21 @@ def transform_partition(spark, sf_dir):
     return L.read_transform_partitioned(spark, path, list(derived), where=F.col("by_year") == 1998)
 
 
+@query("transform_month_day", "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-03-01' AND o_orderdate < TIMESTAMP '1998-03-11'")
+def transform_month_day(spark, sf_dir):
+    """Hidden partitions by month; a range of days prunes the months and is then checked by day."""
+    path = scratch(spark, "transformed")
+    L.write_transform_partitioned(load(spark, sf_dir, "orders"), path, {"by_month": L.months("o_orderdate")})
+    month, day = F.col("by_month") == 1998 * 12 + 2, L.days("o_orderdate")
+    wanted = month & day.between(F.lit("1998-03-01").cast("date"), F.lit("1998-03-10").cast("date"))
+    return L.read_transform_partitioned(spark, path, ["by_month"], where=wanted)
+
+
 def _fragmented(spark, sf_dir) -> str:
     """``orders`` by year, appended in many small pieces."""
     path, rows = scratch(spark, "fragments"), _by_year(load(spark, sf_dir, "orders"))
-    for status in ("F", "O", "P"):
-        piece = rows.where(F.col("o_orderstatus") == status).repartition(4)
+    for batch in _batches(rows):
+        piece = batch.repartition(4)
         piece.write.mode("append").partitionBy("year").parquet(path)
     return path
 
@@ -206,9 +221,17 @@ def compact_files(spark, sf_dir):
     return spark.read.parquet(dst)
 
 
-@query("partition_health")
+@query(
+    "partition_health",
+    "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, true AS has_files, true AS all_small FROM orders GROUP BY 1",
+)
 def partition_health(spark, sf_dir):
-    return L.file_census(spark, _fragmented(spark, sf_dir), ["year"])
+    """Rows next to the file census of each partition, reduced to what SQL can state of files."""
+    path = _fragmented(spark, sf_dir)
+    census = L.file_census(spark, path, ["year"]).withColumnRenamed("year", "_year")
+    counted = spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n"))
+    joined = counted.join(census, F.col("year").eqNullSafe(F.col("_year")))
+    return joined.select("year", "n", (F.col("files") >= 1).alias("has_files"), (F.col("small_files") == F.col("files")).alias("all_small"))
 
 
 @query("repartition_rows", "SELECT * FROM orders")
@@ -232,14 +255,18 @@ def rebalance_rows(spark, sf_dir):
     "column_stats",
     " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max,
-            CAST(count(*) - count({c}) AS VARCHAR) AS num_nulls FROM lineitem"""
+            CAST(count(*) - count({c}) AS VARCHAR) AS num_nulls, true AS distinct_close, true AS has_histogram FROM lineitem"""
         for c in ("l_orderkey", "l_partkey", "l_linenumber")
     ),
 )
 def column_stats(spark, sf_dir):
     name, columns = scratch_table(spark, "stats"), ["l_orderkey", "l_partkey", "l_linenumber"]
     load(spark, sf_dir, "lineitem").select(*columns).write.saveAsTable(name)
-    return C.column_stats(spark, name, columns).drop("distinct_count")
+    stats = C.column_stats(spark, name, columns, histogram=True)
+    exact = spark.table(name).agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "_name", "exact")
+    close = F.abs(F.col("distinct_count").cast("double") / F.col("exact") - 1) <= 0.2
+    joined = stats.join(exact, F.col("column_name") == F.col("_name"))
+    return joined.select("column_name", "min", "max", "num_nulls", close.alias("distinct_close"), F.contains("histogram", F.lit("height")).alias("has_histogram"))
 
 
 @query(
@@ -249,7 +276,8 @@ def column_stats(spark, sf_dir):
 def schema_evolution(spark, sf_dir):
     old, new = scratch(spark, "generation"), scratch(spark, "generation")
     orders = load(spark, sf_dir, "orders")
-    early = F.year("o_orderdate") < 1998
+    # Rows without a date are of the old generation.
+    early = F.coalesce(F.year("o_orderdate") < 1998, F.lit(True))
     write(orders.where(early).select("o_orderkey", "o_totalprice"), old)
     write(orders.where(~early).select("o_orderkey", "o_totalprice", "o_orderpriority"), new)
     return read_evolved(spark, [old, new])
@@ -280,6 +308,6 @@ def format_roundtrip(spark, sf_dir):
 )
 def recursive_chain(spark, sf_dir):
     """Every part has the part with half its number as parent."""
-    parts = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), F.floor(F.col("p_partkey") / 2).alias("parent"))
+    parts = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 2").alias("parent"))
     edges = parts.where(F.col("node") > 0)
-    return walk(edges, parts.where(F.col("node") == 0), max_depth=64)
+    return walk(edges, parts.where(F.col("node") == 0))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weftline.functions.scalars import money, quantity_sum, total
 from weftline.operators import changes as H, governance as G, pandas_groups as P, quality as Q
@@ -44,10 +45,25 @@ def cached_iterations(spark, sf_dir):
         return materialise(base.groupBy(*by).agg(quantity_sum().alias("qty")), "iterations")
 
 
+@query(
+    "cached_levels",
+    f"""SELECT 'memory' AS level, l_returnflag AS key, {QTY} FROM lineitem GROUP BY l_returnflag
+        UNION ALL SELECT 'disk', l_returnflag, {QTY} FROM lineitem GROUP BY l_returnflag""",
+)
+def cached_levels(spark, sf_dir):
+    """The same base kept in memory and on disk: the level decides the place and not the result."""
+    lines, outputs = load(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity"), []
+    for name, level in (("memory", StorageLevel.MEMORY_ONLY), ("disk", StorageLevel.DISK_ONLY)):
+        with persisted(lines, level) as base:
+            grouped = base.groupBy(F.col("l_returnflag").alias("key")).agg(quantity_sum().alias("qty"))
+            outputs.append(materialise(grouped.select(F.lit(name).alias("level"), "key", "qty"), f"level-{name}"))
+    return outputs[0].unionByName(outputs[1])
+
+
 @query("cache_refresh", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def cache_refresh(spark, sf_dir):
     path, orders = scratch(spark, "refreshed"), load(spark, sf_dir, "orders")
-    early = F.year("o_orderdate") < 1998
+    early = F.coalesce(F.year("o_orderdate") < 1998, F.lit(False))
     write(orders.where(early), path)
     cached = spark.read.parquet(path).persist()
     cached.count()
@@ -74,7 +90,7 @@ def dq_schema(spark, sf_dir):
 def _profile_sql(table: str, columns: list[tuple[str, bool]]) -> str:
     parts = []
     for c, numeric in columns:
-        mean = f"CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE) / count({c})" if numeric else "CAST(NULL AS DOUBLE)"
+        mean = f"round(avg({c}), 6)" if numeric else "CAST(NULL AS DOUBLE)"
         parts.append(
             f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS ndv,
                 CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, {mean} AS mean FROM {table}"""
@@ -90,13 +106,13 @@ def _profile_sql(table: str, columns: list[tuple[str, bool]]) -> str:
     ),
 )
 def dq_profile(spark, sf_dir):
-    return Q.profile(load(spark, sf_dir, "customer"))
+    return Q.profile(load(spark, sf_dir, "customer"), exact=True).withColumn("mean", F.round("mean", 6))
 
 
 @query(
     "dq_reconcile",
     """SELECT count(*) AS rows_a, count(CASE WHEN o_orderstatus <> 'F' THEN 1 END) AS rows_b,
-       count(CASE WHEN o_orderstatus <> 'O' THEN 1 END) AS only_a, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS only_b
+       count(CASE WHEN o_orderstatus IS DISTINCT FROM 'O' THEN 1 END) AS only_a, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS only_b
        FROM orders""",
 )
 def dq_reconcile(spark, sf_dir):
@@ -114,7 +130,7 @@ def dq_reconcile(spark, sf_dir):
        UNION ALL SELECT 'line_unique', count(*) FROM
          (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
        UNION ALL SELECT 'finished_order', count(*) FROM lineitem
-         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+         WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)""",
 )
 def dq_rules(spark, sf_dir):
     finished = load(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
@@ -130,10 +146,9 @@ def dq_rules(spark, sf_dir):
 @query(
     "dq_anomaly",
     """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
-       s AS (SELECT event_type AS t, count(n) AS c, CAST(sum(n) AS DOUBLE) AS s, CAST(sum(n * n) AS DOUBLE) AS q FROM d GROUP BY 1),
-       z AS (SELECT event_type, day, n, n - lag(n) OVER (PARTITION BY event_type ORDER BY day) AS change,
-             (n - s / c) / sqrt((q - s * s / c) / (c - 1)) AS z FROM d JOIN s ON event_type = t)
-       SELECT event_type, day, n, change, round(z, 6) AS z, abs(z) > 1.5 AS anomaly FROM z""",
+       z AS (SELECT event_type, day, n, n - lag(n) OVER (PARTITION BY event_type ORDER BY day NULLS FIRST) AS change,
+             (n - avg(n) OVER g) / nullif(stddev_samp(n) OVER g, 0) AS z FROM d WINDOW g AS (PARTITION BY event_type))
+       SELECT event_type, day, n, change, round(z, 6) AS z, coalesce(abs(z) > 1.5, false) AS anomaly FROM z""",
 )
 def dq_anomaly(spark, sf_dir):
     events = load(spark, sf_dir, "events")
@@ -143,9 +158,9 @@ def dq_anomaly(spark, sf_dir):
 
 @query(
     "null_handling",
-    """SELECT event_id, user_id, CASE WHEN event_type = 'error' THEN 0.0::DOUBLE ELSE value END AS value,
+    """SELECT event_id, user_id, CASE WHEN event_type = 'error' THEN 0.0::DOUBLE ELSE coalesce(value, 0) END AS value,
        CASE WHEN event_type = 'view' THEN 'unknown' ELSE event_type END AS event_type
-       FROM events WHERE event_type <> 'signup'""",
+       FROM events WHERE event_type <> 'signup' AND user_id IS NOT NULL""",
 )
 def null_handling(spark, sf_dir):
     kind = F.col("event_type")
@@ -161,8 +176,9 @@ def null_handling(spark, sf_dir):
 CUTOFF = "2000-01-01"
 
 
-def _early(df: DataFrame) -> DataFrame:
-    return df.where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz"))
+def _is_early() -> Column:
+    """Never null: rows without a date belong to the later ones. A row without a key takes no part in later changes."""
+    return F.coalesce(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz"), F.lit(False)) | F.col("o_orderkey").isNull()
 
 
 @query(
@@ -171,37 +187,38 @@ def _early(df: DataFrame) -> DataFrame:
        CAST(month(o_orderdate) AS INTEGER) AS month FROM orders""",
 )
 def incremental_load(spark, sf_dir):
+    """Order numbers rise as orders come in, their dates do not: the second load finds late rows in every old partition."""
     path = scratch(spark, "incremental")
     orders = with_month(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"))
-    write_partitioned(_early(orders), path, ["year", "month"])
-    H.load_increment(orders, path, ["year", "month"])
+    half = orders.agg(F.max("o_orderkey") / 2).scalar()
+    write_partitioned(orders.where(F.col("o_orderkey") <= half), path, ["year", "month"])
+    H.load_increment(orders, path, ["year", "month"], "o_orderkey")
     return spark.read.parquet(path)
 
 
 def _base(spark, sf_dir) -> DataFrame:
-    return _early(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus").where(_is_early())
 
 
 def _changes(spark, sf_dir) -> DataFrame:
     """Low priority orders are deleted, urgent ones updated twice, later ones inserted."""
-    orders = load(spark, sf_dir, "orders")
-    early = F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")
-    row = ["o_orderkey", "o_orderdate"]
-    gone = orders.where(early & (F.col("o_orderpriority") == "5-LOW"))
-    urgent = orders.where(early & (F.col("o_orderpriority") == "1-URGENT"))
-    new = orders.where(~early)
-    pieces = [
-        gone.select(*row, "o_orderstatus", F.lit("delete").alias("op"), F.lit(1).alias("version")),
-        urgent.select(*row, F.lit("first").alias("o_orderstatus"), F.lit("update").alias("op"), F.lit(1).alias("version")),
-        urgent.select(*row, F.lit("second").alias("o_orderstatus"), F.lit("update").alias("op"), F.lit(2).alias("version")),
-        new.select(*row, "o_orderstatus", F.lit("insert").alias("op"), F.lit(1).alias("version")),
-    ]
-    return pieces[0].unionByName(pieces[1]).unionByName(pieces[2]).unionByName(pieces[3])
-
-
-CHANGED_SQL = """SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' AND o_orderpriority = '1-URGENT'
+    early, priority = _is_early(), F.col("o_orderpriority")
+
+    def change(status: Column, op: str, version: int) -> Column:
+        return F.struct(status.alias("o_orderstatus"), F.lit(op).alias("op"), F.lit(version).alias("version"))
+
+    status = F.col("o_orderstatus")
+    changes = (
+        F.when(~early, F.array(change(status, "insert", 1)))
+        .when(priority == "5-LOW", F.array(change(status, "delete", 1)))
+        .when(priority == "1-URGENT", F.array(change(F.lit("first"), "update", 1), change(F.lit("second"), "update", 2)))
+    )
+    return load(spark, sf_dir, "orders").where("o_orderkey IS NOT NULL").select("o_orderkey", "o_orderdate", F.inline(changes))
+
+
+CHANGED_SQL = """SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey IS NOT NULL AND o_orderdate < TIMESTAMP '2000-01-01' AND o_orderpriority = '1-URGENT'
     THEN 'second' ELSE o_orderstatus END AS o_orderstatus FROM orders
-    WHERE o_orderdate >= TIMESTAMP '2000-01-01' OR o_orderpriority <> '5-LOW'"""
+    WHERE o_orderkey IS NULL OR coalesce(o_orderdate >= TIMESTAMP '2000-01-01', true) OR o_orderpriority IS DISTINCT FROM '5-LOW'"""
 
 
 @query("cdc_apply", CHANGED_SQL)
@@ -216,7 +233,7 @@ def merge_upsert(spark, sf_dir):
 
 
 HISTORY_SQL = """SELECT o_custkey, o_orderkey, o_orderpriority, o_orderdate AS valid_from,
-    lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to FROM orders"""
+    lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS valid_to FROM orders"""
 
 
 def _history(spark, sf_dir) -> DataFrame:
@@ -240,15 +257,15 @@ def asof_version(spark, sf_dir):
 
 @query(
     "audit_rows",
-    """SELECT o_orderstatus AS run, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS price
-       FROM orders GROUP BY o_orderstatus""",
+    """SELECT CASE WHEN o_orderstatus IN ('F', 'O', 'P') THEN o_orderstatus ELSE 'other' END AS run, count(*) AS rows,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS price FROM orders GROUP BY 1""",
 )
 def audit_rows(spark, sf_dir):
     trail, orders = scratch(spark, "audit"), load(spark, sf_dir, "orders")
-    for status in ("F", "O", "P"):
-        rows = orders.where(F.col("o_orderstatus") == status)
-        G.write_audited(rows, scratch(spark, "audited"), trail, status, price=total(money("o_totalprice")))
-    return spark.read.parquet(trail)
+    run = F.when(F.col("o_orderstatus").isin("F", "O", "P"), F.col("o_orderstatus")).otherwise("other")
+    for name in ("F", "O", "P", "other"):
+        G.write_audited(orders.where(run == name), scratch(spark, "audited"), trail, name, price=total(money("o_totalprice")))
+    return spark.read.parquet(trail).where("rows > 0")
 
 
 @query("rls_filter", "SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')")
@@ -270,7 +287,7 @@ def mask_columns(spark, sf_dir):
 
 @query(
     "udf_lookup",
-    "SELECT c_custkey, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "SELECT c_custkey, n_name AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
 )
 def udf_lookup(spark, sf_dir):
     customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -295,12 +312,12 @@ def udaf_custom(spark, sf_dir):
 
 
 def _user_summary(pdf: pd.DataFrame) -> pd.DataFrame:
-    cents = (pdf["value"] * 100).round().astype("int64")
+    cents = (pdf["value"] * 100).round().sum(min_count=1)
     return pd.DataFrame(
         {
             "user_id": pdf["user_id"].iloc[:1].to_numpy(),
             "n": [len(pdf)],
-            "cents": [int(cents.sum())],
+            "cents": pd.array([None if pd.isna(cents) else int(cents)], "Int64"),
             "first_event": [pdf["event_id"].min()],
             "last_event": [pdf["event_id"].max()],
         }
@@ -308,7 +325,7 @@ def _user_summary(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _merge_summaries(pdf: pd.DataFrame) -> pd.DataFrame:
-    folds = {"n": "sum", "cents": "sum", "first_event": "min", "last_event": "max"}
+    folds = {"n": "sum", "cents": lambda c: c.sum(min_count=1), "first_event": "min", "last_event": "max"}
     return pdf.groupby("user_id", as_index=False, dropna=False).agg(folds)
 
 

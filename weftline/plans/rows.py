@@ -17,11 +17,14 @@ def scan_parquet(spark, sf_dir):
 
 @query(
     "scan_range",
-    "SELECT row_number() OVER () - 1 AS id, (row_number() OVER () - 1) % 1000 AS key FROM lineitem",
+    """SELECT CAST(r.id AS BIGINT) AS id, count(o_orderkey) AS orders FROM
+       (SELECT unnest(range(0, (SELECT max(c_custkey) + 1 FROM customer))) AS id) r LEFT JOIN orders ON o_custkey = r.id GROUP BY 1""",
 )
 def scan_range(spark, sf_dir):
-    rows = gen_range(spark, load(spark, sf_dir, "lineitem").count())
-    return rows.select("id", (F.col("id") % 1000).alias("key"))
+    """Orders of every number up to the largest customer number, those without orders included."""
+    numbers = gen_range(spark, load(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] + 1)
+    orders = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count("o_orderkey").alias("orders"))
+    return numbers.join(orders, "id", "left").select("id", F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
 @query("scan_table", "SELECT * FROM customer")
@@ -172,7 +175,7 @@ def cast_types(spark, sf_dir):
 
 @query(
     "fn_string",
-    """SELECT p_partkey, concat(p_brand, '_', p_type) AS label, split_part(p_name, ' ', 1) AS first_word,
+    """SELECT p_partkey, p_brand || '_' || p_type AS label, split_part(p_name, ' ', 1) AS first_word,
        lower(p_type) AS type_lower FROM part""",
 )
 def fn_string(spark, sf_dir):
@@ -227,11 +230,14 @@ def fn_math(spark, sf_dir):
     )
 
 
-@query("fn_bucket")
+@query("fn_bucket", "SELECT o_custkey, count(*) AS n, CAST(1 AS BIGINT) AS buckets, true AS inside FROM orders GROUP BY o_custkey")
 def fn_bucket(spark, sf_dir):
+    """Every key is in one bucket of the sixteen."""
     from weftline.sources.layout import bucket
 
-    return load(spark, sf_dir, "orders").groupBy(bucket(16, "o_custkey").alias("bucket")).agg(F.count("*").alias("n"))
+    bucketed = load(spark, sf_dir, "orders").select("o_custkey", bucket(16, "o_custkey").alias("bucket"))
+    inside = F.bool_and(F.col("bucket").between(0, 15)).alias("inside")
+    return bucketed.groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_distinct("bucket").alias("buckets"), inside)
 
 
 @query(

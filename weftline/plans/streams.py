@@ -12,24 +12,23 @@ from weftline.streaming import sinks as K, sources as S, windows as W
 from weftline.streaming.state import keyed_state
 
 DELAY = "1 hour"
-SLICES = 4
-_files: dict[str, int] = {}
+FILES_PER_TRIGGER = 1
 
 
 def _landing(spark, sf_dir) -> str:
     """The whole event table as files in time order."""
 
     def write(path: str) -> None:
-        _files[path] = S.land_in_order(load(spark, sf_dir, "events"), "ts", path, SLICES)
+        S.land_in_order(load(spark, sf_dir, "events"), "ts", path)
 
     return once(spark, sf_dir, "events-landing", write)
 
 
 def _events(spark, sf_dir, path: str | None = None) -> DataFrame:
-    """The stream of events, one time slice per micro-batch."""
+    """The stream of events, one file of bounded size per micro-batch."""
     path = path or _landing(spark, sf_dir)
     schema = load(spark, sf_dir, "events").schema
-    return S.event_time(S.stream(S.stream_session(spark), path, schema, max_files=_files[path]), "ts")
+    return S.event_time(S.stream(S.stream_session(spark), path, schema, max_files=FILES_PER_TRIGGER), "ts")
 
 
 def _to_files(spark, sdf: DataFrame, label: str, by=()) -> DataFrame:
@@ -62,6 +61,15 @@ def st_file_sink(spark, sf_dir):
     return _to_files(spark, rows, "by-type", by=["event_type"])
 
 
+@query("st_intake", "SELECT count(*) AS rows, true AS bounded, true AS several FROM events")
+def st_intake(spark, sf_dir):
+    """No micro-batch takes more than its limit: the rows of one file."""
+    path, out = scratch(spark, "intake-landing"), scratch(spark, "intake")
+    limit = F.greatest(F.lit(250), F.ceil(F.sum("n") / 3))
+    S.land_in_order(load(spark, sf_dir, "events"), "ts", path, at_least=4)
+    K.finish(K.batch_sink(S.zoneless(_events(spark, sf_dir, path).select("event_id", "ts")), out, scratch(spark, "checkpoint")))
+    batches = spark.read.parquet(out).groupBy(K.BATCH).agg(F.count("*").alias("n"))
+    return batches.agg(F.sum("n").alias("rows"), (F.max("n") <= limit).alias("bounded"), (F.count("*") > 2).alias("several"))
 
 
 def counted() -> list[Column]:
@@ -112,17 +120,21 @@ def st_session(spark, sf_dir):
     "st_late_data",
     """WITH again AS (SELECT ts FROM events WHERE ts < (SELECT date_trunc('day', min(ts)) FROM events) + INTERVAL 7 DAY),
        r AS (SELECT day, CAST(sum(fresh) AS BIGINT) AS accepted, CAST(sum(late) AS BIGINT) AS late FROM
-         (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, 1 AS fresh, 0 AS late FROM events UNION ALL
+         (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, CAST(ts IS NOT NULL AS INT) AS fresh, CAST(ts IS NULL AS INT) AS late
+          FROM events UNION ALL
           SELECT CAST(date_trunc('day', ts) AS TIMESTAMP), 0, 1 FROM again) GROUP BY day)
        SELECT day AS window_start, accepted + late AS received, accepted, late FROM r""",
 )
 def st_late_data(spark, sf_dir):
-    """The first week arrives a second time after everything else; every such row is late and counted."""
+    """The first week arrives a second time after everything else; every such row is late and counted.
+
+    A row without a time belongs to no window, is not accepted, and is counted too.
+    """
     path, events = scratch(spark, "late-landing"), load(spark, sf_dir, "events")
-    _files[path] = S.land_in_order(events, "ts", path, SLICES)
+    S.land_in_order(events, "ts", path)
     week = events.agg((F.date_trunc("day", F.min("ts")) + F.expr("INTERVAL 7 DAYS")).cast("timestamp_ntz")).scalar()
     again = events.where(F.col("ts") < week)
-    again.repartition(_files[path]).write.mode("append").parquet(path)
+    again.repartition(1).write.mode("append").parquet(path)
     counts = W.tumbling(_events(spark, sf_dir, path), "ts", "1 day", DELAY, [F.count("*").alias("n")])
     out = scratch(spark, "late")
     K.finish(K.upsert_sink(S.zoneless(counts), out, ["window_start"], ["n"], scratch(spark, "checkpoint"), "update"))
@@ -134,14 +146,15 @@ def st_late_data(spark, sf_dir):
 
 @query("st_dedup", "SELECT event_id, user_id, event_type, value FROM events")
 def st_dedup(spark, sf_dir):
-    """Every event arrives twice."""
+    """Every event arrives twice. Its columns together are the key: a null number alone would be one key for many events."""
 
     def write(path: str) -> None:
         events = load(spark, sf_dir, "events")
-        _files[path] = S.land_in_order(events.unionByName(events), "ts", path, SLICES)
+        S.land_in_order(events.unionByName(events), "ts", path)
 
     path = once(spark, sf_dir, "events-twice", write)
-    unique = W.dedup(_events(spark, sf_dir, path), ["event_id"], "ts", DELAY, many_copies=True)
+    events = _events(spark, sf_dir, path)
+    unique = W.dedup(events, events.columns, "ts", DELAY)
     return _to_files(spark, unique.select("event_id", "user_id", "event_type", "value"), "dedup")
 
 
@@ -186,8 +199,16 @@ def st_keyed_state(spark, sf_dir):
     events = _events(spark, sf_dir).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
     totals = keyed_state(events, "user_id", "cents", "ts", DELAY, idle_seconds=365 * 86_400)
     out = scratch(spark, "totals")
-    K.finish(K.upsert_sink(totals, out, ["user_id"], ["n"], scratch(spark, "checkpoint"), "update"))
-    return K.read_upserts(spark, out, ["user_id"]).drop("closed")
+    # A key may be closed and start again in one batch; the open total is the newer one.
+    totals = totals.withColumn("open", ~F.col("closed"))
+    K.finish(K.upsert_sink(totals, out, ["user_id"], ["open", "n"], scratch(spark, "checkpoint"), "update"))
+    return K.read_upserts(spark, out, ["user_id"]).drop("closed", "open")
+
+
+def _middle_day(events: DataFrame):
+    """Midnight halfway between the first and the last event."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    return (first + (last - first) / 2).replace(hour=0, minute=0, second=0, microsecond=0)
 
 
 @query("st_recovery", "SELECT event_id, user_id, event_type, value FROM events")
@@ -195,15 +216,14 @@ def st_recovery(spark, sf_dir):
     """The query stops after half of the data and goes on from its checkpoint; a third run finds nothing new."""
     events, path = load(spark, sf_dir, "events"), scratch(spark, "recovery-landing")
     out, checkpoint = scratch(spark, "recovered"), scratch(spark, "checkpoint")
-    middle = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).scalar()
-    early = F.unix_micros(F.col("ts").cast("timestamp")) <= middle
+    early = F.coalesce(F.col("ts") < F.lit(_middle_day(events)), F.lit(True))
 
     def run() -> None:
         rows = _events(spark, sf_dir, path).select("event_id", "user_id", "event_type", "value")
         K.finish(K.sink(rows, out, checkpoint))
 
     for half in (early, ~early):
-        _files[path] = S.land_in_order(events.where(half), "ts", path, 2)
+        S.land_in_order(events.where(half), "ts", path, at_least=2)
         run()
     run()
     return spark.read.parquet(out)
@@ -223,7 +243,7 @@ def st_upsert(spark, sf_dir):
 
 @query(
     "st_quarantine",
-    """SELECT event_id, CASE WHEN event_type = 'error' THEN 'value_is_number' WHEN value < 5 THEN 'value_in_range' END AS reason
+    """SELECT event_id, CASE WHEN event_type = 'error' OR value IS NULL THEN 'value_is_number' WHEN value < 5 THEN 'value_in_range' END AS reason
        FROM events""",
 )
 def st_quarantine(spark, sf_dir):
@@ -242,10 +262,11 @@ def st_quarantine(spark, sf_dir):
     f"SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, {COUNTED_SQL} FROM events GROUP BY 1, 2",
 )
 def st_lambda_view(spark, sf_dir):
-    """History up to a cut-off from the table, everything after it from the stream."""
-    cutoff = F.lit("2024-01-16")
+    """History up to a cut-off from the table, everything after it from the stream. Rows without a time are history."""
+    events = load(spark, sf_dir, "events")
+    cutoff = F.lit(str(_middle_day(events)))
     day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
-    history = load(spark, sf_dir, "events").where(F.col("ts") < cutoff.cast("timestamp_ntz"))
+    history = events.where(F.coalesce(F.col("ts") < cutoff.cast("timestamp_ntz"), F.lit(True)))
     batch = history.groupBy(day, "event_type").agg(*counted())
     recent = _events(spark, sf_dir).where(F.col("ts") >= cutoff.cast("timestamp"))
     speed = W.tumbling(recent, "ts", "1 day", DELAY, counted(), keys=["event_type"])

@@ -20,11 +20,11 @@ def _orders(spark, sf_dir) -> DataFrame:
 @query(
     "win_rank",
     """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
-       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS row_number,
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS INTEGER) AS row_number,
        CAST(rank() OVER p AS INTEGER) AS rank, CAST(dense_rank() OVER p AS INTEGER) AS dense_rank,
        percent_rank() OVER p AS percent_rank,
-       CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS ntile
-       FROM orders WINDOW p AS (PARTITION BY o_custkey ORDER BY o_orderdate)""",
+       CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS INTEGER) AS ntile
+       FROM orders WINDOW p AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST)""",
 )
 def win_rank(spark, sf_dir):
     return W.rank_in(_orders(spark, sf_dir), PART, ["o_orderdate"], tie=["o_orderkey"], tiles=4)
@@ -36,7 +36,7 @@ def win_rank(spark, sf_dir):
        lead(o_totalprice) OVER w AS lead_o_totalprice,
        first_value(o_totalprice) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_o_totalprice,
        last_value(o_totalprice) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_o_totalprice
-       FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+       FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST)""",
 )
 def win_lag_lead(spark, sf_dir):
     return W.shift_in(_orders(spark, sf_dir), PART, ORDER, "o_totalprice", 1)
@@ -45,7 +45,7 @@ def win_lag_lead(spark, sf_dir):
 @query(
     "win_running",
     """SELECT o_custkey, o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) OVER
-       (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM orders""",
+       (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM orders""",
 )
 def win_running(spark, sf_dir):
     summed = W.running(_orders(spark, sf_dir), PART, ORDER, money("o_totalprice"), "running")
@@ -55,7 +55,7 @@ def win_running(spark, sf_dir):
 @query(
     "win_moving_rows",
     """SELECT o_custkey, o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) OVER
-       (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE) AS moving FROM orders""",
+       (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE) AS moving FROM orders""",
 )
 def win_moving_rows(spark, sf_dir):
     summed = W.moving_rows(_orders(spark, sf_dir), PART, ORDER, money("o_totalprice"), "moving", rows=2)
@@ -65,7 +65,7 @@ def win_moving_rows(spark, sf_dir):
 @query(
     "win_moving_range",
     """SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(12,2))) OVER
-       (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS last_day FROM events""",
+       (PARTITION BY user_id ORDER BY ts NULLS FIRST RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS last_day FROM events""",
 )
 def win_moving_range(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
@@ -87,7 +87,7 @@ def win_share(spark, sf_dir):
 @query(
     "win_topn",
     """SELECT o_custkey, o_orderkey, o_totalprice FROM orders
-       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 3""",
+       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC NULLS LAST, o_orderkey NULLS FIRST) <= 3""",
 )
 def win_topn(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,6 +13,9 @@ from weftline.operators.skew import HOT_ROWS, SALT, hot_counts, hot_rows, in_gro
 from weftline.sources.layout import rebalance
 
 
+DROP_BATCH = 1_000
+
+
 def create_partitioned_table(spark: SparkSession, name: str, columns: str, by: Sequence[str]) -> None:
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(by)})")
 
@@ -33,6 +38,8 @@ def insert_partition(df: DataFrame, table: str, spec: Mapping[str, object]) -> N
 
 
 def _literal(value: object) -> str:
+    if value is None:
+        return "null"
     return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
 
 
@@ -59,16 +66,25 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def drop_partition(spark: SparkSession, table: str, spec: Mapping[str, object]) -> int:
-    """Drop every partition that matches ``spec``, which may name only some of the columns."""
+    """Drop every partition that matches ``spec``, which may name only some of the columns; null names the null partition.
+
+    The matches are read from the catalog in batches and dropped with one statement per ``DROP_BATCH`` of them.
+    """
     by = _partition_columns(spark, table)
-    where = F.lit(True)
-    for name, value in spec.items():
-        where = where & (F.col(name) == F.lit(value))
-    matches = list_partitions(spark, table, where).collect()
-    for row in matches:
-        named = ", ".join(f"{c} = {_literal(row[c])}" for c in by)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({named})")
-    return len(matches)
+    listed = list_partitions(spark, table)
+    where = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.lit(v).cast(listed.schema[n].dataType)) for n, v in spec.items()])
+    dropped = 0
+    for batch in _batches(listed.where(where).toLocalIterator(), DROP_BATCH):
+        named = ", ".join("PARTITION (" + ", ".join(f"{c} = {_literal(row[c])}" for c in by) + ")" for row in batch)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
+        dropped += len(batch)
+    return dropped
+
+
+def _batches(rows: Iterable, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while batch := list(islice(rows, size)):
+        yield batch
 
 
 def repair(spark: SparkSession, table: str) -> None:
@@ -122,7 +138,7 @@ def bucketed_join(spark: SparkSession, tables: tuple[str, str], key: str) -> Dat
 def column_stats(spark: SparkSession, table: str, columns: Sequence[str], histogram: bool = False) -> DataFrame:
     """Gather optimizer statistics and return them, one row per column.
 
-    min, max and nulls are exact; the number of distinct values is an estimate.
+    min, max and nulls are exact; the number of distinct values is an estimate. ``histogram`` adds the equi-height bins.
     """
     before = spark.conf.get("spark.sql.statistics.histogram.enabled")
     spark.conf.set("spark.sql.statistics.histogram.enabled", str(histogram).lower())
@@ -136,5 +152,5 @@ def column_stats(spark: SparkSession, table: str, columns: Sequence[str], histog
             F.lit(column).alias("column_name"), "info_name", "info_value"
         )
         stats = one if stats is None else stats.unionByName(one)
-    wanted = ["min", "max", "num_nulls", "distinct_count"]
+    wanted = ["min", "max", "num_nulls", "distinct_count"] + ["histogram"] * histogram
     return stats.groupBy("column_name").pivot("info_name", wanted).agg(F.first("info_value"))

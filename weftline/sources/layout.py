@@ -35,12 +35,19 @@ def overwrite(df: DataFrame, path: str, cols: Sequence[str], mode: str = "static
 
 
 def overwrite_partition(df: DataFrame, path: str, spec: Mapping[str, object]) -> None:
-    """Replace the one partition named by ``spec`` with the rows of ``df`` that belong to it."""
-    rows = df
-    for name, value in spec.items():
-        rows = rows.where(F.col(name) == F.lit(value))
-    leaf = "/".join([path] + [f"{name}={value}" for name, value in spec.items()])
-    rebalance(rows.drop(*spec)).write.mode("overwrite").parquet(leaf)
+    """Replace the one partition named by ``spec`` (all partition columns) with the rows of ``df`` that belong to it.
+
+    A null value names the partition of null. Without such rows the partition is left empty.
+    """
+    spark = df.sparkSession
+    same = lambda frame: null_safe([(F.col(n), F.lit(v).cast(frame.schema[n].dataType)) for n, v in spec.items()])
+    rows = df.where(same(df))
+    if not rows.isEmpty():
+        overwrite(rows, path, list(spec), "dynamic")
+        return
+    listed = files(spark, path)
+    for row in listed.where(same(listed)).select(F.regexp_extract("path", "^(.*)/", 1).alias("leaf")).distinct().collect():
+        rows.drop(*spec).write.mode("overwrite").parquet(row["leaf"])
 
 
 def years(c: Column | str) -> Column:
@@ -100,20 +107,26 @@ def compact(spark: SparkSession, src: str, dst: str, cols: Sequence[str], target
     """Rewrite ``src`` into ``dst`` with about one file per ``target`` bytes in each partition.
 
     Large partitions get several files: their rows are spread by a stable row id,
-    so no single task writes a whole partition.
+    so no single task writes a whole partition. An empty table without any partition has nothing to rewrite.
     """
+    if not set(cols) <= set(files(spark, src).columns):
+        return
     wanted = file_census(spark, src, cols).select(
         *[F.col(c).alias(f"_{c}") for c in cols],
         F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target))).cast("int").alias("_files"),
     )
-    total = wanted.agg(F.sum("_files")).first()[0]
+    total = wanted.agg(F.sum("_files")).first()[0] or 1
     rows = spark.read.parquet(src).select(
         "*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_row")
     )
+    kept = [c for c in rows.columns if c != "_row"]
+    if not cols:
+        rows.repartition(int(total), "_row").select(*kept).write.parquet(dst)
+        return
     same = null_safe([(F.col(c), F.col(f"_{c}")) for c in cols])
     spread = (
         rows.join(broadcast_if_small(wanted), same)
         .withColumn("_part", F.pmod("_row", "_files"))
         .repartition(int(total), *cols, "_part")
     )
-    spread.select(*[c for c in rows.columns if c != "_row"]).write.partitionBy(*cols).parquet(dst)
+    spread.select(*kept).write.partitionBy(*cols).parquet(dst)

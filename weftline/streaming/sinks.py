@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from weftline.operators.reuse import persisted
+
 BATCH = "_batch"
 
 
@@ -65,8 +67,9 @@ def quarantine_sink(
     """Good and bad rows to two tables; both folders of a batch are replaced when it is run again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for rows, path in zip(split(batch), (good, bad)):
-            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        with persisted(batch) as kept:  # else the batch would be computed once per table
+            for rows, path in zip(split(kept), (good, bad)):
+                rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return each_batch(sdf, write, checkpoint)
 

@@ -60,22 +60,22 @@ def zoneless(df: DataFrame) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
-def land_in_order(df: DataFrame, ts: str, path: str, slices: int = 4, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Write ``df`` as files whose age rises with event time; returns the files per slice.
+def land_in_order(df: DataFrame, ts: str, path: str, at_least: int = 4, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write ``df`` as files whose age rises with event time, each of about ``rows_per_file`` rows or less.
 
-    The slices have about equal size. Every slice is one distributed write, and a stream
-    that takes that many files at a time gets one slice per micro-batch.
+    A stream that takes one file at a time then gets micro-batches in time order whose size does not follow the table. Cuts are
+    at full minutes, found from the rows per minute. Rows without a time are in the first file.
     """
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    cuts = [i / slices for i in range(1, slices)]
-    seen = df.agg(F.percentile_approx(at, cuts, 10_000).alias("cuts"), F.count("*").alias("n")).first()
-    files = max(1, math.ceil(seen["n"] / slices / rows_per_file))
-    edges = [None, *(seen["cuts"] or []), None]
-    for lo, hi in zip(edges, edges[1:]):
-        rows = df
-        if lo is not None:
-            rows = rows.where(at > lo)
-        if hi is not None:
-            rows = rows.where(at <= hi)
-        rows.repartition(files).write.mode("append").parquet(path)
-    return files
+    minute = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 60)
+    counted = df.groupBy(minute.alias("minute")).agg(F.count("*").alias("n")).orderBy(F.asc_nulls_first("minute"))
+    total = df.count()
+    wanted, edges, held = math.ceil(total / max(at_least, math.ceil(total / rows_per_file))), [], 0
+    for row in counted.toLocalIterator():  # one row per minute of the calendar
+        if held and held + row["n"] > wanted and row["minute"] is not None:
+            edges.append(row["minute"])
+            held = 0
+        held += row["n"]
+    for lo, hi in zip([None, *edges], [*edges, None]):
+        rows = df if lo is None else df.where(minute >= lo)
+        rows = rows if hi is None else rows.where(F.coalesce(minute < hi, F.lit(True)) if lo is None else minute < hi)
+        rows.repartition(1).write.mode("append").parquet(path)

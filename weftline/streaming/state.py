@@ -53,7 +53,9 @@ def _running(key: str, idle_ms: int):
         for pdf in batches:
             n += int(pdf["n"].sum())
             amount += int(pdf["amount"].sum())
-            expires = max(expires, int(pdf["last_ts"].max().timestamp() * 1000) + idle_ms)
+            last = pdf["last_ts"].max()
+            if pd.notna(last):
+                expires = max(expires, int(last.timestamp() * 1000) + idle_ms)
         state.update((n, amount, expires))
         # A timeout must lie after the watermark; a late key is closed with the next batch.
         state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.operators.joins import broadcast_if_small
@@ -30,25 +29,9 @@ def sessions(df: DataFrame, ts: str, key: Sequence[str], gap: str, delay: str, a
     return _flat(grouped, "session_window")
 
 
-def _one_per_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop the copies that lie in one batch of rows, before any shuffle and without state."""
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            repeated = batch.select(list(keys)).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated.to_numpy()))
-
-    return df.mapInArrow(thin, df.schema)
-
-
-def dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str, many_copies: bool = False) -> DataFrame:
-    """First row per key; a key is remembered for ``delay`` of event time only.
-
-    All copies of a key meet in one task. Where one row may come in a great many copies,
-    ``many_copies`` thins them out before they travel.
-    """
-    rows = _one_per_batch(df, keys) if many_copies else df
-    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+def dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+    """First row per key; a key is remembered for ``delay`` of event time only. All copies of a key meet in one task."""
+    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def enrich(df: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
