@@ -32,7 +32,7 @@ PIECES = (
     "window_tokens bigint, group_id bigint, ids binary"
 )
 #: Words whose ids a worker keeps.
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 _STOPS = b".,;:!?"
 
 
@@ -53,6 +53,32 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[bytes, bytes] = {}
         self.remembered = remembered
+        self.ends = self._ends()
+
+    def _ends(self):
+        """Which ids end a word, if the tokenizer marks them; None otherwise."""
+        import json
+
+        import numpy as np
+
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        return ends if suffix else None
+
+    def _code(self, words: list[bytes], letters: bool) -> list[bytes]:
+        """Ids of each word. Words of letters only, which have one end at least, are encoded as one text and cut there."""
+        import numpy as np
+
+        if self.ends is not None and letters:
+            ids = np.asarray(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(words):
+                data, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
+                return [data[a:b] for a, b in zip(at, at[1:])]
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [_u4(e.ids) for e in coded]
 
     def _learn(self, found: set[bytes]) -> None:
         """Words not met before. A word that ends in stops is put together from its parts."""
@@ -61,11 +87,12 @@ class WordIds:
             core = word.rstrip(_STOPS)
             if len(core) < len(word) and core and core.decode()[-1].isalpha():
                 parts[word] = (core, word[len(core) :])
-        wanted = list({p for pair in parts.values() for p in pair}.union(found.difference(parts)).difference(self.memo))
-        for at in range(0, len(wanted), 4096):
-            some = wanted[at : at + 4096]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            self.memo.update((w, _u4(e.ids)) for w, e in zip(some, coded))
+        wanted = {p for pair in parts.values() for p in pair}.union(found.difference(parts)).difference(self.memo)
+        plain = {w for w in wanted if w.decode().isalpha()}
+        for some, letters in ((list(plain), True), (list(wanted - plain), False)):
+            for at in range(0, len(some), 2048):
+                part = some[at : at + 2048]
+                self.memo.update(zip(part, self._code(part, letters)))
         self.memo.update((word, self.memo[a] + self.memo[b]) for word, (a, b) in parts.items())
 
     def words(self, text: str) -> list[bytes]:
