@@ -105,6 +105,9 @@ def test_queue_merges_the_leftmost_lowest_rank():
         piece = bytes(rng.choices(b"aab", k=rng.randrange(1, 30)))
         if piece not in ranks:
             assert encoder.merge(piece) == slow(piece), piece
+    pieces = [bytes(rng.choices(b"aab", k=rng.randrange(1, 30))) for _ in range(2000)]
+    for piece, ids in zip(pieces, encoder.merge_many(pieces)):
+        assert as_ids(ids) == slow(piece), piece
     assert not encoder.queue.top and not encoder.queue.buckets and not any(encoder.queue.low) and not any(encoder.queue.middle)
 
 

@@ -5,8 +5,11 @@ in a bucket of positions. A bitmap of three levels of 64 marks the ranks in use,
 find-first-set steps. Taking a rank merges its leftmost position; entries whose pair has changed since are stale and
 skipped. The cost per merge does not depend on the length of the pre-token, which matters for very long ones.
 
-Texts are cut at spaces and line feeds into chunks that the pre-token pattern never crosses, and a bounded memory of chunks
-saves repeated work. A text with any other white space is cut by the pattern as a whole.
+Short pre-tokens that are new in a batch of texts share one list and one queue: a rank that is taken merges the leftmost
+position of every pre-token that has it, in one array operation. Each pre-token still merges its own lowest rank first.
+
+Texts are cut at spaces and line feeds into chunks that the pre-token pattern never crosses, and a bounded memory of pre-tokens
+and chunks saves repeated work. A text with any other white space is cut by the pattern as a whole.
 
 Cases: a null or empty text has no ids. Texts and pre-tokens of any length are encoded whole. There are no special tokens:
 their strings are ordinary text. A null id list decodes to no bytes. Repeated rows are encoded one by one; other columns
@@ -21,12 +24,14 @@ from heapq import heappop, heappush
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-from weftline.llm.workers import Memo, fingerprint, once_per_worker
+from weftline.llm.workers import fingerprint, once_per_worker
 
-#: Chunks whose ids a worker keeps.
-REMEMBERED = 600_000
+#: Pre-tokens, and chunks of several, whose ids a worker keeps.
+REMEMBERED, REMEMBERED_CHUNKS = 1_200_000, 300_000
+#: Bytes up to which pre-tokens share a queue, and characters of text that are encoded together.
+SHORT, TOGETHER = 48, 8_000_000
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_BLANK = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,43 +48,64 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
+    def open(self, rank: int) -> list[int]:
+        """A new bucket for a rank that has none."""
+        bucket = self.buckets[rank] = []
         self.low[rank >> 6] |= 1 << (rank & 63)
         self.middle[rank >> 12] |= 1 << (rank >> 6 & 63)
         self.top |= 1 << (rank >> 12)
+        return bucket
 
-    def pop(self) -> tuple[int, int]:
-        """The lowest rank in use and its leftmost position."""
+    def first(self) -> int:
+        """The lowest rank in use."""
         at = (self.top & -self.top).bit_length() - 1
         word = self.middle[at]
         at = at << 6 | (word & -word).bit_length() - 1
         word = self.low[at]
-        rank = at << 6 | (word & -word).bit_length() - 1
+        return at << 6 | (word & -word).bit_length() - 1
+
+    def close(self, rank: int) -> list[int]:
+        """The bucket of a rank, which is then no longer in use."""
+        self.low[rank >> 6] &= ~(1 << (rank & 63))
+        if not self.low[rank >> 6]:
+            self.middle[rank >> 12] &= ~(1 << (rank >> 6 & 63))
+            if not self.middle[rank >> 12]:
+                self.top &= ~(1 << (rank >> 12))
+        return self.buckets.pop(rank)
+
+    def push(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        heappush(self.open(rank) if bucket is None else bucket, position)
+
+    def pop(self) -> tuple[int, int]:
+        """The lowest rank in use and its leftmost position."""
+        rank = self.first()
         bucket = self.buckets[rank]
         position = heappop(bucket)
         if not bucket:
-            del self.buckets[rank]
-            self.low[at] &= self.low[at] - 1
-            if not self.low[at]:
-                self.middle[at >> 6] &= self.middle[at >> 6] - 1
-                if not self.middle[at >> 6]:
-                    self.top &= self.top - 1
+            self.close(rank)
         return rank, position
 
 
 class ByteEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED):
+        import numpy as np
         import regex
 
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values()) + 1)
-        self.memo = Memo(self._chunk, remembered)
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.remembered = remembered
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)])
+        # Every way in which a token is two tokens: the pairs that may merge, sorted for look-up.
+        splits = {
+            (ranks[token[:i]] << 32 | ranks[token[i:]]): rank
+            for token, rank in ranks.items() for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks
+        }
+        self.pairs = np.array(sorted(splits), np.int64)
+        self.merged = np.array([splits[p] for p in self.pairs.tolist()], np.int64)
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
@@ -120,16 +146,115 @@ class ByteEncoder:
             i = end[i]
         return ids
 
-    def _chunk(self, chunk: str) -> bytes:
-        pieces = self.find(chunk)
-        if len(pieces) == 1:
-            return b"".join(i.to_bytes(4, "little") for i in self.merge(chunk.encode()))
-        return b"".join([self.memo[p] for p in pieces])
+    def _rank(self, left, right):
+        """Rank of each pair of token ids, -1 where the pair is no token or one side is missing (-1)."""
+        import numpy as np
+
+        wanted = (left << 32) | np.maximum(right, 0)
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.merged[at], -1)
+
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many short pre-tokens, each as 32-bit integers. All of them are in one linked list and one queue."""
+        import numpy as np
+
+        sizes = np.array([len(p) for p in pieces])
+        n = int(sizes.sum())
+        token = np.append(self.bytes[np.frombuffer(b"".join(pieces), np.uint8)], -1)
+        owner = np.append(np.repeat(np.arange(len(pieces)), sizes), -1)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        firsts = np.cumsum(sizes) - sizes
+        after[firsts + sizes - 1], before[firsts], after[n], before[n] = n, n, n, n
+        pair = np.append(self._rank(token[:n], token[after[:n]]), -1)
+        queue, buckets = self.queue, self.queue.buckets
+
+        def push(ranks, places) -> None:
+            for rank, place in zip(ranks.tolist(), places.tolist()):
+                if rank >= 0:
+                    bucket = buckets.get(rank)
+                    if bucket is None:
+                        queue.open(rank)[:] = [place]
+                    else:
+                        bucket.append(place)
+
+        push(pair[:n], np.arange(n))
+        while queue.top:
+            rank = queue.first()
+            places = np.array(queue.close(rank))
+            places = places[pair[places] == rank]  # the others are stale
+            if len(places) > 1:
+                places = np.unique(places)
+                leftmost = np.append(True, owner[places[1:]] != owner[places[:-1]])
+                if not leftmost.all():
+                    queue.open(rank)[:] = places[~leftmost].tolist()
+                    places = places[leftmost]
+            if not len(places):
+                continue
+            gone = after[places]
+            right, left = after[gone], before[places]
+            token[places], token[gone], pair[gone] = rank, -1, -1
+            after[places], before[right] = right, places
+            pair[places] = self._rank(token[places], token[right])
+            has_left = left != n
+            left = left[has_left]
+            pair[left] = self._rank(token[left], token[places[has_left]])
+            push(pair[places], places)
+            push(pair[left], left)
+        alive = token[:n] >= 0
+        data, counts = token[:n][alive].astype("<u4").tobytes(), np.bincount(owner[:n][alive], minlength=len(pieces))
+        ends = (4 * np.cumsum(counts)).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.pieces) + len(pieces) > self.remembered:
+            self.pieces.clear()
+        short = []
+        for piece in pieces:
+            raw = piece.encode()
+            if raw in self.ranks or len(raw) > SHORT:
+                self.pieces[piece] = b"".join(i.to_bytes(4, "little") for i in self.merge(raw))
+            else:
+                short.append((piece, raw))
+        if short:
+            self.pieces.update(zip((p for p, _ in short), self.merge_many([r for _, r in short])))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as unsigned 32-bit integers, little end first."""
+        cut = [self.find(t) if any(c in t for c in _BLANKS) else _CHUNK.findall(t) for t in texts]
+        if len(self.chunks) > REMEMBERED_CHUNKS:
+            self.chunks.clear()
+        distinct = set().union(*cut)
+        # Taken first: what is known stays known if the memory is emptied in between.
+        known = {c: self.pieces.get(c) or self.chunks.get(c) for c in distinct}
+        parts = {chunk: self.find(chunk) for chunk, ids in known.items() if ids is None}
+        wanted = {p for pieces in parts.values() for p in pieces}
+        self._learn(wanted.difference(self.pieces))
+        for chunk, pieces in parts.items():
+            known[chunk] = b"".join(self._piece(p) for p in pieces)
+            if len(pieces) > 1:
+                self.chunks[chunk] = known[chunk]
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+
+    def _piece(self, piece: str) -> bytes:
+        if piece not in self.pieces:
+            self._learn({piece})
+        return self.pieces[piece]
 
     def encode(self, text: str) -> bytes:
-        """The ids as unsigned 32-bit integers, little end first."""
-        chunks = self.find(text) if _OTHER_BLANK.search(text) else _CHUNK.findall(text)
-        return b"".join(map(self.memo.__getitem__, chunks))
+        return self.encode_all([text])[0]
+
+
+def _batches(texts: list[str], most: int):
+    """Texts in runs of about ``most`` characters."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t)
+        size += len(t)
+        if size >= most:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 def encoded(spark: SparkSession, text: Column, path: str, pattern: str) -> Column:
@@ -142,7 +267,8 @@ def encoded(spark: SparkSession, text: Column, path: str, pattern: str) -> Colum
         import pyarrow as pa
 
         encoder = once_per_worker("bpe", key, lambda: ByteEncoder(*shared.value))
-        return pa.array([encoder.encode(t.as_py() or "") for t in texts], pa.binary())
+        runs = _batches([t or "" for t in texts.to_pylist()], TOGETHER)
+        return pa.array([ids for run in runs for ids in encoder.encode_all(run)], pa.binary())
 
     return encode(text)
 
