@@ -94,14 +94,13 @@ def mine_rules(
     # Written, so that Spark knows the size of the rule index and broadcasts it if it is small.
     rarest = materialise(rarest, "url-candidates")
     distinct = rows.groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
-    size = rows.agg(F.count("*").alias("all"))
+    whole = rows.agg(F.count("*")).scalar()
     counted = (
         _fitting(distinct, rarest)
         .groupBy("rule", "anchor")
         .agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
-        .crossJoin(F.broadcast(size))  # one row
-        .where((F.col("n_bad") >= min_support * F.col("all")) & (F.col("n_bad") >= min_confidence * F.col("n")))
-        .select("rule", "anchor", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / F.col("all")).alias("support"))
+        .where((F.col("n_bad") >= whole * F.lit(min_support)) & (F.col("n_bad") >= min_confidence * F.col("n")))
+        .select("rule", "anchor", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / whole).alias("support"))
     )
     return materialise(_shortest(materialise(counted, "url-counted")), "url-rules")
 
