@@ -27,9 +27,9 @@ from pyspark.sql import Column, SparkSession, functions as F
 from weftline.llm.workers import fingerprint, once_per_worker
 
 #: Pre-tokens, and chunks of several, whose ids a worker keeps.
-REMEMBERED, REMEMBERED_CHUNKS = 1_200_000, 300_000
+REMEMBERED, REMEMBERED_CHUNKS = 700_000, 150_000
 #: Bytes up to which pre-tokens share a queue, and characters of text that are encoded together.
-SHORT, TOGETHER = 48, 8_000_000
+SHORT, TOGETHER = 48, 4_000_000
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 
