@@ -186,3 +186,9 @@ def test_word_memory_stays_bounded(words_of):
     coder = K.WordIds(open(P.path("word_bpe_49k.json"), encoding="utf-8").read(), remembered=40)
     for text in [*MORE, LONG[:3000]]:
         assert as_ids(coder.ids(text)) == words_of(text)[:-1]
+
+
+def test_stops_after_letters_that_end_in_a_mark(words_of):
+    coder = K.WordIds(open(P.path("word_bpe_49k.json"), encoding="utf-8").read())
+    for text in ["İKİ.", "ANADİLİ, BELEDİYESİ! İyi. iki.", "क़. יִ? xড়!", "Zoë. é, ΑΣ."]:
+        assert as_ids(coder.ids(text)) == words_of(text)[:-1], text

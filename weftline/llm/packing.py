@@ -85,7 +85,7 @@ class WordIds:
         parts = {}
         for word in found:
             core = word.rstrip(_STOPS)
-            if len(core) < len(word) and core and core.decode()[-1].isalpha():
+            if len(core) < len(word) and core and _ends_in_letter(core.decode()):
                 parts[word] = (core, word[len(core) :])
         wanted = {p for pair in parts.values() for p in pair}.union(found.difference(parts)).difference(self.memo)
         plain = {w for w in wanted if w.decode().isalpha()}
@@ -117,6 +117,13 @@ class WordIds:
         return b"".join(map(self.memo.__getitem__, found))
 
 
+def _ends_in_letter(word: str) -> bool:
+    """Whether a letter is last after normalisation too: U+0130 lower-cases to a letter and a mark, NFC cuts some letters so."""
+    import unicodedata
+
+    return word[-1].isalpha() and unicodedata.normalize("NFC", word[-1]).lower()[-1].isalpha()
+
+
 def _u4(ids) -> bytes:
     import numpy as np
 
