@@ -9,8 +9,9 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline as pipeline
 from tests.llm.cases import LONG, TEXTS, documents
-from weftline.llm import byte_bpe as B, packing as K, token_counts as T
+from weftline.llm import byte_bpe as B, packing as K, queries as Q, token_counts as T
 from weftline.sources.tables import load
 
 MORE = [
@@ -192,3 +193,22 @@ def test_stops_after_letters_that_end_in_a_mark(words_of):
     coder = K.WordIds(open(P.path("word_bpe_49k.json"), encoding="utf-8").read())
     for text in ["İKİ.", "ANADİLİ, BELEDİYESİ! İyi. iki.", "क़. יִ? xড়!", "Zoë. é, ΑΣ."]:
         assert as_ids(coder.ids(text)) == words_of(text)[:-1], text
+
+
+ADDED = [
+    "<|endoftext|> <|startoftext|>", "a<|endoftext|>B. c <|ENDOFTEXT|>, <|EndOfText|>", "x <|endoftext|>. É<|startoftext|>İ! <|endoftext",
+    "J̌<|endoftext|>́ É <|endoftext|><|endoftext|>\n<| endoftext|> don't<|startoftext|>'S", "plain TEXT. without",
+]
+
+
+def test_added_tokens_equal_the_untouched_library(spark, sf_dir, monkeypatch):
+    untouched = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    words_of = lambda text: untouched.encode(text or "", add_special_tokens=False).ids + [2]
+    coder = K.WordIds(open(P.path("word_bpe_49k.json"), encoding="utf-8").read(), added_tokens=True)
+    texts = [*TEXTS, *MORE, *ADDED]
+    for text in filter(None, texts):
+        assert as_ids(coder.ids(text)) == words_of(text)[:-1], text
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(Q, "load", lambda *_: docs)
+    check_packed(Q.op10_packing(spark, sf_dir).collect(), dict(enumerate(texts)), words_of)
+    check_packed(pipeline.packed(spark, docs, sf_dir).collect(), dict(enumerate(texts)), words_of)

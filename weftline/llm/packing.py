@@ -40,17 +40,20 @@ class WordIds:
     """Ids of whole texts by a tokenizer that drops white space, word by word with a bounded memory.
 
     Only for tokenizers whose pre-tokens never cross white space and whose normaliser lower-cases by character. A-Z are
-    lower-cased before the look-up where that cannot change the result.
+    lower-cased before the look-up where that cannot change the result. With ``added_tokens``, as by the library's default,
+    a text that holds the string of an added token gets its id there; such strings must hold no blank.
     """
 
-    def __init__(self, tokenizer: str, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer: str, remembered: int = REMEMBERED, added_tokens: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values() if added_tokens else ()
+        self.added = [t.content.encode().lower() for t in added]
         self.memo: dict[bytes, bytes] = {}
         self.remembered = remembered
         self.ends = self._ends()
@@ -83,12 +86,13 @@ class WordIds:
     def _learn(self, found: set[bytes]) -> None:
         """Words not met before. A word that ends in stops is put together from its parts."""
         parts = {}
-        for word in found:
+        held = {w for w in found if self._holds_added(w)}
+        for word in found - held:
             core = word.rstrip(_STOPS)
             if len(core) < len(word) and core and _ends_in_letter(core.decode()):
                 parts[word] = (core, word[len(core) :])
         wanted = {p for pair in parts.values() for p in pair}.union(found.difference(parts)).difference(self.memo)
-        plain = {w for w in wanted if w.decode().isalpha()}
+        plain = {w for w in wanted - held if w.decode().isalpha()}
         for some, letters in ((list(plain), True), (list(wanted - plain), False)):
             for at in range(0, len(some), 2048):
                 part = some[at : at + 2048]
@@ -103,7 +107,17 @@ class WordIds:
         if not text.isascii():
             same = unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low.decode())
             low = low if same else raw
-        return low.split()
+        if not self._holds_added(raw):
+            return low.split()
+        # Added tokens are found before the normaliser, in their own case.
+        return [r if self._holds_added(r) else w for r, w in zip(raw.split(), low.split())]
+
+    def _holds_added(self, raw: bytes) -> bool:
+        """Whether an added token may be in it, in any case."""
+        if not self.added:
+            return False
+        low = raw.lower()
+        return any(a in low for a in self.added)
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned 32-bit integers, little end first."""
@@ -214,14 +228,17 @@ class Packer:
 def pack(
     docs: DataFrame, tokenizer_path: str, closing_id: int = 2, windows=WINDOWS, with_ids: bool = True,
     doc_id: str = "doc_id", text: str = "text", pool_tokens: int = POOL_TOKENS, group_tokens: int = GROUP_TOKENS,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece, columns as in ``PIECES`` (``ids`` only if asked for).
 
+    ``added_tokens``: strings of added tokens in a text give their ids, as by the library's default, else ordinary ids.
+
     Sequence and group numbers hold the task's number in their upper bits: a task that runs again gives the same ones.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = f.read()
-    shared, key = docs.sparkSession.sparkContext.broadcast(tokenizer), fingerprint(tokenizer)
+    shared, key = docs.sparkSession.sparkContext.broadcast(tokenizer), fingerprint(tokenizer, added_tokens)
     fields = PIECES if with_ids else PIECES.rpartition(",")[0]
     end = closing_id.to_bytes(4, "little")
 
@@ -229,7 +246,7 @@ def pack(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        coder = once_per_worker("words", key, lambda: WordIds(shared.value))
+        coder = once_per_worker("words", key, lambda: WordIds(shared.value, added_tokens=added_tokens))
         packer = Packer(windows, pool_tokens, group_tokens)
         base = TaskContext.get().partitionId() << 40
         state = {"sequence": 0, "group": 0}

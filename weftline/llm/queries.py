@@ -140,7 +140,8 @@ def op9_byte_bpe(spark, sf_dir) -> DataFrame:
 
 
 def op10_packing(spark, sf_dir) -> DataFrame:
-    return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    docs = load(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False, added_tokens=True)
 
 
 QUERIES = {
