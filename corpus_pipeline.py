@@ -43,9 +43,9 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document in a sequence."""
+    """One row per piece of a document in a sequence, with its token ids."""
     ship_package(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False, added_tokens=True)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 STAGES = [

@@ -212,3 +212,16 @@ def test_added_tokens_equal_the_untouched_library(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(Q, "load", lambda *_: docs)
     check_packed(Q.op10_packing(spark, sf_dir).collect(), dict(enumerate(texts)), words_of)
     check_packed(pipeline.packed(spark, docs, sf_dir).collect(), dict(enumerate(texts)), words_of)
+
+
+def test_queries_take_the_ids(spark, sf_dir, monkeypatch, words_of):
+    asked, plain = [], K.pack
+    monkeypatch.setattr(K, "pack", lambda *a, **k: asked.append(plain(*a, **k)) or asked[-1])
+    docs = load(spark, sf_dir, "documents")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    check_packed(Q.op10_packing(spark, sf_dir).collect(), texts, words_of)
+    rows = pipeline.packed(spark, docs, sf_dir).collect()
+    check_packed(rows, texts, words_of)
+    for r in rows:
+        assert as_ids(r["ids"]) == words_of(texts[r["doc_id"]])[r["start"] : r["start"] + r["length"]]
+    assert len(asked) == 2 and all("ids" in d.columns for d in asked)

@@ -141,7 +141,9 @@ def op9_byte_bpe(spark, sf_dir) -> DataFrame:
 
 def op10_packing(spark, sf_dir) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False, added_tokens=True)
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
+    digest = {"length": F.expr("octet_length(ids) div 4").cast("long"), "ids_crc32": F.crc32("ids")}
+    return pieces.withColumns(digest).drop("ids")
 
 
 QUERIES = {
