@@ -51,6 +51,23 @@ def test_rules_equal_an_exhaustive_count(spark):
     assert ("host:spam",) in got
 
 
+def test_rules_of_more_than_three_tokens(spark):
+    """Bad only where host label, two path segments and query key meet; each subset of three is bad less often."""
+    rows = []
+    for i in range(480):
+        parts = [i >> k & 1 for k in range(4)] if i % 2 else [1, 1, 1, 1]
+        a, b, c, d = (x if p else x + "z" for p, x in zip(parts, "abcd"))
+        rows.append((f"http://{a}.org/{b}/{c}?{d}={i}", all(parts) and i % 5 > 0))
+    for k in range(4):
+        a, b, c, d = (x if j != k else x + "z" for j, x in enumerate("abcd"))
+        rows += [(f"http://{a}.org/{b}/{c}?{d}={i}", False) for i in range(200)]
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    known = frame.select(U.tokens_of(F.col("url")).alias("t"), "bad").collect()
+    got = {tuple(r["rule"]): (r["confidence"], r["support"]) for r in U.mine_rules(frame).collect()}
+    assert got == brute_rules(known, 0.002, 0.6, most=8)
+    assert ("host:a", "path:b", "path:c", "query:d") in got
+
+
 def test_mined_rules_block_and_fixed_rules_win(spark):
     pages = spark.createDataFrame(
         [(1, "http://spam.example.org/page/1"), (2, "http://h1.example.org/page/1"), (3, "http://spam.example.com/page/1"), (1, "http://spam.example.org/page/1")],

@@ -64,7 +64,7 @@ def tokens_of(url: Column) -> Column:
 
 
 def mine_rules(
-    labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, fit_rows: int = 100_000, most_tokens: int = 3
+    labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, fit_rows: int = 100_000
 ) -> DataFrame:
     """Rules (rule_id, tokens, anchor, confidence, support) from rows of (url, bad).
 
@@ -80,7 +80,7 @@ def mine_rules(
     # Half the support, so that a rule just above the threshold is not missed for having been fitted on fewer rows.
     model = FPGrowth(itemsCol="items", minSupport=min_support / 2, minConfidence=min_confidence / 2).fit(baskets)
     candidates = (
-        model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= most_tokens))
+        model.associationRules.where(F.element_at("consequent", 1) == BAD)
         .select(F.array_sort("antecedent").alias("rule"))
         .distinct()
     )
