@@ -68,6 +68,14 @@ def test_rules_of_more_than_three_tokens(spark):
     assert ("host:a", "path:b", "path:c", "query:d") in got
 
 
+def test_rules_whose_rows_come_late(spark):
+    """A bad host whose rows all come after the first 100,000 labelled rows."""
+    early = spark.range(0, 101_000, 1, 1).select(F.format_string("http://h%d.org/p", F.col("id") % 3).alias("url"), F.lit(False).alias("bad"))
+    late = spark.range(0, 1000, 1, 1).select(F.lit("http://spam.org/p").alias("url"), F.lit(True).alias("bad"))
+    got = U.mine_rules(early.union(late)).collect()
+    assert [(tuple(r["rule"]), r["confidence"], r["support"]) for r in got] == [(("host:spam",), 1.0, 1000 / 102_000)]
+
+
 def test_mined_rules_block_and_fixed_rules_win(spark):
     pages = spark.createDataFrame(
         [(1, "http://spam.example.org/page/1"), (2, "http://h1.example.org/page/1"), (3, "http://spam.example.com/page/1"), (1, "http://spam.example.org/page/1")],

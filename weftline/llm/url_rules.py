@@ -1,9 +1,8 @@
 """URL filter from association rules.
 
 URLs are cut into tokens (scheme, host suffixes, path segments, query keys; digits folded). FP-growth mines token
-combinations that go together with the label ``bad`` on a bounded number of labelled rows. Support and confidence of each
-candidate are then counted again over all labelled rows, and only rules above both thresholds remain; a rule that
-contains a shorter rule goes. Matching is an inverted index: every rule is filed under its rarest token, URLs look
+combinations on all labelled rows, with the label ``bad`` as one more token; its counts give support and confidence of each
+combination, and only rules above both thresholds remain; a rule that contains a shorter rule goes. Matching is an inverted index: every rule is filed under its rarest token, URLs look
 up their tokens, and only the rules found that way are compared in full.
 
 Cases: a null URL, or one without ``://``, has an empty host and path and no tokens; no rule fits it. A label that is null
@@ -63,12 +62,10 @@ def tokens_of(url: Column) -> Column:
     return F.when(host_of(u) != "", F.array_distinct(F.concat(scheme, hosts, segments, keys)))
 
 
-def mine_rules(
-    labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, fit_rows: int = 100_000
-) -> DataFrame:
-    """Rules (rule_id, tokens, anchor, confidence, support) from rows of (url, bad).
+def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6) -> DataFrame:
+    """Rules (rule, anchor, confidence, support) from rows of (url, bad).
 
-    ``fit_rows`` bounds the rows that FP-growth reads. Support is the share of all labelled rows that have the tokens and
+    Support is the share of all labelled rows that have the tokens and
     are bad; confidence is the share of bad rows among those that have the tokens.
     """
     rows = labelled.select(tokens_of(F.col("url")).alias("tokens"), F.col("bad").cast("boolean").alias("bad")).where(
@@ -76,33 +73,31 @@ def mine_rules(
     )
     baskets = rows.select(
         F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")
-    ).limit(fit_rows)
-    # Half the support, so that a rule just above the threshold is not missed for having been fitted on fewer rows.
-    model = FPGrowth(itemsCol="items", minSupport=min_support / 2, minConfidence=min_confidence / 2).fit(baskets)
-    candidates = (
-        model.associationRules.where(F.element_at("consequent", 1) == BAD)
-        .select(F.array_sort("antecedent").alias("rule"))
-        .distinct()
     )
-    frequency = rows.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # A little less, so that rounding does not lose a rule at the threshold itself.
+    model = FPGrowth(itemsCol="items", minSupport=min_support * (1 - 1e-9)).fit(baskets)
+    mined = materialise(model.freqItemsets, "url-itemsets")
+    bad = mined.where(F.array_contains("items", BAD)).select(
+        F.array_sort(F.array_remove("items", BAD)).alias("rule"), F.col("freq").alias("n_bad")
+    )
+    counts = mined.select(F.array_sort("items").alias("rule"), F.col("freq").alias("n"))
+    whole = rows.agg(F.count("*")).scalar()
+    counted = (
+        bad.join(counts, "rule")
+        .where((F.col("n_bad") >= whole * F.lit(min_support)) & (F.col("n_bad") >= min_confidence * F.col("n")))
+        .select("rule", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / whole).alias("support"))
+    )
+    shortest = _shortest(materialise(counted, "url-counted"))
+    # Each token of a rule is an item set of its own.
+    frequency = counts.where(F.size("rule") == 1).select(F.element_at("rule", 1).alias("token"), "n")
     rarest = (
-        candidates.select("rule", F.explode("rule").alias("token"))
+        shortest.select("rule", F.explode("rule").alias("token"))
         .join(frequency, "token")
         .groupBy("rule")
         .agg(F.min_by("token", F.struct("n", "token")).alias("anchor"))
     )
     # Written, so that Spark knows the size of the rule index and broadcasts it if it is small.
-    rarest = materialise(rarest, "url-candidates")
-    distinct = rows.groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
-    whole = rows.agg(F.count("*")).scalar()
-    counted = (
-        _fitting(distinct, rarest)
-        .groupBy("rule", "anchor")
-        .agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
-        .where((F.col("n_bad") >= whole * F.lit(min_support)) & (F.col("n_bad") >= min_confidence * F.col("n")))
-        .select("rule", "anchor", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / whole).alias("support"))
-    )
-    return materialise(_shortest(materialise(counted, "url-counted")), "url-rules")
+    return materialise(shortest.join(rarest, "rule").select("rule", "anchor", "confidence", "support"), "url-rules")
 
 
 def _fitting(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -113,7 +108,7 @@ def _fitting(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def _shortest(rules: DataFrame) -> DataFrame:
     """Rules that contain no shorter rule: a shorter one blocks the same URLs already."""
-    inner = rules.select(F.col("rule").alias("within"), "anchor")
+    inner = rules.select(F.col("rule").alias("within"), F.element_at("rule", 1).alias("anchor"))
     longer = (
         rules.select("rule", F.explode("rule").alias("anchor"))
         .join(inner, "anchor")
