@@ -17,7 +17,7 @@ from weftline.sources.tables import load
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
-    rules = quality_cascade.order_rules(docs, [*quality_cascade.BASE_RULES, *quality_cascade.RULES])
+    rules = quality_cascade.order_rules(docs, [*quality_cascade.BASE_RULES, *quality_cascade.SCRIPT_RULES])
     text = F.col("text")
     return docs.where(let(words(text), lambda w: quality_cascade.verdict(rules, text, w)))
 

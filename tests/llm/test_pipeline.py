@@ -43,6 +43,14 @@ def test_stages_on_the_documents(spark, sf_dir):
     assert whole == padded
 
 
+def test_quality_keeps_scripts_with_vowel_signs(spark, sf_dir):
+    signs = ["\u0d3e", "\u0d3f", "\u0d41", "\u0d46"]
+    malayalam = " ".join("".join(chr(0x0D15 + (i * k) % 30) + signs[(i + k) % 4] for k in range(1, 5)) for i in range(1, 70))
+    digits = " ".join(f"word{i:08d}" for i in range(70))
+    docs = spark.createDataFrame([(1, malayalam), (2, digits)], "doc_id long, text string")
+    assert [r["doc_id"] for r in pipeline.quality(spark, docs, sf_dir).collect()] == [1]
+
+
 def test_stages_take_odd_rows(spark, sf_dir):
     docs = documents(spark)
     for _, stage in pipeline.STAGES:

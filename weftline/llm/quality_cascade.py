@@ -91,17 +91,24 @@ def _times(share: float, count: Column, whole: Column) -> Column:
     return count * 100 > whole * round(share * 100)
 
 
+def letters(kept: str) -> Rule:
+    """Texts with over 40 % of characters that are neither white space nor in the classes ``kept``."""
+    return Rule("letters", lambda t, w: _times(0.4, F.regexp_count(t, F.lit(rf"[^{kept}\s]")), F.length(t)))
+
+
 #: The rules that stand for the method's own verdict.
 RULES: Sequence[Rule] = (
     Rule("symbols", lambda t, w: _times(0.3, count_symbols(t), F.size(w))),
     Rule("shouting", lambda t, w: _times(0.3, F.regexp_count(t, F.lit("!!+")), F.size(w))),
-    Rule("letters", lambda t, w: _times(0.4, F.regexp_count(t, F.lit(r"[^\p{L}\s]")), F.length(t))),
+    letters(r"\p{L}"),
     Rule("duplicate_lines", lambda t, w: _times(0.5, duplicate_lines(t), F.size(lines_with_words(t)))),
     Rule("word_length", lambda t, w: ~F.length(F.array_join(w, "")).between(F.size(w) * 2, F.size(w) * 15)),
     Rule("few_distinct_words", lambda t, w: _times(0.8, F.size(w) - F.size(F.array_distinct(w)), F.size(w)) & (F.size(w) < 400)),
     Rule("ellipsis_lines", lambda t, w: _times(0.5, F.regexp_count(t, F.lit(r"(?m)(\.\.\.|…)$")), F.size(lines_with_words(t)))),
     Rule("bullet_lines", lambda t, w: _times(0.9, F.regexp_count(t, F.lit(r"(?m)^[\x20\t]*[-•*]\x20")), F.size(lines_with_words(t)))),
 )
+#: The same for all scripts: vowels written as combining marks count as letters. The SQL of op4 states the rule without marks.
+SCRIPT_RULES: Sequence[Rule] = tuple(letters(r"\p{L}\p{M}") if r.name == "letters" else r for r in RULES)
 #: The base rules as members of a cascade, for callers that need the verdict and no counts.
 BASE_RULES: Sequence[Rule] = (
     Rule("few_words", lambda t, w: F.size(w) < 50),
