@@ -138,6 +138,22 @@ def test_batch_and_stream_share_code(spark, sf_dir):
     assert rows(clean(load(spark, sf_dir, "events"))) == rows(entry.queries()["st_filter_project"](spark, sf_dir))
 
 
+def test_landing_cuts_rows_without_time_and_full_minutes(spark):
+    path = scratch(spark, "landing-full")
+    second = F.when(F.col("id") < 350, None).when(F.col("id") < 700, F.col("id") % 60).otherwise(F.col("id") * 60)
+    S.land_in_order(spark.range(1000).select("id", F.timestamp_seconds(second).alias("at")), "at", path, rows_per_file=100)
+    files = spark.read.parquet(path).select("at", "id", "_metadata.file_modification_time", "_metadata.file_path")
+    spans = files.groupBy("file_path", "file_modification_time").agg(
+        F.min(F.date_trunc("minute", "at")).alias("lo"), F.max(F.date_trunc("minute", "at")).alias("hi"), F.count("*").alias("n")
+    )
+    ordered = spans.orderBy("file_modification_time").collect()
+    assert max(r["n"] for r in ordered) <= 100 and files.select("id").distinct().count() == files.count() == 1000
+    nulls = [r["lo"] is None for r in ordered]
+    assert sum(nulls) >= 4 and nulls == sorted(nulls, reverse=True)
+    timed = [r for r in ordered if r["lo"] is not None]
+    assert all(earlier["hi"] <= later["lo"] for earlier, later in zip(timed, timed[1:]))
+
+
 def test_landing_is_in_time_order(spark):
     path = scratch(spark, "landing")
     at = F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.col("id") * 60 * 7 % 60_000)).alias("at")

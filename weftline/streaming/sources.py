@@ -61,21 +61,25 @@ def zoneless(df: DataFrame) -> DataFrame:
 
 
 def land_in_order(df: DataFrame, ts: str, path: str, at_least: int = 4, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Write ``df`` as files whose age rises with event time, each of about ``rows_per_file`` rows or less.
+    """Write ``df`` as files whose age rises with event time, each of ``rows_per_file`` rows or less.
 
     A stream that takes one file at a time then gets micro-batches in time order whose size does not follow the table. Cuts are
-    at full minutes, found from the rows per minute. Rows without a time are in the first file.
+    at full minutes, found from the rows per minute. Rows without a time come first. They, or one minute, may be more than a
+    file holds; they are then dealt to several files, whose order within the minute is open.
     """
     minute = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 60)
     counted = df.groupBy(minute.alias("minute")).agg(F.count("*").alias("n")).orderBy(F.asc_nulls_first("minute"))
     total = df.count()
     wanted, edges, held = math.ceil(total / max(at_least, math.ceil(total / rows_per_file))), [], 0
+    sizes = []
     for row in counted.toLocalIterator():  # one row per minute of the calendar
         if held and held + row["n"] > wanted and row["minute"] is not None:
             edges.append(row["minute"])
+            sizes.append(held)
             held = 0
         held += row["n"]
-    for lo, hi in zip([None, *edges], [*edges, None]):
+    for lo, hi, size in zip([None, *edges], [*edges, None], [*sizes, held]):
         rows = df if lo is None else df.where(minute >= lo)
         rows = rows if hi is None else rows.where(F.coalesce(minute < hi, F.lit(True)) if lo is None else minute < hi)
-        rows.repartition(1).write.mode("append").parquet(path)
+        files = max(1, math.ceil(size / rows_per_file))
+        rows.repartition(files).write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
