@@ -10,7 +10,7 @@ import corpus_pipeline as pipeline
 from tests.llm.cases import documents
 from tests.llm.test_minhash import brute
 from tests.llm.test_pii import brute as brute_spans
-from tests.llm.test_quality import plain
+from tests.llm.test_quality_rules import plain
 from tests.llm.test_tokens import check_packed
 from weftline.llm import minhash_tensor
 from weftline.sources.tables import load
