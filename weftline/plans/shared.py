@@ -12,9 +12,10 @@ _written: dict[tuple[str, str, str], str] = {}
 
 
 def once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
+    """The path that ``write`` filled on the first call. It outlives a scratch scope, since later calls hand it out again."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _written:
-        path = scratch(spark, label)
+        path = scratch(spark, label, keep=True)
         write(path)
         _written[key] = path
     return _written[key]

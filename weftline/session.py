@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,15 +78,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder; nothing else ever writes to it."""
+def scratch(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new path under the shared folder; nothing else ever writes to it. ``keep`` takes it out of any scratch scope."""
     path = f"{scratch_root(spark)}/weftline/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None and not keep:
+        scope.append(path)
     return path
 
 
-_scopes: list[list[str]] = []
+# Per thread: what a stream's callback writes is not part of a scope that another thread has open.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 @contextmanager
@@ -95,12 +98,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     Results that read those files have to be written or collected inside it. Tables in the scratch database go with
     ``drop_scratch_database``.
     """
-    _scopes.append([])
+    written: list[str] = []
+    outer = _scope.set(written)
     try:
         yield
     finally:
+        _scope.reset(outer)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for path in _scopes.pop():
+        for path in written:
             place = hadoop(path)
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
@@ -117,7 +122,7 @@ def scratch_database(spark: SparkSession) -> str:
     """One database per application, its tables stored under the shared folder."""
     name = _database_name(spark)
     if not spark.catalog.databaseExists(name):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch(spark, 'db')}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch(spark, 'db', keep=True)}'")
     return name
 
 
