@@ -164,3 +164,19 @@ SELECT doc_id, {", ".join(f"coalesce(n_{kind[0]}, 0) AS n_{kind[0]}" for kind in
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (k)
 """
+
+LINES = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT k, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+n AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (
+    SELECT key, max(doc_id) AS keeper FROM n WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (
+    SELECT k, doc_id, line, i, f.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS dropped FROM n LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY k, doc_id
+"""

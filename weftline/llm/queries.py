@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 import public_tokenizers
 
 from weftline.llm import (
-    ann_bits, byte_bpe, chat_format, minhash_tensor, oracles, packing, pii, quality_cascade, token_counts, url_rules, web_archive,
+    ann_bits, byte_bpe, chat_format, line_dedup, minhash_tensor, oracles, packing, pii, quality_cascade, token_counts, url_rules, web_archive,
 )
 from weftline.session import scratch, ship_package
 from weftline.sources import tables
@@ -146,6 +146,11 @@ def op10_packing(spark, sf_dir) -> DataFrame:
     return pieces.withColumns(digest).drop("ids")
 
 
+def op12_line_dedup(spark, sf_dir) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", _hex(F.col("text")).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_ann_bits": op2_ann_bits,
@@ -157,6 +162,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_packing": op10_packing,
+    "op12_line_dedup": op12_line_dedup,
 }
 SQL = {
     "op1_chat_format": oracles.CHAT,
@@ -165,4 +171,5 @@ SQL = {
     "op4_quality_cascade": oracles.QUALITY,
     "op5_warc": oracles.ARCHIVE,
     "op6_pii": oracles.PRIVATE,
+    "op12_line_dedup": oracles.LINES,
 }
