@@ -130,8 +130,8 @@ def scratch_table(spark: SparkSession, label: str) -> str:
     return f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: short lineage, survives lost executors."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
