@@ -8,7 +8,7 @@ import public_tokenizers
 
 from weftline.llm import (
     ann_bits, byte_bpe, chat_format, line_dedup, minhash_tensor, oracles, packing, pii, quality_cascade, spelling,
-    token_counts, url_rules, web_archive,
+    token_align, token_counts, url_rules, web_archive,
 )
 from weftline.session import scratch, ship_package
 from weftline.sources import tables
@@ -147,6 +147,14 @@ def op10_packing(spark, sf_dir) -> DataFrame:
     return pieces.withColumns(digest).drop("ids")
 
 
+def op11_token_align(spark, sf_dir) -> DataFrame:
+    path = public_tokenizers.path
+    files = token_align.Tokenizers.read(path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path("piece_bpe_32k.model"))
+    found = token_align.align(load(spark, sf_dir, "documents"), files)
+    digest = F.when(F.col("n_a") > 0, _hex(F.col("groups"))).otherwise("")
+    return found.select(*(c for c in found.columns if c != "groups"), digest.alias("groups_sha256"))
+
+
 def op12_line_dedup(spark, sf_dir) -> DataFrame:
     found = line_dedup.drop_repeated_lines(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", _hex(F.col("text")).alias("kept_sha256"))
@@ -168,6 +176,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_packing": op10_packing,
+    "op11_token_align": op11_token_align,
     "op12_line_dedup": op12_line_dedup,
     "op13_spelling": op13_spelling,
 }
