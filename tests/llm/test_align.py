@@ -115,13 +115,16 @@ def test_empty_table(spark):
     assert got(spark, []) == [] and got(spark, [(1, None), (2, ""), (3, "▁")]) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2, 3)]
 
 
-def test_segments_do_not_change_ids(monkeypatch):
-    spell = libraries()[2]
+def test_memory_does_not_change_ids(monkeypatch):
+    spell = T.Speller(FILES)
     texts = [*ODD, " ".join(ODD), TEXTS[-1][:30_000], "x  y   z " * 200, " a b  c\n d\t e f" * 50]
     want = [tokens(t) for t in texts]
-    for most in (1, 5, 64, T.SEGMENT):
-        monkeypatch.setattr(T, "SEGMENT", most)
-        assert [(a.tolist(), b.tolist()) for a, b in spell.encode(texts)] == want
+    for limit, short in ((0, 48), (40, 3), (10**6, 0)):
+        spell.known.limit = limit
+        monkeypatch.setattr(T, "SHORT", short)
+        for _ in range(2):
+            assert [(a.tolist(), b.tolist()) for a, b in spell.encode(texts)] == want
+            assert [tuple(map(list, spell.encode([t])[0])) for t in texts] == want
 
 
 def test_ids_of_any_code_point():

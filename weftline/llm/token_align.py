@@ -14,7 +14,8 @@ neighbouring ends of either tokenizer is one link. The corpus-wide count of an i
 combined before the shuffle; a second pass looks the counts up in a broadcast array of the pairs, or in one part of the pairs after the other
 where they are more than ``most_pairs``. The number of pairs is bounded by the two vocabularies.
 
-Tokens are computed once, with texts longer than ``SEGMENT`` characters cut at blanks where neither tokenizer joins tokens.
+Tokens are computed once. Texts are cut at the blanks across which neither tokenizer joins tokens, and a bounded memory of the
+parts saves repeated work.
 
 Cases: texts that are null or empty, or that a tokenizer doesn't spell exactly (B has no byte for U+2581), have no tokens, no groups and zero counts.
 Strings of special tokens are plain text. Repeated rows and rows with a null id are aligned each by itself; each
@@ -25,21 +26,33 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
+from collections import ChainMap
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftline.llm.workers import fingerprint, once_per_worker
+from weftline.llm.workers import Generations, fingerprint, once_per_worker
 from weftline.session import materialise
 
-#: Bytes of a range, neighbouring fragments that one step of the tree composes, and characters that are encoded at once.
-RANGE, FAN, SEGMENT = 1 << 16, 8, 1 << 16
+#: Bytes of a range, neighbouring fragments that one step of the tree composes, and characters that are encoded together.
+RANGE, FAN, SEGMENT = 1 << 16, 8, 1 << 20
+#: Parts of texts whose ids a worker keeps, twice, and their greatest length.
+REMEMBERED, SHORT = 200_000, 48
+#: Unknown parts that are encoded as one text.
+BLOCK = 400
 #: Pairs whose counts are broadcast at once, and pairs that a task holds before it passes their counts on.
 PAIRS, HELD = 4_000_000, 2_000_000
 #: Tokens that are aligned together.
-TOGETHER = 1_000_000
+TOGETHER = 400_000
 # Before a blank between two others: no pre-token of A and no piece of B goes on across it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+
+
+def _awkward(text: str) -> bool:
+    """Whether a text may have a blank that is no such cut."""
+    return text[:1] == " " or text[-1:] == " " or any(x in text for x in ("  ", "\n ", " \n", *_BLANKS))
 
 
 @dataclass(frozen=True)
@@ -92,39 +105,52 @@ class Speller:
         self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
         self.a_sizes[list(self.a_bytes)] = [len(t) for t in self.a_bytes.values()]
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
+        self.known = Generations(REMEMBERED)
 
-    def segments(self, text: str):
-        """Parts of a text that are encoded each by itself; all but the first begin with a blank."""
-        start = 0
-        while not self.whole and len(text) - start > SEGMENT:
-            cut = _CUT.search(text, start + SEGMENT)
-            if cut is None:
-                break
-            yield text[start : cut.start()]
-            start = cut.start()
-        yield text[start:]
+    def _one(self, part: str) -> tuple[bytes, bytes]:
+        """Ids of a part of a text by A and by B, as 32-bit integers; two empty strings where they don't both spell the part."""
+        b = self.b.encode(part)  # puts a blank before by itself
+        exact = b"".join(map(self.b_bytes.__getitem__, b)) == b" " + part.encode()
+        return (array("I", self.encode_a(" " + part)).tobytes(), array("I", b).tobytes()) if exact else (b"", b"")
+
+    def _learn(self, parts: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of each part. Those without blanks at their ends are encoded as blocks of text, which are cut at their ends again."""
+        import numpy as np
+
+        joined = [] if self.whole else [p for p in parts if p and not p[0].isspace() and not p[-1].isspace()]
+        if not joined:
+            return {p: self._one(p) for p in parts}
+        blocks = [" ".join(joined[i : i + BLOCK]) for i in range(0, len(joined), BLOCK)]
+        a = np.concatenate([np.array(self.encode_a(" " + block), np.uint32) for block in blocks])
+        b = np.concatenate([np.array(ids, np.uint32) for ids in self.b.encode(blocks, num_threads=1)])
+        if b"".join(map(self.b_bytes.__getitem__, b.tolist())) != "".join(" " + block for block in blocks).encode():
+            return {p: self._one(p) for p in parts}
+        stops = np.cumsum([len(p.encode()) + 1 for p in joined])
+        cuts = []
+        for ids, sizes in ((a, self.a_sizes), (b, self.b_sizes)):
+            at = (4 * np.searchsorted(np.cumsum(sizes[ids]), stops, "right")).tolist()
+            data = ids.tobytes()
+            cuts.append([data[i:j] for i, j in zip([0, *at], at)])
+        found = dict(zip(joined, zip(*cuts)))
+        found.update((p, self._one(p)) for p in parts if p not in found)
+        return found
 
     def encode(self, texts: list[str]) -> list[tuple]:
         """(ids by A, ids by B) of each text, empty where they don't both spell a space and the text."""
         import numpy as np
 
-        parts, owner = [], []
-        for i, text in enumerate(texts):
-            for k, part in enumerate(self.segments(text) if text else ()):
-                parts.append(part[1:] if k else part)  # B puts a blank before a text by itself
-                owner.append(i)
-        found: list[tuple[list, list]] = [([], []) for _ in texts]
-        exact = [bool(text) for text in texts]
-        for i, part, b in zip(owner, parts, self.b.encode(parts, num_threads=1) if parts else ()):
-            if not exact[i]:
-                continue
-            if b"".join(map(self.b_bytes.__getitem__, b)) != b" " + part.encode():
-                exact[i] = False
-                continue
-            found[i][0].append(np.array(self.encode_a(" " + part), np.int64))
-            found[i][1].append(np.array(b, np.int64))
-        none = np.zeros(0, np.int64)
-        return [tuple(map(np.concatenate, each)) if ok else (none, none) for each, ok in zip(found, exact)]
+        cut = [[t] if self.whole else _CUT.split(t) if _awkward(t) else t.split(" ") for t in texts]
+        self.known.age()
+        found = self._learn(self.known.missing(set().union(*cut)))
+        self.known.update((p, ids) for p, ids in found.items() if len(p) <= SHORT)
+        found = ChainMap(self.known, found) if any(len(p) > SHORT for p in found) else self.known
+        none, out = np.zeros(0, np.uint32), []
+        for text, parts in zip(texts, cut):
+            pairs = list(map(found.__getitem__, parts))
+            a, b = (np.frombuffer(b"".join([p[k] for p in pairs]), np.uint32) for k in (0, 1))
+            # A part that is not spelt exactly is missing here.
+            out.append((a, b) if text and int(self.a_sizes[a].sum()) == len(text.encode()) + 1 else (none, none))
+        return out
 
 
 def _speller(spark: SparkSession, files: Tokenizers):
@@ -206,7 +232,7 @@ def _blob(ids) -> bytes:
 def _ids(blob: bytes):
     import numpy as np
 
-    return np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    return np.frombuffer(blob, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 def tokenise(docs: DataFrame, files: Tokenizers, range_bytes: int = RANGE) -> DataFrame:
@@ -218,11 +244,13 @@ def tokenise(docs: DataFrame, files: Tokenizers, range_bytes: int = RANGE) -> Da
         import pyarrow as pa
 
         spell = speller()
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        names = [c.split()[0] for c in _TOKENS.split(", ")]
         for batch in batches:
-            rows = [[] for _ in range(8)]
             keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for some in _runs_of([t.as_py() or "" for t in batch.column(2)], SEGMENT):
-                for at, (a, b) in zip(some, spell.encode([t for _, t in some.items()])):
+            for some in _runs_of(batch.column(2), SEGMENT):
+                rows = [[] for _ in kinds]
+                for at, (a, b) in zip(some, spell.encode(list(some.values()))):
                     a_ends, b_ends = np.cumsum(spell.a_sizes[a]), np.cumsum(spell.b_sizes[b])
                     ranges = max(1, -(-int(a_ends[-1]) // range_bytes)) if len(a) else 1
                     edges = np.arange(1, ranges) * range_bytes
@@ -233,19 +261,17 @@ def tokenise(docs: DataFrame, files: Tokenizers, range_bytes: int = RANGE) -> Da
                         values = keys[0][at], keys[1][at], place, ranges, start(a_ends, x), start(b_ends, y)
                         for to, v in zip(rows, (*values, _blob(a[x]), _blob(b[y]))):
                             to.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            names = [c.split()[0] for c in _TOKENS.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds)], names=names)
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc", "text")
     return materialise(numbered.mapInArrow(run, _TOKENS), "align-tokens", compression="zstd")
 
 
-def _runs_of(texts: list[str], most: int):
-    """Texts by position, in runs of about ``most`` characters or one longer text."""
+def _runs_of(texts, most: int):
+    """Texts of an Arrow column by position, in runs of about ``most`` characters or one longer text; null is empty."""
     run, size = {}, 0
-    for i, text in enumerate(texts):
-        run[i] = text
+    for i, value in enumerate(texts):
+        run[i] = text = value.as_py() or ""
         size += len(text)
         if size >= most:
             yield run
@@ -340,44 +366,49 @@ class Links:
 
         counts = lambda k: np.array([len(r[k]) for r in runs], np.int64)
         self.n_a, self.n_b = counts(0), counts(1)
-        self.a, self.b = (np.concatenate([r[k] for r in runs]) if runs else np.zeros(0, np.int64) for k in (0, 1))
-        self.a_ends, self.b_ends = np.cumsum(spell.a_sizes[self.a]), np.cumsum(spell.b_sizes[self.b])
-        ends = np.union1d(self.a_ends, self.b_ends)
-        self.at_a, self.at_b = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
-        self.common = np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
-        bounds = np.concatenate([[0], np.cumsum(self.n_a)])
-        last = np.concatenate([[0], self.a_ends])[bounds]  # where each run ends
-        self.links, self.groups = np.searchsorted(ends, last, "right"), np.searchsorted(self.common, last, "right")
+        self.a, self.b = (np.concatenate([r[k] for r in runs]) if runs else np.zeros(0, np.uint32) for k in (0, 1))
+        a_ends, b_ends = np.cumsum(spell.a_sizes[self.a]), np.cumsum(spell.b_sizes[self.b])
+        marks = np.zeros(int(a_ends[-1]) + 1 if len(a_ends) else 1, np.uint8)  # by byte: 1 where A ends, 2 where B ends
+        marks[a_ends] = 1
+        marks[b_ends] += 2
+        ends = np.flatnonzero(marks)
+        marks = marks[ends]
+        self.is_a, self.is_b, self.is_common = (marks & 1).astype(bool), marks >= 2, marks == 3
+        self.upto_a, self.upto_b = np.cumsum(self.is_a, dtype=np.int32), np.cumsum(self.is_b, dtype=np.int32)
+        last = np.concatenate([[0], a_ends])[np.concatenate([[0], np.cumsum(self.n_a)])]  # where each run ends
+        self.links = np.searchsorted(ends, last, "right")
+        self.groups = np.concatenate([[0], np.cumsum(self.is_common, dtype=np.int64)])[self.links]
 
     @property
     def pairs(self):
         import numpy as np
 
-        return self.a[self.at_a].astype(np.uint64) << np.uint64(32) | self.b[self.at_b].astype(np.uint64)
+        a, b = self.a[self.upto_a - self.is_a], self.b[self.upto_b - self.is_b]
+        return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
 
     def texts(self, names) -> list[bytes]:
         """The groups of each run as ``a1,a2|b1;a3|b2``, in decimal, closed by a semicolon."""
         import numpy as np
 
-        commas, bars, semicolons = names
-        group_a, group_b = np.searchsorted(self.common, self.a_ends), np.searchsorted(self.common, self.b_ends)
-        ends = lambda group: np.append(group[1:] != group[:-1], True)[: len(group)]
-        n_groups = len(self.common)
-        per_a, per_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
-        out = np.empty(len(self.a) + len(self.b), commas.dtype)
-        before_b, upto_a = np.cumsum(per_b) - per_b, np.cumsum(per_a)
-        last_a, last_b = ends(group_a), ends(group_b)
-        out[np.arange(len(self.a)) + before_b[group_a]] = np.where(last_a, bars[self.a], commas[self.a])
-        out[np.arange(len(self.b)) + upto_a[group_b]] = np.where(last_b, semicolons[self.b], commas[self.b])
+        in_a, in_b = names
+        size = len(in_a) // 2
+        group = np.cumsum(self.is_common, dtype=np.int32) - self.is_common
+        out = np.empty(len(self.a) + len(self.b), in_a.dtype)
+        # Before a token of A come all tokens of B of earlier groups, before one of B all of A up to its own group.
+        earlier_b = np.concatenate([[0], self.upto_b[self.is_common]])
+        out[np.arange(len(self.a)) + earlier_b[group[self.is_a]]] = in_a[self.a + size * self.is_common[self.is_a]]
+        upto_a = self.upto_a[self.is_common]
+        out[np.arange(len(self.b)) + upto_a[group[self.is_b]]] = in_b[self.b + size * self.is_common[self.is_b]]
         stops = np.cumsum(self.n_a + self.n_b).tolist()
         return [out[i:j].tobytes().translate(None, b"\0") for i, j in zip([0, *stops], stops)]
 
 
 def _names(size: int):
-    """Decimal ids with a comma, a bar or a semicolon after them, in fields of equal width."""
+    """Decimal ids with a comma after them, then with a bar for A and a semicolon for B, in fields of equal width."""
     import numpy as np
 
-    return tuple(np.array([f"{i}{c}" for i in range(size)], f"S{len(str(size)) + 1}") for c in ",|;")
+    field = lambda c: np.array([f"{i}{c}" for i in range(size)], f"S{len(str(size)) + 1}")
+    return tuple(np.concatenate([field(","), field(c)]) for c in "|;")
 
 
 def _batches_of(batch):

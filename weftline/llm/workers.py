@@ -20,6 +20,34 @@ class Memo(dict):
         return value
 
 
+class Generations(dict):
+    """A dictionary of bounded memory that forgets what was not used for longest: two generations of up to ``limit`` entries.
+
+    A full young generation becomes the old one; what is asked for again is taken back from there. Values must not be None.
+    """
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that no generation has. Afterwards all others are in the young one."""
+        unknown = []
+        for key in keys.difference(self):
+            value = self.old.get(key)
+            if value is None:
+                unknown.append(key)
+            else:
+                self[key] = value
+        return unknown
+
+    def age(self) -> None:
+        """To be called between two uses: what is young now stays at hand for one more generation."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+
 _built: dict[str, tuple] = {}
 
 
