@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weftline.operators.joins import fits
-from weftline.operators.skew import SALT, hot_counts, hot_rows, in_groups, salts_for, spread_hot
+from weftline.operators.skew import SALT, hot_and_total, hot_rows, in_groups, salts_for, spread_hot
 
 Frames = Iterator[pd.DataFrame]
 GROUP_ROWS = 1_000_000
@@ -62,21 +65,75 @@ def per_group(
 
     With ``merge``, groups above the row limit are cut into pieces; ``fn`` then sees a piece, and ``merge`` turns
     the results of a group's pieces into one. Without it ``fn`` sees every group whole, whatever its size, and the
-    group has to fit in the memory of a Python worker.
+    group has to fit in the memory of a Python worker; ``stream_groups`` has no such limit.
     """
     limit = max_rows or min(GROUP_ROWS, hot_rows(df.sparkSession))
-    hot = hot_counts(df, keys, limit) if merge is not None else {}
-    if not hot:
+    if merge is None:
         return _by_key(df, keys).groupBy(*keys).applyInPandas(fn, schema)
+    hot, total = hot_and_total(df, keys, limit)
+    parts = max(min(df.sparkSession.sparkContext.defaultParallelism, total), math.ceil(total / limit), 1)
+    if not hot:
+        return _by_key(df, keys, parts).groupBy(*keys).applyInPandas(fn, schema)
     # Twice the pieces, because a hash fills them unevenly.
     cut = spread_hot(df, in_groups(keys, list(hot)), spread_by or df.columns, 2 * salts_for(hot, limit))
-    partial = _by_key(cut, [*keys, SALT]).groupBy(*keys, SALT).applyInPandas(lambda pdf: fn(pdf.drop(columns=SALT)), schema)
+    partial = _by_key(cut, [*keys, SALT], parts).groupBy(*keys, SALT).applyInPandas(lambda pdf: fn(pdf.drop(columns=SALT)), schema)
     return partial.groupBy(*keys).applyInPandas(merge, schema)
 
 
-def _by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Shuffle by key; the number of partitions is left to the session and to adaptive execution."""
-    return df.repartition(*keys)
+def stream_groups(df: DataFrame, keys: Sequence[str], fn: Callable[[tuple, Frames], Frames], schema: str, order: Sequence[str] = ()) -> DataFrame:
+    """Apply ``fn`` to the key and the rows of each group as a stream of pandas frames, one Arrow batch at a time.
+
+    A worker holds one batch and what ``fn`` keeps, so a group may be larger than its memory and needs no ``merge``. With ``order``
+    the rows come sorted by those columns (ascending, nulls first); Spark's sort spills to disk. A group is one task.
+    """
+    by = list(keys)
+    dealt = _by_key(df, by)
+    if not order:
+
+        def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield from fn(key, batches)
+
+        return dealt.groupBy(*by).applyInPandas(run, schema)
+    return dealt.sortWithinPartitions(*by, *order).mapInPandas(_split_by(by, fn), schema)
+
+
+def _split_by(by: list[str], fn: Callable[[tuple, Frames], Frames]) -> Callable[[Frames], Frames]:
+    """Cut a stream of frames sorted by key into one stream per group."""
+
+    def run(batches: Frames) -> Frames:
+        ahead: list[tuple[tuple, pd.DataFrame]] = []
+
+        def parts() -> Iterator[tuple[tuple, pd.DataFrame]]:
+            for pdf in batches:
+                if len(pdf):
+                    known = pdf[by].apply(lambda c: c.astype(object).where(c.notna(), None))
+                    starts = (known != known.shift()).any(axis=1) & ~(known.isna() & known.shift().isna()).all(axis=1)
+                    starts.iloc[0] = True
+                    at = [*starts.to_numpy().nonzero()[0].tolist(), len(pdf)]
+                    for i, j in zip(at, at[1:]):
+                        yield tuple(known.iloc[i]), pdf.iloc[i:j].reset_index(drop=True)
+
+        pieces = parts()
+
+        def group(key: tuple) -> Frames:
+            while ahead and ahead[0][0] == key:
+                yield ahead.pop()[1]
+                ahead.extend(islice(pieces, 1))
+
+        ahead.extend(islice(pieces, 1))
+        while ahead:
+            key = ahead[0][0]
+            rest = group(key)
+            yield from fn(key, rest)
+            for _ in rest:  # what the function did not read
+                pass
+
+    return run
+
+
+def _by_key(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Shuffle by key. Python work is not measured in bytes, so the number of partitions is stated and not lowered at run time."""
+    return df.repartition(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def combine_by_key(

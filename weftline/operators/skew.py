@@ -36,6 +36,14 @@ def hot_counts(df: DataFrame, keys: Sequence[str], max_rows: int | None = None)
     return {row["h"]: row["n"] for row in sorted(hot, key=lambda row: -row["n"])}
 
 
+def hot_and_total(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> tuple[dict[int, int], int]:
+    """``hot_counts`` and the number of all rows, from the same count per key."""
+    limit = hot_rows(df.sparkSession, max_rows)
+    counted = df.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n"))
+    hot, total = counted.agg(F.collect_list(F.when(F.col("n") > limit, F.struct("h", "n"))), F.sum("n")).first()
+    return {row["h"]: row["n"] for row in sorted(hot, key=lambda row: -row["n"])}, total or 0
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> list[int]:
     return list(hot_counts(df, keys, max_rows))
 
