@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
+from weftline.session import scratch
+
 ROWS_PER_FILE = 2_000_000
 
 
@@ -66,20 +68,32 @@ def land_in_order(df: DataFrame, ts: str, path: str, at_least: int = 4, rows_per
     A stream that takes one file at a time then gets micro-batches in time order whose size does not follow the table. Cuts are
     at full minutes, found from the rows per minute. Rows without a time come first. They, or one minute, may be more than a
     file holds; they are then dealt to several files, whose order within the minute is open.
+
+    The table is read twice, however many files there are: once for the counts, once to deal the rows to bins.
     """
     minute = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 60)
     counted = df.groupBy(minute.alias("minute")).agg(F.count("*").alias("n")).orderBy(F.asc_nulls_first("minute"))
-    total = df.count()
-    wanted, edges, held = math.ceil(total / max(at_least, math.ceil(total / rows_per_file))), [], 0
-    sizes = []
-    for row in counted.toLocalIterator():  # one row per minute of the calendar
-        if held and held + row["n"] > wanted and row["minute"] is not None:
-            edges.append(row["minute"])
-            sizes.append(held)
-            held = 0
-        held += row["n"]
-    for lo, hi, size in zip([None, *edges], [*edges, None], [*sizes, held]):
-        rows = df if lo is None else df.where(minute >= lo)
-        rows = rows if hi is None else rows.where(F.coalesce(minute < hi, F.lit(True)) if lo is None else minute < hi)
-        files = max(1, math.ceil(size / rows_per_file))
-        rows.repartition(files).write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    sizes, minutes, total = [], [], 0
+    for row in counted.collect():  # one row per minute of the calendar
+        minutes.append((row["minute"], row["n"]))
+        total += row["n"]
+    wanted, bins = math.ceil(total / max(at_least, math.ceil(total / rows_per_file))), []
+    for at, n in minutes:
+        if not sizes or sizes[-1] and sizes[-1] + n > wanted:
+            sizes.append(0)
+        sizes[-1] += n
+        bins.append((at, len(sizes) - 1))
+    if not sizes:
+        df.write.mode("append").parquet(path)
+        return
+    files = [max(1, math.ceil(size / rows_per_file)) for size in sizes]
+    spark = df.sparkSession
+    places = spark.createDataFrame([(at, k, files[k]) for at, k in bins], "_minute long, _bin int, _files int")
+    placed = df.withColumn("_at", minute).join(places, F.col("_at").eqNullSafe(F.col("_minute"))).drop("_at", "_minute")
+    # One pass deals all rows to their bins; each bin is then handed over by itself, so that its files are younger than those before.
+    staged = scratch(spark, "landing-bins")
+    dealt = placed.repartition(sum(files), "_bin", F.pmod(F.xxhash64(*df.columns), F.col("_files"))).drop("_files")
+    dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy("_bin").parquet(staged)
+    for k, n in enumerate(files):
+        rows = spark.read.schema(df.schema).parquet(f"{staged}/_bin={k}")
+        rows.repartition(n).write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
