@@ -12,7 +12,7 @@ from tests.conftest import SF_DIR
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # Queries whose plan depends on the row limit of a group.
 SKEW_AWARE = [
-    "win_rank", "win_lag_lead", "win_running", "win_moving_rows", "win_moving_range", "join_left", "join_right",
+    "win_rank", "win_lag_lead", "win_running", "win_moving_rows", "win_moving_range", "win_moving_extremes", "join_left", "join_right",
     "join_full", "join_asof_window", "join_split_skew", "bucket_join", "agg_percentile", "scd2_build", "asof_version",
     "pandas_grouped",
 ]

@@ -84,56 +84,51 @@ def _attach(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(renamed, same, "left").drop(*[f"_s_{c}" for c in on])
 
 
-def rank_in(
-    df: DataFrame,
-    part: Sequence[str],
-    order: Sequence[str],
-    tie: Sequence[str],
-    tiles: int = 4,
-    desc: bool = False,
-    max_rows: int | None = None,
+def _numbered(cut: _Cut, keys: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """The rows of a cut with their number in the whole group."""
+    local = cut.rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)).cast("long"))
+    joined = cut.attach(local, cut.sums_before(keys, {"_before": F.count("*")}), [*keys, SLICE])
+    return joined.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")
+
+
+def _value_ranks(values: DataFrame, part: Sequence[str], order: Sequence[Column], max_rows: int | None) -> DataFrame:
+    """Distinct order values with ``_n`` rows each: the rows and the values that come before each of them in its group."""
+    earlier = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counts = lambda *by: {
+        "_rows": F.coalesce(F.sum("_n").over(earlier(*by)), F.lit(0)),
+        "_values": F.coalesce(F.count("*").over(earlier(*by)), F.lit(0)),
+    }
+    cut = _cut(values, part, order, max_rows)
+    if cut is None:
+        return values.withColumns(counts(*part))
+    before = cut.sums_before(part, {"_rows_before": F.sum("_n"), "_values_before": F.count("*")})
+    joined = cut.attach(cut.rows.withColumns(counts(*part, SLICE)), before, [*part, SLICE])
+    whole = {c: F.col(c) + F.coalesce(f"{c}_before", F.lit(0)) for c in ("_rows", "_values")}
+    return joined.withColumns(whole).drop("_rows_before", "_values_before", SLICE)
+
+
+def _rank_by_counts(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], tie: Sequence[str], tiles: int, desc: bool, max_rows: int | None
 ) -> DataFrame:
-    """row_number, rank, dense_rank, percent_rank and ntile. ``tie`` makes the order total."""
-    peers, total_order = _directed(order, desc), [*_directed(order, desc), *tie]
-    cut = _cut(df, part, peers, max_rows)
+    """Ranks of hot groups from their counted values; a value held by too many rows is itself cut along the tie."""
+    peers, equals = _directed(order, desc), [*part, *order]
+    total_order = [*peers, *tie]
+    # Rows per distinct value, combined before the shuffle, and what comes before each value.
+    counted = df.groupBy(*equals).agg(F.count("*").alias("_n"))
+    totals = counted.groupBy(*part).agg(F.sum("_n").alias("_total"))
+    values = materialise(_value_ranks(counted, part, peers, max_rows).drop("_n"), "ranked-values")
+    cut = _cut(df, equals, [F.col(c) for c in tie], max_rows)
     if cut is None:
-        by_peers, by_rows = Window.partitionBy(*part).orderBy(*peers), Window.partitionBy(*part).orderBy(*total_order)
-        return df.withColumns(
-            {
-                "row_number": F.row_number().over(by_rows),
-                "rank": F.rank().over(by_peers),
-                "dense_rank": F.dense_rank().over(by_peers),
-                "percent_rank": F.percent_rank().over(by_peers),
-                "ntile": F.ntile(tiles).over(by_rows),
-            }
-        )
-    group = [*part, SLICE]
-    by_peers, by_rows = Window.partitionBy(*group).orderBy(*peers), Window.partitionBy(*group).orderBy(*total_order)
-    local = cut.rows.withColumns(
-        {
-            "row_number": F.row_number().over(by_rows).cast("long"),
-            "rank": F.rank().over(by_peers).cast("long"),
-            "dense_rank": F.dense_rank().over(by_peers).cast("long"),
-            "_total": F.count("*").over(Window.partitionBy(*group)),
-        }
-    )
-    counts = cut.per_slice(part, {"_rows": F.count("*"), "_values": F.count_distinct(F.struct(*order))})
-    whole_group = Window.partitionBy(*part)
-    earlier = whole_group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(
-        *group,
-        F.sum("_rows").over(earlier).alias("_rows"),
-        F.sum("_values").over(earlier).alias("_values"),
-        F.sum("_rows").over(whole_group).alias("_all"),
-    )
-    joined = cut.attach(local, before, group)
-    rows_before, values_before = F.coalesce("_rows", F.lit(0)), F.coalesce("_values", F.lit(0))
+        at = F.row_number().over(Window.partitionBy(*equals).orderBy(*total_order)).cast("long")
+        numbered = df.withColumn("_at", at)
+    else:
+        numbered = _numbered(cut, equals, total_order, "_at").drop(SLICE)
+    joined = _attach(_attach(numbered, values, equals), materialise(totals, "group-totals"), part)
     joined = joined.withColumns(
         {
-            "row_number": F.col("row_number") + rows_before,
-            "rank": F.col("rank") + rows_before,
-            "dense_rank": F.col("dense_rank") + values_before,
-            "_total": F.coalesce("_all", "_total"),
+            "row_number": F.col("_rows") + F.col("_at"),
+            "rank": F.col("_rows") + 1,
+            "dense_rank": F.col("_values") + 1,
         }
     )
     # The first `long` tiles have one row more than the others.
@@ -145,7 +140,38 @@ def rank_in(
     spread = F.when(F.col("_total") > 1, (F.col("rank") - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
     ranked = joined.withColumns({"percent_rank": spread, "ntile": tile})
     whole = {c: F.col(c).cast("int") for c in ("row_number", "rank", "dense_rank", "ntile")}
-    return ranked.withColumns(whole).drop(SLICE, "_rows", "_values", "_all", "_total")
+    return ranked.withColumns(whole).drop("_rows", "_values", "_at", "_total")
+
+
+def rank_in(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str],
+    tie: Sequence[str],
+    tiles: int = 4,
+    desc: bool = False,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """row_number, rank, dense_rank, percent_rank and ntile. ``tie`` makes the order total.
+
+    Hot groups are ranked from the counts of their distinct order values, so that rows of one value need not be in one task:
+    ``row_number`` is the rows before the value plus the place among its equals, and many equals are cut along ``tie``.
+    """
+    peers, total_order = _directed(order, desc), [*_directed(order, desc), *tie]
+    by_peers, by_rows = Window.partitionBy(*part).orderBy(*peers), Window.partitionBy(*part).orderBy(*total_order)
+    plain = {
+        "row_number": F.row_number().over(by_rows),
+        "rank": F.rank().over(by_peers),
+        "dense_rank": F.dense_rank().over(by_peers),
+        "percent_rank": F.percent_rank().over(by_peers),
+        "ntile": F.ntile(tiles).over(by_rows),
+    }
+    hot = hot_counts(df, part, max_rows)
+    if not hot:
+        return df.withColumns(plain)
+    is_hot = in_groups(part, list(hot))
+    ranked = _rank_by_counts(df.where(is_hot), part, order, tie, tiles, desc, max_rows)
+    return df.where(~is_hot).withColumns(plain).unionByName(ranked)
 
 
 def _blocks(cut: _Cut, part: Sequence[str], order: Sequence[str], back: int, ahead: int, size: int) -> DataFrame:
@@ -155,9 +181,7 @@ def _blocks(cut: _Cut, part: Sequence[str], order: Sequence[str], back: int, ahe
     copied more than twice because a block is at least as long as the frame. A normal group
     is one block.
     """
-    numbered = cut.rows.withColumn(RN, F.row_number().over(Window.partitionBy(*part, SLICE).orderBy(*order)).cast("long"))
-    numbered = cut.attach(numbered, cut.sums_before(part, {"_before": F.count("*")}), [*part, SLICE])
-    numbered = numbered.withColumn(RN, F.col(RN) + F.coalesce("_before", F.lit(0))).drop("_before")
+    numbered = _numbered(cut, part, order, RN)
     size = max(size, back, ahead, 1)
     hot, at = F.col(SLICE) >= 0, F.col(RN) - 1
     home = F.when(hot, F.floor(at / size)).otherwise(F.lit(0))
@@ -283,6 +307,74 @@ def moving_range(
     return result.where("_own").drop("_value", "_at", "_own", SLICE)
 
 
+def running_extreme(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], column: str, name: str,
+    pick: str = "max", desc: bool = False, max_rows: int | None = None,
+) -> DataFrame:
+    """Running minimum or maximum (``pick``) of ``column`` in a total order; nulls are skipped."""
+    take, merge = {"max": (F.max, F.greatest), "min": (F.min, F.least)}[pick]
+    directed = _directed(order, desc)
+    to_here = lambda *by: Window.partitionBy(*by).orderBy(*directed).rowsBetween(Window.unboundedPreceding, 0)
+    cut = _cut(df, part, directed, max_rows)
+    if cut is None:
+        return df.withColumn(name, take(column).over(to_here(*part)))
+    local = cut.rows.withColumn(name, take(column).over(to_here(*part, SLICE)))
+    best = cut.per_slice(part, {"_best": take(column)})
+    earlier = Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = best.select(*part, SLICE, take("_best").over(earlier).alias("_before"))
+    joined = cut.attach(local, before, [*part, SLICE])
+    return joined.withColumn(name, merge(name, "_before")).drop("_before", SLICE)
+
+
+def _sliding_extreme(points: DataFrame, part: Sequence[str], span: int, name: str, pick: str, max_rows: int | None) -> DataFrame:
+    """Extreme of ``_value`` over the points in [_at - span, _at]; ``_at`` is a whole number, distinct in its group.
+
+    Time is cut in blocks as long as the frame. A frame is the start of its own block up to the point and the end of the block before
+    it from ``_at - span`` on. Both are running extremes, so each point is touched a fixed number of times however long the frame is.
+    """
+    if not span:
+        return points.withColumn(name, F.col("_value"))
+    merge = F.greatest if pick == "max" else F.least
+    block = [*part, "_block"]
+    points = points.withColumn("_block", F.col("_at") - F.pmod("_at", F.lit(span)))
+    heads = running_extreme(points, block, ["_at"], "_value", "_head", pick, max_rows=max_rows).withColumn("_own", F.lit(1))
+    tails = running_extreme(points, block, ["_at"], "_value", "_tail", pick, desc=True, max_rows=max_rows)
+    # The tail that starts at a point serves the points up to ``span`` later, all of them in the next block.
+    moved = tails.where(F.col("_at").isNotNull()).select(
+        *part, (F.col("_block") + span).alias("_block"), (F.col("_at") + span).alias("_at"), "_tail", F.lit(0).alias("_own")
+    )
+    both = heads.unionByName(moved, allowMissingColumns=True).withColumn("_back", -F.col("_at"))
+    found = carry_last(both, block, ["_back", "_own"], "_tail", "_lead", max_rows).where(F.col("_own") == 1)
+    return found.withColumn(name, merge("_head", "_lead")).drop("_block", "_head", "_tail", "_own", "_back", "_lead")
+
+
+def moving_rows_extreme(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], value: Column, name: str, rows: int,
+    pick: str = "max", max_rows: int | None = None,
+) -> DataFrame:
+    """Minimum or maximum over the current row and the ``rows`` before it, in a total order."""
+    df = df.withColumn("_value", value)
+    cut = _cut(df, part, _directed(order, False), max_rows)
+    if cut is None:
+        numbered = df.withColumn("_at", F.row_number().over(Window.partitionBy(*part).orderBy(*order)).cast("long"))
+    else:
+        numbered = _numbered(cut, part, order, "_at").drop(SLICE)
+    return _sliding_extreme(numbered, part, rows, name, pick, max_rows).drop("_value", "_at")
+
+
+def moving_range_extreme(
+    df: DataFrame, part: Sequence[str], ts: str, value: Column, name: str, seconds: int,
+    pick: str = "max", max_rows: int | None = None,
+) -> DataFrame:
+    """Minimum or maximum over the last ``seconds`` up to the current row's time, ties included. Rows without a time see each other only."""
+    take = F.max if pick == "max" else F.min
+    timed = df.withColumns({"_value": value, "_at": micros(df, ts)})
+    # Equal times have equal frames: one point each, combined before the shuffle.
+    points = timed.groupBy(*part, "_at").agg(take("_value").alias("_value"))
+    found = _sliding_extreme(points, part, seconds * 1_000_000, name, pick, max_rows).drop("_value")
+    return _attach(timed.drop("_value"), found, [*part, "_at"]).drop("_at")
+
+
 def lead_in(
     df: DataFrame, part: Sequence[str], order: Sequence[str], column: str, name: str, max_rows: int | None = None
 ) -> DataFrame:

@@ -124,6 +124,13 @@ def partition_skew_report(spark, sf_dir):
     return report.select("rows", (bounds & (F.col("empty") < F.col("partitions"))).alias("consistent"))
 
 
+@query("partition_report")
+def partition_report(spark, sf_dir):
+    """The report itself: smallest, largest and mean partition after a shuffle by the flag key. Where keys go is Spark's own affair, so no SQL."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return S.partition_skew(S.partition_sizes(_flagged(spark, sf_dir).repartition(partitions, "key"), partitions))
+
+
 @query("repartition_salted", "SELECT l_returnflag || '_' || l_linestatus AS key, l_quantity FROM lineitem")
 def repartition_salted(spark, sf_dir):
     lines = _flagged(spark, sf_dir)

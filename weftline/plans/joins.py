@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.functions.scalars import money, net_price, quantity_sum, total
 from weftline.operators import joins as J, skew as S
+from weftline.operators.reduction import Edge, reduced_join
 from weftline.plans.registry import query
 from weftline.plans.shared import orders_by_month
 from weftline.session import scratch_table
@@ -234,6 +235,34 @@ def join_chain(spark, sf_dir):
     return _by_region(lines.join(placed, lines.l_orderkey == placed.o_orderkey))
 
 
+@query(
+    "join_reduced",
+    """SELECT n_name, o_orderpriority,
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS n
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE r_name = 'ASIA' AND c_mktsegment = 'BUILDING' AND o_orderstatus = 'F' GROUP BY n_name, o_orderpriority""",
+)
+def join_reduced(spark, sf_dir):
+    """Filters on far tables reach the line items as key filters, before these are shuffled."""
+    read = lambda name, *columns: load(spark, sf_dir, name).select(*columns)
+    tables = {
+        "lineitem": read("lineitem", "l_orderkey", "l_extendedprice", "l_discount"),
+        "orders": load(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderpriority"),
+        "customer": load(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_nationkey"),
+        "nation": read("nation", "n_nationkey", "n_name", "n_regionkey"),
+        "region": load(spark, sf_dir, "region").where("r_name = 'ASIA'").select("r_regionkey"),
+    }
+    edges = [
+        Edge("lineitem", "orders", [("l_orderkey", "o_orderkey")]),
+        Edge("orders", "customer", [("o_custkey", "c_custkey")]),
+        Edge("customer", "nation", [("c_nationkey", "n_nationkey")]),
+        Edge("nation", "region", [("n_regionkey", "r_regionkey")]),
+    ]
+    joined = reduced_join(tables, edges, "lineitem")
+    return joined.groupBy("n_name", "o_orderpriority").agg(total(net_price()).alias("revenue"), F.count("*").alias("n"))
+
+
 @query("join_star", REGION_SQL.replace("GROUP BY", "WHERE l_quantity > 0 GROUP BY"))
 def join_star(spark, sf_dir):
     # The widest tables carry only the columns the result needs.

@@ -73,6 +73,19 @@ def win_moving_range(spark, sf_dir):
     return summed.select("event_id", "user_id", F.col("last_day").cast("double").alias("last_day"))
 
 
+@query(
+    "win_moving_extremes",
+    """SELECT event_id, user_id, ts, value, max(value) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST
+       RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS day_high,
+       min(value) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS low FROM events""",
+)
+def win_moving_extremes(spark, sf_dir):
+    """Highest value of the last day and lowest of the last 21 events: frames whose oldest row cannot be subtracted."""
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    low = W.moving_rows_extreme(events, ["user_id"], ["ts", "event_id"], F.col("value"), "low", rows=20, pick="min")
+    return W.moving_range_extreme(low, ["user_id"], "ts", F.col("value"), "day_high", seconds=86_400)
+
+
 @query(
     "win_share",
     """SELECT o_custkey, o_orderkey, round(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) /
