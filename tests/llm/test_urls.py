@@ -46,7 +46,7 @@ def brute_rules(rows, support, confidence, most=3):
 def test_rules_equal_an_exhaustive_count(spark):
     frame = labelled(spark)
     known = frame.select(U.tokens_of(F.col("url")).alias("t"), "bad").where("t IS NOT NULL AND bad IS NOT NULL").collect()
-    got = {tuple(r["rule"]): (r["confidence"], r["support"]) for r in U.mine_rules(frame, 0.02, 0.7).collect()}
+    got = {tuple(r["rule"]): (r["confidence"], r["support"]) for r in U.spelled_out(U.mine_rules(frame, 0.02, 0.7)).collect()}
     assert got == brute_rules(known, 0.02, 0.7)
     assert ("host:spam",) in got
 
@@ -63,7 +63,7 @@ def test_rules_of_more_than_three_tokens(spark):
         rows += [(f"http://{a}.org/{b}/{c}?{d}={i}", False) for i in range(200)]
     frame = spark.createDataFrame(rows, "url string, bad boolean")
     known = frame.select(U.tokens_of(F.col("url")).alias("t"), "bad").collect()
-    got = {tuple(r["rule"]): (r["confidence"], r["support"]) for r in U.mine_rules(frame).collect()}
+    got = {tuple(r["rule"]): (r["confidence"], r["support"]) for r in U.spelled_out(U.mine_rules(frame)).collect()}
     assert got == brute_rules(known, 0.002, 0.6, most=8)
     assert ("host:a", "path:b", "path:c", "query:d") in got
 
@@ -72,10 +72,31 @@ def test_rules_whose_rows_come_late(spark):
     """A bad host whose rows all come after the first 100,000 labelled rows."""
     early = spark.range(0, 101_000, 1, 1).select(F.format_string("http://h%d.org/p", F.col("id") % 3).alias("url"), F.lit(False).alias("bad"))
     late = spark.range(0, 1000, 1, 1).select(F.lit("http://spam.org/p").alias("url"), F.lit(True).alias("bad"))
-    got = U.mine_rules(early.union(late)).collect()
+    got = U.spelled_out(U.mine_rules(early.union(late))).collect()
     assert [(tuple(r["rule"]), r["confidence"], r["support"]) for r in got] == [(("host:spam",), 1.0, 1000 / 102_000)]
 
 
+def test_a_template_of_many_tokens(spark):
+    """Thirty tokens that are always together are one item; any of them alone is enough to block."""
+    keys = "&".join(f"k{chr(97 + i)}=1" for i in range(25))
+    row = F.when(F.col("id") % 100 == 0, F.lit(f"http://trap.org/a/b/c?{keys}")).otherwise(F.format_string("http://h%d.org/p", F.col("id") % 9))
+    frame = spark.range(20_000).select(row.alias("url"), (F.col("id") % 100 == 0).alias("bad"))
+    rules = U.mine_rules(frame)
+    assert [(len(r["rule"]), len(r["rule"][0]), r["confidence"], r["support"]) for r in rules.collect()] == [(1, 29, 1.0, 0.01)]
+    pages = spark.createDataFrame([("http://trap.org/",), ("http://x.org/b?q=1",), ("http://x.org/q?q=1",), ("http://h1.org/p",)], "url string")
+    got = {r["url"]: r["verdict"] for r in U.filter_urls(pages, frame, []).collect()}
+    assert got == {"http://trap.org/": "block", "http://x.org/b?q=1": "block", "http://x.org/q?q=1": "allow", "http://h1.org/p": "allow"}
+
+
+def test_items_of_two_sets_keep_every_combination(spark):
+    """Bad where two templates of two tokens each meet; the rules are all four pairs."""
+    kinds = [("http://a.org/b/c/d", True), ("http://a.org/b/x", False), ("http://y.org/c/d", False), ("http://y.org/x", False)]
+    frame = spark.createDataFrame([kinds[i % 4] for i in range(400)], "url string, bad boolean")
+    known = frame.select(U.tokens_of(F.col("url")).alias("t"), "bad").collect()
+    got = {tuple(r["rule"]): (r["confidence"], r["support"]) for r in U.spelled_out(U.mine_rules(frame, 0.02, 0.7)).collect()}
+    assert got == brute_rules(known, 0.02, 0.7, most=6) and len(got) == 4
+
+
 def test_mined_rules_block_and_fixed_rules_win(spark):
     pages = spark.createDataFrame(
         [(1, "http://spam.example.org/page/1"), (2, "http://h1.example.org/page/1"), (3, "http://spam.example.com/page/1"), (1, "http://spam.example.org/page/1")],

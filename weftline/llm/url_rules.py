@@ -1,13 +1,16 @@
 """URL filter from association rules.
 
-URLs are cut into tokens (scheme, host suffixes, path segments, query keys; digits folded). FP-growth mines token
-combinations on all labelled rows, with the label ``bad`` as one more token; its counts give support and confidence of each
-combination, and only rules above both thresholds remain; a rule that contains a shorter rule goes. Matching is an inverted index: every rule is filed under its rarest token, URLs look
-up their tokens, and only the rules found that way are compared in full.
+URLs are cut into tokens (scheme, host suffixes, path segments, query keys; digits folded). Tokens that are in exactly the
+same labelled rows, as those of one URL template are, count as one item. FP-growth mines item
+combinations on all labelled rows, with the label ``bad`` as one more item; its counts give support and confidence of each
+combination, and only rules above both thresholds remain; a rule that contains a shorter rule goes. A rule is a list of sets of
+tokens, and a URL fits it that has a token of each set. Matching is an inverted index: every rule is filed under the tokens of its
+rarest item, URLs look up their tokens, and only the rules found that way are compared in full.
 
 Cases: a null URL, or one without ``://``, has an empty host and path and no tokens; no rule fits it. A label that is null
 is left out. Without labelled rows, or without rules above the thresholds, every URL is allowed. Repeated URLs are judged
-once and the verdict is joined back to every row.
+once and the verdict is joined back to every row. URLs are read whole, whatever their length. Other columns pass through;
+columns of the input named host, path, rule, verdict or confidence are replaced by those of the result.
 """
 
 from __future__ import annotations
@@ -62,8 +65,26 @@ def tokens_of(url: Column) -> Column:
     return F.when(host_of(u) != "", F.array_distinct(F.concat(scheme, hosts, segments, keys)))
 
 
+def _items(rows: DataFrame, at_least: Column) -> DataFrame:
+    """(token, item, n_tokens) of all tokens in ``at_least`` rows or more; tokens with equal sets of rows share an item.
+
+    Equal sets have equal row numbers and equal combined hashes of their distinct token lists. What has equal hashes is then checked
+    list by list, and tokens that fail become items of their own. Tokens are at most the tokens of a row over the support share.
+    """
+    lists = materialise(rows.groupBy("tokens").agg(F.count("*").alias("n")), "url-token-lists")
+    held = lists.select(F.explode("tokens").alias("token"), "n", *[F.xxhash64("tokens", F.lit(i)).alias(f"h{i}") for i in (0, 1)])
+    marks = held.groupBy("token").agg(F.sum("n").alias("n"), F.bit_xor("h0").alias("h0"), F.bit_xor("h1").alias("h1"))
+    marks = materialise(marks.where(F.col("n") >= at_least), "url-token-marks")
+    sets = marks.groupBy("n", "h0", "h1").agg(F.min("token").alias("item"), F.count("*").alias("n_tokens"))
+    items = materialise(marks.join(sets, ["n", "h0", "h1"]).select("token", "item", "n_tokens"), "url-token-items")
+    met = held.join(items.where(F.col("n_tokens") > 1), "token").groupBy("item", "h0", "h1", "n_tokens").agg(F.count("*").alias("n_met"))
+    unequal = met.where(F.col("n_met") != F.col("n_tokens")).select("item").distinct().withColumn("unequal", F.lit(True))
+    own = F.when(F.col("unequal"), F.col("token")).otherwise(F.col("item"))
+    return materialise(items.join(unequal, "item", "left").select("token", own.alias("item")), "url-items")
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6) -> DataFrame:
-    """Rules (rule, anchor, confidence, support) from rows of (url, bad).
+    """Rules (rule, anchors, confidence, support) from rows of (url, bad); ``anchors`` is the rarest set of the rule.
 
     Support is the share of all labelled rows that have the tokens and
     are bad; confidence is the share of bad rows among those that have the tokens.
@@ -71,39 +92,60 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.002, min_confidence:
     rows = labelled.select(tokens_of(F.col("url")).alias("tokens"), F.col("bad").cast("boolean").alias("bad")).where(
         F.col("tokens").isNotNull() & F.col("bad").isNotNull()
     )
-    baskets = rows.select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")
-    )
+    rows = materialise(rows, "url-labelled")
+    whole = rows.agg(F.count("*")).scalar()
     # A little less, so that rounding does not lose a rule at the threshold itself.
-    model = FPGrowth(itemsCol="items", minSupport=min_support * (1 - 1e-9)).fit(baskets)
+    share = min_support * (1 - 1e-9)
+    items = _items(rows, whole * F.lit(share))
+    merged = (
+        rows.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token"))
+        .join(items, "token")
+        .groupBy("tokens")
+        .agg(F.collect_set("item").alias("items"))
+    )
+    # Rows without a frequent token still count as rows.
+    found = rows.join(merged, "tokens", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    baskets = found.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=share).fit(baskets)
     mined = materialise(model.freqItemsets, "url-itemsets")
     bad = mined.where(F.array_contains("items", BAD)).select(
         F.array_sort(F.array_remove("items", BAD)).alias("rule"), F.col("freq").alias("n_bad")
     )
     counts = mined.select(F.array_sort("items").alias("rule"), F.col("freq").alias("n"))
-    whole = rows.agg(F.count("*")).scalar()
     counted = (
         bad.join(counts, "rule")
         .where((F.col("n_bad") >= whole * F.lit(min_support)) & (F.col("n_bad") >= min_confidence * F.col("n")))
         .select("rule", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / whole).alias("support"))
     )
     shortest = _shortest(materialise(counted, "url-counted"))
-    # Each token of a rule is an item set of its own.
-    frequency = counts.where(F.size("rule") == 1).select(F.element_at("rule", 1).alias("token"), "n")
-    rarest = (
-        shortest.select("rule", F.explode("rule").alias("token"))
-        .join(frequency, "token")
-        .groupBy("rule")
-        .agg(F.min_by("token", F.struct("n", "token")).alias("anchor"))
+    # Each item of a rule is an item set of its own; its tokens come from one URL, so they are few.
+    frequency = counts.where(F.size("rule") == 1).select(F.element_at("rule", 1).alias("item"), "n")
+    sets = items.groupBy("item").agg(F.array_sort(F.collect_set("token")).alias("set")).join(frequency, "item")
+    spelled = (
+        shortest.select("rule", "confidence", "support", F.explode("rule").alias("item"))
+        .join(sets, "item")
+        .groupBy("rule", "confidence", "support")
+        .agg(F.array_sort(F.collect_list("set")).alias("sets"), F.min_by("set", F.struct("n", "item")).alias("anchors"))
     )
     # Written, so that Spark knows the size of the rule index and broadcasts it if it is small.
-    return materialise(shortest.join(rarest, "rule").select("rule", "anchor", "confidence", "support"), "url-rules")
+    return materialise(spelled.select(F.col("sets").alias("rule"), "anchors", "confidence", "support"), "url-rules")
+
+
+def spelled_out(rules: DataFrame) -> DataFrame:
+    """Rules (rule, confidence, support) with one token of each set, in every combination; for reading, not for matching."""
+    none = F.array(F.array().cast("array<string>"))
+    add = lambda so_far, tokens: F.flatten(
+        F.transform(so_far, lambda head: F.transform(tokens, lambda t: F.array_append(head, t)))
+    )
+    each = F.explode(F.aggregate("rule", none, add)).alias("rule")
+    return rules.select(each, "confidence", "support").withColumn("rule", F.array_sort("rule"))
 
 
 def _fitting(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Inverted index: each URL meets the rules filed under one of its tokens, and keeps those whose tokens it has."""
-    met = urls.withColumn("anchor", F.explode("tokens")).join(rules, "anchor")
-    return met.where(F.size(F.array_except("rule", "tokens")) == 0)
+    """Inverted index: each URL meets the rules filed under one of its tokens, and keeps those with a token of it in each set."""
+    filed = rules.withColumn("anchor", F.explode("anchors"))
+    met = urls.withColumn("anchor", F.explode("tokens")).join(filed, "anchor")
+    return met.where(F.forall("rule", lambda tokens: F.arrays_overlap(tokens, F.col("tokens"))))
 
 
 def _shortest(rules: DataFrame) -> DataFrame:
