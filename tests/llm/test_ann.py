@@ -83,3 +83,18 @@ def test_few_vectors_are_reranked(spark):
         inside.append(((low <= true) & (true <= high)).mean())
         kept.append((low <= np.partition(high, 10)[10]).mean())
     assert np.mean(inside) > 0.99 and np.mean(kept) < 0.5
+
+
+def test_doubles_whose_squares_overflow(spark):
+    """Neighbours and distances stay right where squared lengths are beyond the range of doubles."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=16) * 1e200).tolist()) for i in range(300)] + [(i, rng.normal(size=16).tolist()) for i in range(300, 600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = A.nearest(frame, F.col("vec_id") % 100 == 0, vector_block=200).collect()
+    vectors = dict(rows)
+    for q in range(0, 600, 100):
+        far = {i: math.dist(vectors[q], v) for i, v in rows if i != q}  # scaled by the library itself
+        want = sorted(far, key=lambda i: (far[i], i))[:10]
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+        assert [i for _, i, _ in mine] == want
+        assert all(math.isclose(s, far[i], rel_tol=1e-12) for _, i, s in mine)

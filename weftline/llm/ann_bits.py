@@ -92,7 +92,13 @@ def exact_distances(query, vectors):
     total = np.zeros(len(vectors))
     for d in range(vectors.shape[1]):
         total += np.square(vectors[:, d] - query[d])
-    return np.sqrt(total)
+    exact = np.sqrt(total)
+    far = np.flatnonzero(~np.isfinite(exact))
+    if len(far):  # squares beyond the range of doubles: lengths in units of the largest difference, halved so that it is finite
+        halves = np.abs(vectors[far] / 2 - np.asarray(query) / 2)
+        unit = halves.max(axis=1)
+        exact[far] = np.sqrt(np.square(halves / unit[:, None]).sum(axis=1)) * unit * 2
+    return exact
 
 
 def nearest_in_block(query_id, query, entries, k: int, centre, turn):
@@ -102,7 +108,8 @@ def nearest_in_block(query_id, query, entries, k: int, centre, turn):
     vectors, ids, codes, ones, norm, align = entries
     if len(vectors) > k + 1:
         low, high = bounds(query, centre, turn, codes, ones, norm, align)
-        chosen = np.flatnonzero(low <= np.partition(high, k)[k])  # one entry may be the query's own
+        # One entry may be the query's own. Bounds that overflowed to no number exclude nothing.
+        chosen = np.flatnonzero(~(low > np.partition(high, k)[k]))
     else:
         chosen = np.arange(len(vectors))
     exact = exact_distances(query, vectors[chosen])
