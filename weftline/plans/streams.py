@@ -9,6 +9,7 @@ from weftline.plans.shared import once
 from weftline.session import scratch
 from weftline.sources.tables import load
 from weftline.streaming import sinks as K, sources as S, windows as W
+from weftline.streaming.handles import activity
 from weftline.streaming.state import keyed_state
 
 DELAY = "1 hour"
@@ -205,6 +206,27 @@ def st_keyed_state(spark, sf_dir):
     return K.read_upserts(spark, out, ["user_id"]).drop("closed", "open")
 
 
+@query(
+    "st_state_handles",
+    """WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, ts IS NULL OR event_id IS NULL ORDER BY ts DESC, event_id DESC) AS back FROM events),
+       k AS (SELECT user_id, string_agg(event_type || '=' || c, ',' ORDER BY event_type) AS kinds
+             FROM (SELECT user_id, event_type, count(*) AS c FROM events WHERE event_type IS NOT NULL GROUP BY ALL) GROUP BY user_id)
+       SELECT e.user_id, count(*) AS n, coalesce(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT), 0) AS amount,
+       coalesce(string_agg(event_id, ',' ORDER BY ts, event_id) FILTER (back <= 3 AND ts IS NOT NULL AND event_id IS NOT NULL), '') AS last_events,
+       coalesce(any_value(kinds), '') AS kinds
+       FROM e LEFT JOIN k ON e.user_id IS NOT DISTINCT FROM k.user_id GROUP BY e.user_id""",
+)
+def st_state_handles(spark, sf_dir):
+    """Totals, the three newest events and the count per type of each user, in value, list and map state."""
+    events = _events(spark, sf_dir).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    seen = activity(events, "user_id", "event_type", "cents", "ts", "event_id", DELAY, last=3, idle_seconds=365 * 86_400)
+    out = scratch(spark, "activity")
+    # A key may be closed and start again in one batch; the open row is the newer one.
+    seen = seen.withColumn("open", ~F.col("closed"))
+    K.finish(K.upsert_sink(seen, out, ["user_id"], ["open", "n"], scratch(spark, "checkpoint"), "update"))
+    return K.read_upserts(spark, out, ["user_id"]).drop("closed", "open")
+
+
 def _middle_day(events: DataFrame):
     """Midnight halfway between the first and the last event."""
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
