@@ -157,6 +157,29 @@ def test_slices_are_even_whatever_the_order_values_are(spark, order):
     assert rows(got) == rows(W.running(df, ["key"], [order, "id"], F.col("id"), "total", max_rows=10**9))
 
 
+@SLOW
+@given(ORDERED, st.integers(0, 9), st.sampled_from(["min", "max"]))
+def test_moving_extremes_are_plain_frames(spark, pairs, n, pick):
+    timed = ordered(spark, pairs).withColumns({"ts": F.timestamp_seconds("t"), "v": F.when(F.col("v") != 3, F.col("v"))})
+    take = F.max if pick == "max" else F.min
+    group = Window.partitionBy("key")
+    by_rows = timed.withColumn("x", take("v").over(group.orderBy("t", "id").rowsBetween(-n, 0)))
+    by_time = timed.withColumn("x", take("v").over(group.orderBy("t").rangeBetween(-n, 0)))
+    for limit in (4, 10**9):
+        assert rows(W.moving_rows_extreme(timed, ["key"], ["t", "id"], F.col("v"), "x", n, pick, limit)) == rows(by_rows)
+        assert rows(W.moving_range_extreme(timed, ["key"], "ts", F.col("v"), "x", n, pick, limit)) == rows(by_time)
+
+
+def test_ranks_of_a_hot_group_with_one_order_value(spark):
+    df = spark.range(3_000).select("id", F.lit("a").alias("key"), F.when(F.col("id") < 2_900, 5).otherwise(F.col("id")).alias("t"))
+    got = W.rank_in(df, ["key"], ["t"], ["id"], tiles=7, max_rows=200)
+    assert rows(got) == rows(W.rank_in(df, ["key"], ["t"], ["id"], tiles=7, max_rows=10**9))
+    # The window that numbers equals works on slices of them.
+    cut = W._cut(df, ["key", "t"], [F.col("id")], 200)
+    sizes = [r["n"] for r in cut.rows.where("_slice >= 0").groupBy("_slice").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 2_900 and max(sizes) <= 400
+
+
 def test_schema_does_not_depend_on_size(spark):
     df = readings(spark, 300).withColumns({"price": F.col("amount").cast("decimal(12,2)"), "ts": F.timestamp_seconds("id")})
     for call in (
@@ -166,6 +189,8 @@ def test_schema_does_not_depend_on_size(spark):
         lambda n: W.moving_rows(df, ["key"], ["id"], F.col("price"), "x", 3, max_rows=n),
         lambda n: W.moving_range(df, ["key"], "ts", F.col("price"), "x", 9, max_rows=n),
         lambda n: W.carry_last(df, ["key"], ["id"], "price", "x", max_rows=n),
+        lambda n: W.moving_rows_extreme(df, ["key"], ["id"], F.col("price"), "x", 3, max_rows=n),
+        lambda n: W.moving_range_extreme(df, ["key"], "ts", F.col("price"), "x", 9, max_rows=n),
     ):
         assert call(10).dtypes == call(10**9).dtypes
 

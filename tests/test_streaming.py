@@ -7,6 +7,7 @@ import __spark_entry__ as entry
 from tests.conftest import rows
 from weftline.session import scratch
 from weftline.streaming import sinks as K, sources as S, windows as W
+from weftline.streaming.handles import activity
 from weftline.streaming.state import keyed_state
 
 SCHEMA = "id long, k string, at timestamp, v long"
@@ -123,6 +124,23 @@ def test_keyed_state_expires(spark, feed):
     assert ("a", 1, 7, False) in found and ("b", 1, 1, False) in found
 
 
+def test_activity_keeps_newest_rows_counts_and_expires(spark, feed):
+    feed.add((1, "a", 100, 5), (2, "a", 110, 6), (3, "a", 105, None)).add((4, "b", 100_000, 1)).add((5, "a", 100_100, 7))
+    out = scratch(spark, "out")
+    sign = F.when(F.col("v") % 2 == 0, "even").when(F.col("v") % 2 == 1, "odd")
+    seen = lambda: activity(feed.read().withColumn("sign", sign), "k", "sign", "v", "at", "id", "10 seconds", 2, idle_seconds=60)
+    columns = ("k", "n", "amount", "last_events", "kinds", "closed")
+    K.finish(K.batch_sink(seen(), out, feed.checkpoint, "update"))
+    found = rows(spark.read.parquet(out), *columns)
+    assert ("a", 3, 11, "3,2", "even=1,odd=1", False) in found and ("a", 3, 11, "3,2", "even=1,odd=1", True) in found
+    assert ("a", 1, 7, "5", "odd=1", False) in found and ("b", 1, 1, "4", "odd=1", False) in found
+    # Started again from the checkpoint, the state goes on.
+    feed.add((6, "a", 100_110, 2), (7, None, 100_120, 9))
+    K.finish(K.batch_sink(seen(), out, feed.checkpoint, "update"))
+    found = rows(spark.read.parquet(out), *columns)
+    assert ("a", 2, 9, "5,6", "even=1,odd=1", False) in found and (None, 1, 9, "7", "odd=1", False) in found
+
+
 def test_split_bad_names_first_rule(spark):
     df = spark.createDataFrame([("1", 1), ("x", 1), (None, None)], "raw string, n int")
     rules = {"number": F.col("raw").try_cast("int").isNotNull(), "n": F.col("n").isNotNull()}

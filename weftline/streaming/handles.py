@@ -74,6 +74,13 @@ class _Activity(StatefulProcessor):
         return pd.DataFrame({self.key: [key[0]], "n": [n], "amount": [amount], "last_events": [last], "kinds": [kinds], "closed": [closed]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        # Rows are handled before timers: a key whose time is up is closed first, and its new rows start again.
+        watermark, timers = timerValues.getCurrentWatermarkInMs(), list(self.handle.listTimers())
+        for timer in timers:
+            self.handle.deleteTimer(timer)
+        if any(timer <= watermark for timer in timers):
+            yield self._row(key, True)
+            self._forget()
         n, amount, newest = self.totals.get() if self.totals.exists() else (0, 0, 0)
         events = [(at, row_id) for at, row_id in self.events.get()] if self.events.exists() else []
         met: dict[str, int] = {}
@@ -92,16 +99,16 @@ class _Activity(StatefulProcessor):
         for kind, count in met.items():
             before = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
             self.kinds.updateValue((kind,), (before + count,))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
         # A timer must lie after the watermark; a key without any time waits as long as one that was just seen.
-        watermark = timerValues.getCurrentWatermarkInMs()
         self.handle.registerTimer(max((newest or watermark) + self.idle_ms, watermark + 1))
         yield self._row(key, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         if self.totals.exists():
             yield self._row(key, True)
+        self._forget()
+
+    def _forget(self) -> None:
         self.totals.clear()
         self.events.clear()
         self.kinds.clear()
