@@ -223,8 +223,8 @@ def st_state_handles(spark, sf_dir):
     out = scratch(spark, "activity")
     # A key may be closed and start again in one batch; the open row is the newer one.
     seen = seen.withColumn("open", ~F.col("closed"))
-    K.finish(K.upsert_sink(seen, out, ["user_id"], ["open", "n"], scratch(spark, "checkpoint"), "update"))
-    return K.read_upserts(spark, out, ["user_id"]).drop("closed", "open")
+    K.finish(K.upsert_sink(seen, out, ["user_id"], ["open", "turn"], scratch(spark, "checkpoint"), "update"))
+    return K.read_upserts(spark, out, ["user_id"]).drop("closed", "open", "turn")
 
 
 def _middle_day(events: DataFrame):

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 FLUSH = 200_000
+HELD = "_key"
 
 
 def _combine(df: DataFrame, key: str, kind: str, amount: str, ts: str, row_id: str, last: int) -> DataFrame:
@@ -62,16 +63,17 @@ class _Activity(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.totals = handle.getValueState("totals", "n long, amount long, newest long")
+        self.totals = handle.getValueState("totals", "n long, amount long, newest long, turn long")
         self.events = handle.getListState("events", "at timestamp, row_id long")
         self.kinds = handle.getMapState("kinds", "kind string", "n long")
 
     def _row(self, key: tuple, closed: bool) -> pd.DataFrame:
-        n, amount, _ = self.totals.get()
+        n, amount, _, turn = self.totals.get()
         last = ",".join(str(row_id) for _, row_id in self.events.get()) if self.events.exists() else ""
         counted = sorted((kind, count) for (kind,), (count,) in self.kinds.iterator()) if self.kinds.exists() else []
         kinds = ",".join(f"{kind}={count}" for kind, count in counted)
-        return pd.DataFrame({self.key: [key[0]], "n": [n], "amount": [amount], "last_events": [last], "kinds": [kinds], "closed": [closed]})
+        row = {self.key: key[0], "n": n, "amount": amount, "last_events": last, "kinds": kinds, "closed": closed, "turn": turn}
+        return pd.DataFrame({name: [value] for name, value in row.items()})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         # Rows are handled before timers: a key whose time is up is closed first, and its new rows start again.
@@ -81,7 +83,7 @@ class _Activity(StatefulProcessor):
         if any(timer <= watermark for timer in timers):
             yield self._row(key, True)
             self._forget()
-        n, amount, newest = self.totals.get() if self.totals.exists() else (0, 0, 0)
+        n, amount, newest, turn = self.totals.get() if self.totals.exists() else (0, 0, 0, 0)
         events = [(at, row_id) for at, row_id in self.events.get()] if self.events.exists() else []
         met: dict[str, int] = {}
         for pdf in rows:
@@ -93,7 +95,7 @@ class _Activity(StatefulProcessor):
             events = sorted(events)[-self.last :]
             for kind, count in pdf[pdf["kind"].notna()].groupby("kind")["n"].sum().items():
                 met[kind] = met.get(kind, 0) + int(count)
-        self.totals.update((n, amount, newest))
+        self.totals.update((n, amount, newest, turn + 1))
         if events:
             self.events.put(events)
         for kind, count in met.items():
@@ -122,15 +124,19 @@ def activity(
 ) -> DataFrame:
     """Per key the count, the sum, the ids of the ``last`` newest rows (oldest first) and the count per kind.
 
-    One row per key and micro-batch, and a closing row when the key was silent for ``idle_seconds`` of event time, after which all its
+    One row per key and micro-batch (``turn`` numbers them), and a closing row when the key was silent for ``idle_seconds`` of event time, after which all its
     state is forgotten. State per key is bounded by ``last`` and by the number of kinds. Null amounts count as nothing in the sum; rows
-    without a kind are in no kind; rows without time or id are counted but never among the newest. ``row_id`` is a whole number.
+    without a kind are in no kind; rows without time or id are counted but never among the newest. ``row_id`` is a whole number,
+    ``key`` of a type that can be cast to text and back.
     """
-    combined = _combine(df, key, kind, amount, ts, row_id, last).withWatermark("at", delay)
-    held = df.schema[key].dataType.simpleString()
-    return combined.groupBy(key).transformWithStateInPandas(
-        _Activity(key, last, idle_seconds * 1000),
-        outputStructType=f"{key} {held}, n long, amount long, last_events string, kinds string, closed boolean",
+    # As text that is never null: pandas would turn whole numbers beside a null into floats, and a state key of nulls into zero.
+    named = df.withColumn(HELD, F.coalesce(F.concat(F.lit("."), F.col(key).cast("string")), F.lit("")))
+    combined = _combine(named, HELD, kind, amount, ts, row_id, last).withWatermark("at", delay)
+    rows = combined.groupBy(HELD).transformWithStateInPandas(
+        _Activity(HELD, last, idle_seconds * 1000),
+        outputStructType=f"{HELD} string, n long, amount long, last_events string, kinds string, closed boolean, turn long",
         outputMode="update",
         timeMode="eventTime",
     )
+    plain = F.when(F.col(HELD) != "", F.col(HELD).substr(F.lit(2), F.length(HELD))).cast(df.schema[key].dataType)
+    return rows.select(plain.alias(key), *[c for c in rows.columns if c != HELD])
