@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import LONG, TEXTS
 from weftline.llm import minhash_tensor as M
@@ -116,3 +117,22 @@ def test_components_of_chains_and_stars(spark):
     got = M.components(spark.createDataFrame([*chain, *star, (500, 500)], "a long, b long")).collect()
     want = {i: 1 for i in range(2, 61)} | {200 + i: 100 for i in range(50)}
     assert {r["doc"]: r["component"] for r in got if r["doc"] != r["component"]} == want
+
+
+def test_hubs_of_any_size_keep_their_component(spark):
+    """Two stars whose hubs have the largest and the smallest id, joined by one link, beside many pairs."""
+    low, high = [(0, i) for i in range(1, 400)], [(9_000, i) for i in range(1_000, 1_400)]
+    pairs = [(i, i + 1) for i in range(2_000, 2_600, 2)]
+    frame = spark.createDataFrame([*low, *high, (399, 1_000), *pairs, *high], "a long, b long")
+    assert M._fair_share(spark, 2 * frame.count()) < 399
+    got = {r["doc"]: r["component"] for r in M.components(frame).collect()}
+    want = {i: 0 for i in [*range(1, 400), *range(1_000, 1_400), 9_000]} | {i + 1: i for i in range(2_000, 2_600, 2)}
+    assert {d: c for d, c in got.items() if d != c} == want
+
+
+def test_arcs_of_hubs_are_not_shuffled_by_node(spark):
+    arcs = spark.createDataFrame([(i % 3 and i, i) for i in range(300)], "u long, v long")
+    least = arcs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    got = M._with_least(arcs, least, 50)
+    assert sorted(map(tuple, got.collect())) == sorted((i % 3 and i, i, i % 3 and i) for i in range(300))
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()

@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weftline.llm.workers import Memo, once_per_worker
 from weftline.session import materialise
@@ -235,22 +235,42 @@ def components(links: DataFrame) -> DataFrame:
     """(doc, component): the smallest id that links lead to, for every linked document.
 
     Each round points every node at the smallest of its neighbours, and its larger neighbours at that one too, until nothing
-    changes. Minima are combined before the shuffle, so a node with very many links is no burden.
+    changes. Minima are combined before the shuffle, and the arcs of a hub get its minimum where they lie, so a node with
+    very many links is no burden.
     """
     arcs = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "cc")
     known = _print(arcs)
     while True:
         both = arcs.union(arcs.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        share = _fair_share(arcs.sparkSession, 2 * known[0])
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u"))
+        large = _with_least(both.where("v > u"), least, share).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _with_least(large, low, share).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         arcs = materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
         before, known = known, _print(arcs)
         if known == before:
             return arcs.select(F.col("u").alias("doc"), F.col("v").alias("component"))
 
 
+def _fair_share(spark: SparkSession, rows: int) -> int:
+    """Rows that a task of a shuffle has on average."""
+    return max(1, rows // int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _with_least(arcs: DataFrame, least: DataFrame, share: int) -> DataFrame:
+    """``arcs`` with the minimum of their node from ``least`` (u, m, n).
+
+    A hub has more arcs than the fair share of a task, so there are hardly more hubs than tasks, and they are broadcast. All other
+    arcs are joined by node; no node brings more of them to a task than its fair share.
+    """
+    hubs = F.broadcast(least.where(F.col("n") > share).select("u", "m"))
+    # A left join in both branches, so that they share the broadcast.
+    dealt = arcs.join(hubs, "u", "left")
+    others = dealt.where("m IS NULL").drop("m").join(least.where(F.col("n") <= share).select("u", "m"), "u")
+    return dealt.where("m IS NOT NULL").union(others)
+
+
 def _print(arcs: DataFrame) -> tuple:
     return tuple(arcs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
