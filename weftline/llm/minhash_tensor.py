@@ -244,7 +244,9 @@ def components(links: DataFrame) -> DataFrame:
         both = arcs.union(arcs.select("v", "u"))
         share = _fair_share(arcs.sparkSession, 2 * known[0])
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u"))
+        least = materialise(least, "cc-least")
         large = _with_least(both.where("v > u"), least, share).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialise(large, "cc-large")  # read three times
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = _with_least(large, low, share).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         arcs = materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
