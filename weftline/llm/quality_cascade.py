@@ -6,7 +6,9 @@ The verdict is a CASE of the ordered rules, so a rejected document pays only for
 The order changes the cost and never the verdict, which is the conjunction of all rules.
 
 Cases: a null or empty text has no words. A rule that is null does not reject. Every row gets a verdict, repeated ones
-each their own. On an empty table the sample is empty and the given order stays.
+each their own. On an empty table the sample is empty and the given order stays. Very long texts are measured whole, in
+the task of their row. Other columns are carried along untouched, but for one named like ``into`` of ``base_metrics``, which
+the measurements replace.
 """
 
 from __future__ import annotations

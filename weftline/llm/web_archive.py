@@ -5,7 +5,8 @@ others are revisits that refer to it. Smaller payloads are always responses.
 
 Cases: null html is an empty payload, a null url leaves the target out. A page with a null id is a response if no page with
 an id has the same payload, else a revisit; rows that repeat the largest id are all responses. An empty table gives
-an empty archive.
+an empty archive. Columns other than page_id, url and html are not looked at. A payload of any length is one record; it is
+held in memory by the task that writes it and by the one that reads it.
 """
 
 from __future__ import annotations
