@@ -7,7 +7,7 @@ result and reads it again. All stages but the last return the columns of ``docum
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from weftline.llm import minhash_tensor, packing, pii, quality_cascade
 from weftline.llm.columns import let, words
@@ -30,10 +30,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship_package(spark)
     found = minhash_tensor.near_duplicates(docs, minhash_tensor.Scheme(words=5, percent=80))
     kept = materialise(found.where("kept AND doc IS NOT NULL").select(F.col("doc").alias("doc_id")).distinct(), "kept-ids")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    first = Window.partitionBy("doc_id").orderBy("text", *(c for c in rest if c != "text"))
+    text, rest = F.col("text"), [f for f in docs.schema if f.name not in ("doc_id", "text")]
+    first = Window.partitionBy("doc_id").orderBy(text, *(_sortable(f) for f in rest))
     named = docs.join(kept, "doc_id").withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return named.select(*(_quoted(c) for c in docs.columns)).unionByName(docs.where("doc_id IS NULL"))
+
+
+def _quoted(name: str) -> Column:
+    """The column of just that name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _sortable(field: T.StructField) -> Column:
+    """The column, or its JSON where it holds a type that has no order."""
+    unordered = any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
+    return F.to_json(F.struct(_quoted(field.name))) if unordered else _quoted(field.name)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
