@@ -64,6 +64,18 @@ def test_repeated_rows_leave_one(spark, sf_dir):
     assert left.count() == left.select("doc_id").distinct().count()
 
 
+def test_maps_and_dotted_names_pass_the_near_duplicates(spark, sf_dir):
+    docs = spark.createDataFrame(
+        [(1, "b", {"k": 1}, 5), (1, "a", {"k": 2}, 5), (1, "a", None, 5), (2, None, {}, None), (None, "a", {"k": 3}, 6)],
+        "doc_id long, text string, meta map<string,int>, `a.b` int",
+    )
+    left = pipeline.near_duplicates(spark, docs, sf_dir)
+    assert left.columns == docs.columns
+    assert sorted(map(repr, left.drop("meta").collect())) == sorted(
+        map(repr, spark.createDataFrame([(1, "a", 5), (2, None, None), (None, "a", 6)], "doc_id long, text string, `a.b` int").collect())
+    )
+
+
 def test_run_equals_the_stages(spark, sf_dir):
     got = pipeline.run(spark, sf_dir)
     assert {"doc_id", "start", "length", "sequence_id"} <= set(got.columns) and got.count() > 0
