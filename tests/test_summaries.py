@@ -132,6 +132,41 @@ def test_distinct_sketches_unite_and_subtract(spark):
     assert tuple(got) == (len(a & b), len(a - b), len(b - a), len(a | b))
 
 
+@pytest.fixture
+def many_customers(spark, tmp_path):
+    """Orders of 50,000 customers, more than a sketch holds; some keys are null, negative or far away."""
+    key = F.when(F.col("id") % 1_000 == 0, F.lit(None)).when(F.col("id") % 1_000 == 1, F.lit(10**15)).otherwise(F.col("id") % 50_000 - 7)
+    priority = F.when(F.col("id") % 3 == 0, "1-URGENT").when(F.col("id") % 7 == 1, "5-LOW").when(F.col("id") % 7 > 1, "3-MEDIUM")
+    day = F.when(F.col("id") % 11 > 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 1_500).cast("int")))
+    orders = spark.range(120_000).select(key.alias("o_custkey"), priority.alias("o_orderpriority"), day.alias("o_orderdate"))
+    lone = spark.createDataFrame([(None, "9-NONE")], "o_custkey long, o_orderpriority string").withColumn("o_orderdate", F.lit(None).cast("date"))
+    orders.unionByName(lone).write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("key", ["sketch_overlap"])
+@pytest.mark.parametrize("empty", [False, True])
+def test_many_customers_are_counted_exactly(spark, many_customers, key, empty):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{many_customers}/orders.parquet/*.parquet') WHERE {not empty}")
+    sf_dir = many_customers
+    if empty:
+        sf_dir += "/none"
+        spark.read.parquet(f"{many_customers}/orders.parquet").limit(0).write.parquet(f"{sf_dir}/orders.parquet")
+    want = con.sql(entry.oracle_sql()[key])
+    got = entry.queries()[key](spark, sf_dir)
+    assert rows(got, *want.columns) == sorted(want.fetchall(), key=repr)
+
+
+def test_bitmaps_refuse_text(spark):
+    with pytest.raises(ValueError, match="whole numbers"):
+        K.distinct_bitmaps(spark.createDataFrame([("a", 1)], "k string, g int"), ["g"], "k")
+
+
 def test_quantile_sketches_keep_the_rank_error(spark):
     df = spark.range(50_000).select((F.col("id") % 12).alias("month"), F.pow(F.col("id").cast("double"), F.lit(0.5)).alias("v"))
     df = df.withColumn("v", F.when(F.col("month") != 11, F.col("v")))  # one month without values

@@ -92,6 +92,40 @@ def overlap(a: Column, b: Column, lg_entries: int = LG_ENTRIES) -> Column:
     )
 
 
+# --- Exact distinct counts ----------------------------------------------------------------------------------------
+
+#: Columns of a stored set: the range of values it covers and one bit per value of that range.
+BUCKET, BITS = "bucket", "bits"
+
+
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    """``by``, ``bucket`` and ``bits``: the distinct values of ``column`` in each group as bits, to be stored and united later without any error.
+
+    ``column`` holds whole numbers. A bucket covers 32,768 neighbouring numbers in 4 KB and exists only if one of them occurs, so this is
+    for keys that are numbered more or less in a row; of keys far apart each takes a bucket of its own. Nulls have an empty bucket, which
+    keeps groups without a value.
+    """
+    if not isinstance(df.schema[column].dataType, T.IntegralType):
+        raise ValueError(f"{column} does not hold whole numbers")
+    value = F.col(column).cast("long")
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias(BITS)
+    return df.groupBy(*by, F.bitmap_bucket_number(value).alias(BUCKET)).agg(bits)
+
+
+def count_bits(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by`` and the exact number ``distinct`` of values in stored bitmaps of any finer grouping."""
+    united = bitmaps.groupBy(*by, BUCKET).agg(F.bitmap_count(F.bitmap_or_agg(BITS)).alias("n"))
+    return united.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("distinct"))
+
+
+def overlap_bits(bitmaps: DataFrame, a: Column, b: Column) -> DataFrame:
+    """One row of exact counts (both, only_a, only_b, either) of the values in the bitmaps where ``a`` holds and in those where ``b`` holds."""
+    size = lambda where: F.bitmap_count(F.bitmap_or_agg(F.when(where, F.col(BITS))))
+    united = bitmaps.groupBy(BUCKET).agg(size(a).alias("a"), size(b).alias("b"), size(a | b).alias("either"))
+    n_a, n_b, either = (F.coalesce(F.sum(c), F.lit(0)) for c in ("a", "b", "either"))
+    return united.agg((n_a + n_b - either).alias("both"), (either - n_b).alias("only_a"), (either - n_a).alias("only_b"), either.alias("either"))
+
+
 # --- Quantiles ------------------------------------------------------------------------------------------------
 
 

@@ -45,9 +45,9 @@ def frequent_keys(spark, sf_dir):
 
 
 def _customers(spark, sf_dir) -> DataFrame:
-    """Sketches of the customers of each year and priority, stored."""
+    """Bitmaps of the customers of each year and priority, stored."""
     orders = load(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    return materialise(K.distinct_sketches(orders, ["year", "o_orderpriority"], "o_custkey"), "customer-sketches")
+    return materialise(K.distinct_bitmaps(orders, ["year", "o_orderpriority"], "o_custkey"), "customer-bitmaps")
 
 
 @query(
@@ -58,7 +58,8 @@ def _customers(spark, sf_dir) -> DataFrame:
 )
 def sketch_rollup(spark, sf_dir):
     """Distinct customers of several groupings from the stored sketches alone; exact below 16,384 customers, then estimated."""
-    stored = _customers(spark, sf_dir)
+    orders = load(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    stored = materialise(K.distinct_sketches(orders, ["year", "o_orderpriority"], "o_custkey"), "customer-sketches")
     found = [K.roll_up(stored, by).drop("sketch") for by in (["year"], ["o_orderpriority"], [])]
     out = found[0].unionByName(found[1], allowMissingColumns=True).unionByName(found[2], allowMissingColumns=True)
     return out.select(F.col("year").cast("long").alias("year"), "o_orderpriority", F.col("distinct").alias("customers"))
@@ -71,11 +72,9 @@ def sketch_rollup(spark, sf_dir):
        count(*) FILTER (b AND NOT a) AS only_b, count(*) FILTER (a OR b) AS either FROM c WHERE k IS NOT NULL""",
 )
 def sketch_overlap(spark, sf_dir):
-    """Customers with urgent orders, with low ones, and with both, by set operations on stored sketches."""
-    united = K.roll_up(_customers(spark, sf_dir), ["o_orderpriority"])
-    side = lambda name: F.max_by("sketch", F.when(F.col("o_orderpriority") == name, 1))
-    pair = united.agg(side("1-URGENT").alias("a"), side("5-LOW").alias("b"))
-    return pair.select(K.overlap(F.col("a"), F.col("b")).alias("o")).select("o.*")
+    """Customers with urgent orders, with low ones, and with both, by set operations on stored bitmaps; exact."""
+    has = lambda name: F.col("o_orderpriority") == name
+    return K.overlap_bits(_customers(spark, sf_dir), has("1-URGENT"), has("5-LOW"))
 
 
 @query("quantile_histogram")
