@@ -144,7 +144,7 @@ def many_customers(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("key", ["sketch_overlap"])
+@pytest.mark.parametrize("key", ["sketch_rollup", "sketch_overlap"])
 @pytest.mark.parametrize("empty", [False, True])
 def test_many_customers_are_counted_exactly(spark, many_customers, key, empty):
     import duckdb
