@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tests.conftest import rows
 from weftline.session import scratch
-from weftline.streaming import sinks as K, sources as S, windows as W
+from weftline.streaming import shards, sinks as K, sources as S, windows as W
 from weftline.streaming.handles import activity
 from weftline.streaming.state import keyed_state
 
@@ -141,6 +141,28 @@ def test_activity_keeps_newest_rows_counts_and_expires(spark, feed):
     assert ("a", 2, 9, "5,6", "even=1,odd=1", False) in found and (None, 1, 9, "7", "odd=1", False) in found
 
 
+def test_activity_shares_the_state_of_a_shard(spark, feed, monkeypatch):
+    monkeypatch.setattr(shards, "SHARDS", 2)
+    big = 2**60 + 1
+    feed.add(*[(big + i, f"k{i}", 100, i) for i in range(300)], (None, "k0", 100, None), (5, None, 100, 1), (6, "timeless", None, 1))
+    feed.add((7, "k7", 100_000, 1), (9, "timeless", 120, 3)).add((8, "k8", 100_100, 2))
+    out = scratch(spark, "out")
+    even = F.when(F.col("v") % 2 == 0, "even")
+    seen = activity(feed.read().withColumn("even", even), "k", "even", "v", "at", "id", "10 seconds", 2, idle_seconds=60)
+    done = K.finish(K.batch_sink(seen, out, feed.checkpoint, "update"))
+    found = spark.read.parquet(out)
+    first = {(f"k{i}", 1 + (i == 0), i, f"{big + i}", "even=1" if i % 2 == 0 else "") for i in range(300)} | {(None, 1, 1, "5", "")}
+    columns = ("k", "n", "amount", "last_events", "kinds")
+    # Each key is closed once, when its own time is up; new rows start again.
+    k7, timeless = ("k7", 2, 8, f"{big + 7},7", ""), ("timeless", 2, 4, "9", "")
+    closed = first - {("k7", 1, 7, f"{big + 7}", "")} | {k7, timeless}
+    assert rows(found.where("closed"), *columns) == sorted(closed, key=repr)
+    still = {k7, timeless, ("k8", 1, 2, "8", "even=1"), ("timeless", 1, 1, "", "")}
+    assert rows(found.where("NOT closed"), *columns) == sorted(first | still, key=repr)
+    # The store has a few rows per shard and not a few per key.
+    assert max(op.numRowsTotal for p in done.recentProgress for op in p.stateOperators) < 40
+
+
 def test_split_bad_names_first_rule(spark):
     df = spark.createDataFrame([("1", 1), ("x", 1), (None, None)], "raw string, n int")
     rules = {"number": F.col("raw").try_cast("int").isNotNull(), "n": F.col("n").isNotNull()}
@@ -172,6 +194,16 @@ def test_landing_cuts_rows_without_time_and_full_minutes(spark):
     assert all(earlier["hi"] <= later["lo"] for earlier, later in zip(timed, timed[1:]))
 
 
+def test_a_landed_file_is_read_by_several_tasks(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(S, "ROW_GROUP_BYTES", 1 << 18)
+    path = scratch(spark, "landing-groups")
+    S.land_in_order(spark.range(400_000).select(F.xxhash64("id").alias("h"), F.timestamp_seconds(F.col("id") % 9_000).alias("at")), "at", path)
+    groups = [pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in spark.read.parquet(path).inputFiles()]
+    assert max(groups) > 5
+
+
 def test_landing_is_in_time_order(spark):
     path = scratch(spark, "landing")
     at = F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.col("id") * 60 * 7 % 60_000)).alias("at")

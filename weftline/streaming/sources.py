@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType, TimestampNTZType
 from weftline.session import scratch
 
 ROWS_PER_FILE = 2_000_000
+#: Size of the row groups of a landed file. A row group is read by one task, so a file in a single one would be.
+ROW_GROUP_BYTES = 4 << 20
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -96,4 +98,5 @@ def land_in_order(df: DataFrame, ts: str, path: str, at_least: int = 4, rows_per
     dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy("_bin").parquet(staged)
     for k, n in enumerate(files):
         rows = spark.read.schema(df.schema).parquet(f"{staged}/_bin={k}")
-        rows.repartition(n).write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
+        writer = rows.repartition(n).write.mode("append").option("maxRecordsPerFile", rows_per_file)
+        writer.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
