@@ -31,6 +31,17 @@ def test_profile(spark):
     assert means["a"] == pytest.approx(3e-7) and means["b"] == pytest.approx(1e25)
 
 
+def test_exact_profile_bounds_its_tasks(spark, monkeypatch):
+    monkeypatch.setattr(Q, "CELLS_PER_TASK", 100)
+    odd = F.when(F.col("id") % 4 == 0, float("nan")).when(F.col("id") % 4 == 1, -0.0).when(F.col("id") % 4 == 2, 0.0)
+    df = spark.range(0, 1_000, 1, 1).select("id", F.concat(F.lit("s"), F.col("id") % 700).alias("s"), odd.alias("x"), F.lit(None).cast("int").alias("none"))
+    profile = Q.profile(df, exact=True)
+    # One task holds all rows; they are dealt to tasks of 100 values before they are copied per column.
+    assert "40), REPARTITION_BY_NUM" in profile._jdf.queryExecution().executedPlan().toString()
+    assert {r["column_name"]: r["ndv"] for r in profile.collect()} == {"id": 1_000, "s": 700, "x": 2, "none": 0}
+    assert {r["column_name"]: r["ndv"] for r in Q.profile(df.limit(0), exact=True).collect()} == dict.fromkeys(df.columns, 0)
+
+
 def test_reconcile_counts_copies(spark):
     a = spark.createDataFrame([(1, "x")] * 3 + [(2, None)], "k int, v string")
     b = spark.createDataFrame([(1, "x")] + [(2, None)] * 2 + [(3, "z")], "k int, v string")

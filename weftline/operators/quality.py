@@ -47,21 +47,36 @@ def check_schema(df: DataFrame, contract: T.StructType) -> DataFrame:
     return rows.where((F.col("problem") != "unparsable") | (F.col("rows") > 0))
 
 
+#: Values that one task of an exact profile looks at.
+CELLS_PER_TASK = 1_000_000
+
+
+def _distinct_counts(df: DataFrame) -> DataFrame:
+    """One row with the exact number ``_d<i>`` of distinct values of each column.
+
+    Every row is copied once per column and combined per task. Rows are spread before, by their hash, to tasks of a bounded number of values,
+    so the memory of a task follows neither the table nor the size of its files; the copies carry no other aggregates.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * len(df.columns) // CELLS_PER_TASK))
+    spread = df.repartition(n, F.xxhash64(*[F.col(c) for c in df.columns]))
+    return spread.agg(*[F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(df.columns)])
+
+
 def profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Rows, nulls, distinct values, min, max and mean of every column, in one pass.
 
-    Distinct values are estimated. ``exact=True`` counts them, for which every row is copied once per column.
+    Distinct values are estimated. ``exact=True`` counts them, for which ``df`` is computed twice more.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     aggs, cells = [F.count("*").alias("_rows")], []
     for i, field in enumerate(df.schema):
         c = F.col(field.name)
         aggs += [
             F.count(c).alias(f"_c{i}"),
-            distinct(c).alias(f"_d{i}"),
             F.min(c).cast("string").alias(f"_lo{i}"),
             F.max(c).cast("string").alias(f"_hi{i}"),
         ]
+        if not exact:
+            aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
         mean = F.lit(None).cast("double")
         if isinstance(field.dataType, T.IntegralType):
             # An exact sum does not depend on the order of the rows.
@@ -72,7 +87,10 @@ def profile(df: DataFrame, exact: bool = False) -> DataFrame:
             mean = F.col(f"_s{i}")
         values = [F.col("_rows"), F.col("_rows") - F.col(f"_c{i}"), F.col(f"_d{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")]
         cells.append((F.lit(field.name), *values, mean))
-    return _stacked(df.agg(*aggs), cells, "column_name rows nulls ndv min_value max_value mean")
+    wide = df.agg(*aggs)
+    if exact:
+        wide = wide.crossJoin(_distinct_counts(df))
+    return _stacked(wide, cells, "column_name rows nulls ndv min_value max_value mean")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
