@@ -124,6 +124,23 @@ def test_keyed_state_expires(spark, feed):
     assert ("a", 1, 7, False) in found and ("b", 1, 1, False) in found
 
 
+def test_keyed_state_shares_the_state_of_a_shard(spark, feed, monkeypatch):
+    monkeypatch.setattr(shards, "SHARDS", 2)
+    feed.add(*[(i, f"k{i}", 100, i) for i in range(300)], (0, "k0", 100, None), (5, None, 100, 1), (6, "timeless", None, 1))
+    feed.add((7, "k7", 100_000, 1), (9, "timeless", 120, 3)).add((8, "k8", 100_100, 2))
+    out = scratch(spark, "out")
+    totals = keyed_state(feed.read(), "k", "v", "at", "10 seconds", idle_seconds=60)
+    done = K.finish(K.batch_sink(totals, out, feed.checkpoint, "update"))
+    found = spark.read.parquet(out)
+    first = {(f"k{i}", 1 + (i == 0), i) for i in range(300)} | {(None, 1, 1)}
+    closed = first - {("k7", 1, 7)} | {("k7", 2, 8), ("timeless", 2, 4)}
+    assert rows(found.where("closed"), "k", "n", "amount") == sorted(closed, key=repr)
+    still = {("k7", 2, 8), ("timeless", 1, 1), ("timeless", 2, 4), ("k8", 1, 2)}
+    assert rows(found.where("NOT closed"), "k", "n", "amount") == sorted(first | still, key=repr)
+    # The store has a row per shard and not one per key.
+    assert max(op.numRowsTotal for p in done.recentProgress for op in p.stateOperators) == 2
+
+
 def test_activity_keeps_newest_rows_counts_and_expires(spark, feed):
     feed.add((1, "a", 100, 5), (2, "a", 110, 6), (3, "a", 105, None)).add((4, "b", 100_000, 1)).add((5, "a", 100_100, 7))
     out = scratch(spark, "out")
